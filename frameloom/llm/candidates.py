@@ -14,7 +14,7 @@ from frameloom.session import stage
 
 #: Rows above which a bucket is cut into blocks.
 HOT = 32768
-PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("code_sim", pa.float32())])
 
 
 def bucket_pairs(
@@ -23,7 +23,7 @@ def bucket_pairs(
     search: Callable[[int, np.ndarray], tuple[np.ndarray, np.ndarray]],
     hot: int = HOT,
 ) -> DataFrame:
-    """Distinct pairs (a, b) of classes, a < b, that ``search`` finds in some bucket.
+    """Distinct pairs (a, b) of classes, a < b, that ``search`` finds in some bucket, with the cosine of their codes.
 
     rows: class, vector. keys: unit rows to (rows, entries) bucket keys. search: a seed and the codes of one cell to two
     arrays of row numbers. A class that a partition repeats leaves it once, so copies are merged before the shuffle.
@@ -56,15 +56,18 @@ def bucket_pairs(
             codes = np.concatenate([H.bytes_matrix(c) for c in table["code"].chunks])[first]
             i, j = search(cell, codes)
             if len(i):
+                x = H.decode(codes)
                 both = np.unique(np.minimum(i, j).astype(np.int64) * len(classes) + np.maximum(i, j))
                 i, j = both // len(classes), both % len(classes)
                 for lo in range(0, len(i), 65536):
-                    yield pa.RecordBatch.from_arrays([pa.array(classes[i[lo : lo + 65536]]), pa.array(classes[j[lo : lo + 65536]])], schema=PAIR)
+                    p, q = i[lo : lo + 65536], j[lo : lo + 65536]
+                    sim = np.einsum("ij,ij->i", x[p], x[q])
+                    yield pa.RecordBatch.from_arrays([pa.array(classes[p]), pa.array(classes[q]), pa.array(sim)], schema=PAIR)
 
     sample = keyed(rows.where(F.pmod(F.xxhash64(F.lit(3), "class"), F.lit(64)) == 0))
     cells = H.spread(keyed(rows), sample, hot)
-    found = cells.repartition("cell").sortWithinPartitions("cell").mapInArrow(pairs, "a long, b long")
-    return found.distinct()
+    found = cells.repartition("cell").sortWithinPartitions("cell").mapInArrow(pairs, "a long, b long, code_sim float")
+    return found.groupBy("a", "b").agg(F.min("code_sim").alias("code_sim"))
 
 
 def exact(pairs: DataFrame, rows: DataFrame) -> DataFrame:

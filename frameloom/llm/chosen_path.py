@@ -33,8 +33,11 @@ def runs_needed(threshold: float, recall: float, levels: int = 3) -> int:
     return math.ceil(math.log(1 - recall) / math.log(1 - level**levels))
 
 
-def near_duplicate_classes(rows: DataFrame, threshold: float = 0.97, recall: float = 0.9999, pool: int = 64, small: int = 256, seed: int = 17) -> DataFrame:
-    """a, b, sim of the classes of ``class_rows`` with a cosine of at least ``threshold``."""
+def near_duplicate_classes(rows: DataFrame, threshold: float = 0.97, recall: float = 0.9999, pool: int = 64, small: int = 256, dim: int = 64, seed: int = 17) -> DataFrame:
+    """a, b of the classes of ``class_rows`` with a cosine of at least ``threshold``.
+
+    A pair whose codes are so similar that rounding can't have made the difference needs no check; the others are checked.
+    """
     runs = runs_needed(threshold, recall)
 
     def keys(x: np.ndarray) -> np.ndarray:
@@ -64,7 +67,9 @@ def near_duplicate_classes(rows: DataFrame, threshold: float = 0.97, recall: flo
         return np.concatenate(i or [np.zeros(0, int)]), np.concatenate(j or [np.zeros(0, int)])
 
     found = stage(C.bucket_pairs(rows, keys, search), "pairs")
-    return C.exact(found, rows).where(F.col("sim") >= threshold)
+    sure = float(np.cos(max(0.0, np.arccos(threshold) - 2 * H.widest_turn(dim) - 1e-4)))
+    checked = C.exact(found.where(F.col("code_sim") < sure), rows).where(F.col("sim") >= threshold)
+    return found.where(F.col("code_sim") >= sure).select("a", "b").unionByName(checked.select("a", "b"))
 
 
 def near_duplicate_pairs(batch: DataFrame, column: str = "dinov2", threshold: float = 0.97, dim: int = 64) -> DataFrame:
@@ -74,7 +79,7 @@ def near_duplicate_pairs(batch: DataFrame, column: str = "dinov2", threshold: fl
     """
     rows = H.class_rows(batch, column, dim)
     own = stage(H.members(rows), "members")
-    links = near_duplicate_classes(rows, threshold)
+    links = near_duplicate_classes(rows, threshold, dim=dim)
     a, b = (own.select(F.col("class").alias(c), F.col("token").alias(t)) for c, t in (("a", "s"), ("b", "t")))
     across = links.join(a, "a").join(b, "b").select(F.least("s", "t").alias("token_a"), F.greatest("s", "t").alias("token_b"))
     same = own.alias("x").join(own.alias("y"), (F.col("x.class") == F.col("y.class")) & (F.col("x.token") < F.col("y.token")))
@@ -86,7 +91,7 @@ def near_duplicate_groups(batch: DataFrame, column: str = "dinov2", threshold: f
     number of tokens linked to it directly. Pairs are made between classes of equal vectors only."""
     rows = H.class_rows(batch, column, dim)
     own = stage(H.members(rows), "members")
-    links = stage(near_duplicate_classes(rows, threshold), "links")
+    links = stage(near_duplicate_classes(rows, threshold, dim=dim), "links")
     sizes = own.groupBy("class").agg(F.count("*").alias("size"), F.min("token").alias("least"))
     both = links.select(F.col("a").alias("class"), F.col("b").alias("other")).unionByName(links.select(F.col("b").alias("class"), F.col("a").alias("other")))
     near = both.join(sizes.select(F.col("class").alias("other"), "size"), "other").groupBy("class").agg(F.sum("size").alias("near"))

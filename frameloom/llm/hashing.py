@@ -85,10 +85,18 @@ def decode(codes: np.ndarray) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def slack(codes: np.ndarray, similarity: float) -> float:
-    """The least cosine that codes of a pair of ``similarity`` can have: rounding moves a code by half a step a dimension at most."""
+def slack(codes: np.ndarray, similarity: float, sign: int = 1) -> float:
+    """The least cosine that codes of a pair of ``similarity`` can have, or with sign -1 the largest.
+
+    Rounding moves a code by half a step a dimension at most, which bounds the angle it can turn.
+    """
     off = 0.5 * np.sqrt(codes.shape[1]) / np.linalg.norm(codes.astype(np.float32), axis=1).min()
-    return float(np.cos(min(np.pi, np.arccos(np.clip(similarity, -1, 1)) + 2 * np.arcsin(min(1.0, off)))))
+    return float(np.cos(np.clip(np.arccos(np.clip(similarity, -1, 1)) + sign * (2 * np.arcsin(min(1.0, off)) + 1e-4), 0, np.pi)))
+
+
+def widest_turn(dim: int) -> float:
+    """The angle by which any code of ``dim`` values can be off: its largest value is 127."""
+    return float(np.arcsin(min(1.0, 0.5 * np.sqrt(dim) / 127)))
 
 
 def mix(*parts: np.ndarray | int) -> np.ndarray:
