@@ -14,6 +14,8 @@ from frameloom.session import stage
 
 #: Rows above which a bucket is cut into blocks.
 HOT = 32768
+#: Class numbers that are sent to all tasks at most.
+BROADCAST_ROWS = 500_000
 PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("code_sim", pa.float32())])
 
 
@@ -72,8 +74,10 @@ def bucket_pairs(
 
 def exact(pairs: DataFrame, rows: DataFrame) -> DataFrame:
     """a, b, sim: the cosine of each pair in double from the stored floats."""
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
-    vectors = stage(rows.select("class", "vector").dropDuplicates(["class"]).join(ends, "class", "left_semi"), "vectors")
+    ends = stage(pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct(), "ends")
+    few = ends.count() <= BROADCAST_ROWS  # of 8 bytes; more of them are shuffled
+    vectors = rows.select("class", "vector").join(F.broadcast(ends) if few else ends, "class", "left_semi")
+    vectors = stage(vectors.dropDuplicates(["class"]), "vectors")
 
     def cosines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
