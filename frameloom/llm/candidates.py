@@ -16,6 +16,8 @@ from frameloom.session import stage
 HOT = 32768
 #: Class numbers that are sent to all tasks at most.
 BROADCAST_ROWS = 500_000
+#: Vectors that are sent to all tasks at most (64 MB at 64 dimensions); more are shuffled to their pairs.
+BROADCAST_VECTORS = 250_000
 PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("code_sim", pa.float32())])
 
 
@@ -87,6 +89,8 @@ def exact(pairs: DataFrame, rows: DataFrame) -> DataFrame:
 
     left = vectors.select(F.col("class").alias("a"), F.col("vector").alias("x"))
     right = vectors.select(F.col("class").alias("b"), F.col("vector").alias("y"))
+    if few and vectors.count() <= BROADCAST_VECTORS:
+        left, right = F.broadcast(left), F.broadcast(right)
     joined = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
     return joined.mapInArrow(cosines, "a long, b long, sim double")
 
