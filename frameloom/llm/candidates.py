@@ -18,7 +18,6 @@ HOT = 32768
 BROADCAST_ROWS = 500_000
 #: Vectors that are sent to all tasks at most (64 MB at 64 dimensions); more are shuffled to their pairs.
 BROADCAST_VECTORS = 250_000
-PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("code_sim", pa.float32())])
 
 
 def bucket_pairs(
@@ -26,8 +25,9 @@ def bucket_pairs(
     keys: Callable[[np.ndarray], np.ndarray],
     search: Callable[[int, np.ndarray], tuple[np.ndarray, np.ndarray]],
     hot: int = HOT,
+    with_sim: bool = False,
 ) -> DataFrame:
-    """Distinct pairs (a, b) of classes, a < b, that ``search`` finds in some bucket, with the cosine of their codes.
+    """Distinct pairs (a, b) of classes, a < b, that ``search`` finds in some bucket; ``with_sim`` adds code_sim, the cosine of their codes.
 
     rows: class, vector. keys: unit rows to (rows, entries) bucket keys. search: a seed and the codes of one cell to two
     arrays of row numbers. A class that a partition repeats leaves it once, so copies are merged before the shuffle.
@@ -65,13 +65,13 @@ def bucket_pairs(
                 i, j = both // len(classes), both % len(classes)
                 for lo in range(0, len(i), 65536):
                     p, q = i[lo : lo + 65536], j[lo : lo + 65536]
-                    sim = np.einsum("ij,ij->i", x[p], x[q])
-                    yield pa.RecordBatch.from_arrays([pa.array(classes[p]), pa.array(classes[q]), pa.array(sim)], schema=PAIR)
+                    sim = [pa.array(np.einsum("ij,ij->i", x[p], x[q]))] if with_sim else []
+                    yield pa.RecordBatch.from_arrays([pa.array(classes[p]), pa.array(classes[q]), *sim], ["a", "b", "code_sim"][: 2 + with_sim])
 
     sample = keyed(rows.where(F.pmod(F.xxhash64(F.lit(3), "class"), F.lit(64)) == 0))
     cells = H.spread(keyed(rows), sample, hot)
-    found = cells.repartition("cell").sortWithinPartitions("cell").mapInArrow(pairs, "a long, b long, code_sim float")
-    return found.groupBy("a", "b").agg(F.min("code_sim").alias("code_sim"))
+    found = cells.repartition("cell").sortWithinPartitions("cell").mapInArrow(pairs, "a long, b long" + ", code_sim float" * with_sim)
+    return found.groupBy("a", "b").agg(F.min("code_sim").alias("code_sim")) if with_sim else found.distinct()
 
 
 def exact(pairs: DataFrame, rows: DataFrame) -> DataFrame:

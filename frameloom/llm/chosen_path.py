@@ -66,7 +66,7 @@ def near_duplicate_classes(rows: DataFrame, threshold: float = 0.97, recall: flo
             j.append(at[q])
         return np.concatenate(i or [np.zeros(0, int)]), np.concatenate(j or [np.zeros(0, int)])
 
-    found = stage(C.bucket_pairs(rows, keys, search), "pairs")
+    found = stage(C.bucket_pairs(rows, keys, search, with_sim=True), "pairs")
     sure = float(np.cos(max(0.0, np.arccos(threshold) - 2 * H.widest_turn(dim) - 1e-4)))
     checked = C.exact(found.where(F.col("code_sim") < sure), rows).where(F.col("sim") >= threshold)
     return found.where(F.col("code_sim") >= sure).select("a", "b").unionByName(checked.select("a", "b"))

@@ -80,8 +80,10 @@ def nearest_samples(batch: DataFrame, column: str, k: int = 5, least: float | No
     some = some.select(F.col("class").alias("other"), F.col("token").alias("neighbour"))
     shared = own.groupBy("class").count().where("count > 1").select("class", F.col("class").alias("other"), F.lit(1.0).alias("sim"))
     both = links.select(F.col("a").alias("class"), F.col("b").alias("other"), "sim").unionByName(links.select(F.col("b").alias("class"), F.col("a").alias("other"), "sim"))
+    # each class offers a token at least, so only the k + 1 most similar classes and their ties can matter
+    near = both.withColumn("sim", F.round("sim", 6)).withColumn("at", F.rank().over(Window.partitionBy("class").orderBy(F.desc("sim"))))
+    offers = near.where(F.col("at") <= k + 1).drop("at").unionByName(shared).join(some, "other")
     # per class the k + 1 best tokens: a member of the class leaves itself out
-    offers = both.withColumn("sim", F.round("sim", 6)).unionByName(shared).join(some, "other")
     best = Window.partitionBy("class").orderBy(F.desc("sim"), "neighbour")
     offers = offers.withColumn("at", F.row_number().over(best)).where(F.col("at") <= k + 1).select("class", "neighbour", "sim", "at")
     mine = offers.join(own, "class").where(F.col("token") != F.col("neighbour"))
