@@ -14,21 +14,23 @@ def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
-def p1_kept(spark: SparkSession, folder: str) -> DataFrame:
-    """The kept list, as large as the largest earlier target, with each cluster's number of kept records."""
+def _varied(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """As many as the largest earlier target, or a hundredth of the records if that is more."""
     from frameloom.llm.variety import varied_subset
 
     batch = _read(spark, folder, "encoded_batch")
-    target = _read(spark, folder, "curation_set").select(F.max("target_size")).first()[0] or 250
-    kept, clusters = varied_subset(batch, target)
+    target = _read(spark, folder, "curation_set").select(F.max("target_size")).first()[0] or 0
+    return varied_subset(batch, max(target, batch.count() // 100, 1))
+
+
+def p1_kept(spark: SparkSession, folder: str) -> DataFrame:
+    """The kept list, with each cluster's number of kept records."""
+    kept, clusters = _varied(spark, folder)
     return kept.join(clusters.select("cluster_id", F.col("kept").alias("per_cluster_kept")), "cluster_id")
 
 
 def p1_clusters(spark: SparkSession, folder: str) -> DataFrame:
-    from frameloom.llm.variety import varied_subset
-
-    target = _read(spark, folder, "curation_set").select(F.max("target_size")).first()[0] or 250
-    return varied_subset(_read(spark, folder, "encoded_batch"), target)[1]
+    return _varied(spark, folder)[1]
 
 
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
