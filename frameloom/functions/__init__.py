@@ -1 +1 @@
-
+"""Column functions: vectors, tokens, scenes, conditions."""
