@@ -108,37 +108,44 @@ def top_k(queries: DataFrame, corpus: DataFrame, k: int, exclude_self: bool = Fa
         cell = F.col("mine") * others + F.col("other") if not mark else F.col("other") * own + F.col("mine")
         return frame.withColumn("mine", mine).withColumn("other", other).select(cell.alias("cell"), F.lit(mark).alias("own"), "token", "v")
 
+    both = side(queries, q_blocks, c_blocks, 0).unionByName(side(corpus, c_blocks, q_blocks, 1))
+    return best_of_cells(both, k, exclude_self)
+
+
+def best_of_cells(rows: DataFrame, k: int, exclude_self: bool = False) -> DataFrame:
+    """query, token, sim, rank of rows (cell, own, token, v), where own is 0 for queries and 1 for the corpus of a cell.
+
+    A query may be in several cells; a corpus row that it meets in more than one counts once.
+    """
+
     def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in cells(batches):
-            tokens, x = np.array(t["token"].to_pylist(), object), _matrix(t["v"])
+            tokens, x = np.array(t["token"].to_pylist()), _matrix(t["v"])
             cut = int(np.searchsorted(t["own"].to_numpy(), 1))
             if cut in (0, len(tokens)):
                 continue
-            order = np.argsort(tokens[cut:].astype(str), kind="stable")
+            order = np.argsort(tokens[cut:], kind="stable")
             names, y = tokens[cut:][order], x[cut:][order]
+            at = np.minimum(np.searchsorted(names, tokens[:cut]), len(names) - 1)
+            mine = names[at] == tokens[:cut]
             for lo in range(0, cut, 1024):
                 hi = min(lo + 1024, cut)
                 s = np.round(x[lo:hi] @ y.T, 10)
                 if exclude_self:
-                    s[tokens[lo:hi, None] == names[None, :]] = -9
-                m = min(k, s.shape[1])
-                best = np.argsort(-s, axis=1, kind="stable")[:, :m] if s.shape[1] <= 64 else _best(s, m)
-                sim = np.take_along_axis(s, best, 1)
-                rows = np.repeat(tokens[lo:hi], m)
-                keep = sim.reshape(-1) > -9
-                yield pa.RecordBatch.from_arrays([pa.array(rows[keep], pa.string()), pa.array(names[best.reshape(-1)][keep], pa.string()), pa.array(sim.reshape(-1)[keep])], ["query", "token", "sim"])
-
-    both = side(queries, q_blocks, c_blocks, 0).unionByName(side(corpus, c_blocks, q_blocks, 1))
-    found = both.repartition("cell").sortWithinPartitions("cell", "own").mapInArrow(multiply, "query string, token string, sim double")
+                    own = np.flatnonzero(mine[lo:hi])
+                    s[own, at[lo:hi][own]] = -9
+                best = _best(s, min(k, s.shape[1]))
+                sim = np.take_along_axis(s, best, 1).reshape(-1)
+                keep = sim > -9
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(tokens[lo:hi], best.shape[1])[keep], pa.string()), pa.array(names[best.reshape(-1)][keep], pa.string()), pa.array(sim[keep])], ["query", "token", "sim"])
+
+    found = rows.repartition("cell").sortWithinPartitions("cell", "own").mapInArrow(multiply, "query string, token string, sim double")
     rank = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("sim"), "token"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k)
 
 
 def _best(s: np.ndarray, k: int) -> np.ndarray:
-    """Columns of each row's k largest values, ties to the smaller column."""
-    kth = -np.partition(-s, k - 1, axis=1)[:, k - 1]
-    out = np.empty((len(s), k), np.int64)
-    for i, row in enumerate(s):
-        at = np.flatnonzero(row >= kth[i])
-        out[i] = at[np.argsort(-row[at], kind="stable")[:k]]
-    return out
+    """Columns of each row's k largest values in order, ties to the smaller column: values are multiples of 1e-10, so a smaller step orders equal ones."""
+    t = s - np.arange(s.shape[1]) * (5e-11 / max(1, s.shape[1]))
+    some = np.argpartition(-t, k - 1, axis=1)[:, :k]
+    return np.take_along_axis(some, np.argsort(-np.take_along_axis(t, some, 1), axis=1), 1)

@@ -15,8 +15,8 @@ OUTLIER = "sample_token string, knn_distance double, rank int"
 CLUSTER = "cluster_id int, label string, size int, members array<string>, centroid_2d struct<x: double, y: double>, sample_2d array<struct<sample_token: string, x: double, y: double>>"
 CURATION_SET = "kept array<string>, dropped_duplicates array<string>, boosted_outliers array<string>, per_cluster_kept map<int, int>"
 LINEAGE = (
-    "run_id string, timestamp string, git_sha string, data_source string, encoder_backend string, vector_backend string, n_samples int, n_kept int, "
-    "n_duplicate_groups int, n_outliers int, n_clusters int, dup_threshold double, target_size int, manifest_sha256 string, extras map<string, string>"
+    "run_id string, timestamp_utc string, git_sha string, python_version string, encoder_backend string, source string, n_input_samples int, n_curated_samples int, "
+    "n_duplicate_groups int, n_outliers int, n_clusters int, duplicate_threshold double, target_size int, manifest_sha256 string, extras map<string, string>"
 )
 #: The texts that a cluster's label is chosen from by default. Fixed values.
 FAILURE_PROMPTS = (
