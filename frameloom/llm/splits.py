@@ -21,20 +21,38 @@ from frameloom.llm.components import star_components
 from frameloom.session import stage
 
 WORD = re.compile(r"[^\W\d_]+")
-NUMBER = (re.compile(r"scene[\W_]*(\d+)"), re.compile(r"(\d+)[\W_]*scene"), re.compile(r"s[^\W\d_]{2,6}e?[\W_]*(\d+)"), re.compile(r"(\d+)"))
+NUMBER = (re.compile(r"scene[\W_]*(\d+)"), re.compile(r"(\d+)[\W_]*scene"))
+BESIDE = re.compile(r"([^\W\d_]+)[\W_]*(\d+)")
+ANY = re.compile(r"(\d+)")
 REGULAR = re.compile(r"scene-\d+-([^\W\d_]+(?:_[^\W\d_]+)*)")
 
 
+def _cuts(word: str) -> set[str]:
+    return {word, *(word[:i] + word[i + 1 :] for i in range(len(word)))}
+
+
+def _number(text: str) -> tuple[str, int, int] | None:
+    """The number that goes with the word scene, else with a word one edit away from it, else the first; with its place."""
+    for pattern in NUMBER:
+        if m := pattern.search(text):
+            return m[1], m.start(), m.end()
+    for m in BESIDE.finditer(text):
+        if _cuts(m[1]) & _cuts("scene"):
+            return m[2], m.start(), m.end()
+    m = ANY.search(text)
+    return (m[1], m.start(), m.end()) if m else None
+
+
 def read_name(name: str) -> tuple[str | None, str | None, list[str]]:
     """Number without leading zeros, template if the name has the regular form, and each run of its words in one piece."""
     text = unicodedata.normalize("NFKC", name).lower().strip()
-    found = next((m for p in NUMBER if (m := p.search(text))), None)
+    found = _number(text)
     if not found:
         return None, None, []
-    number = found[1].lstrip("0") or "0"
+    number = found[0].lstrip("0") or "0"
     regular = REGULAR.fullmatch(text)
     runs = []
-    for side in (text[: found.start()], text[found.end() :]):
+    for side in (text[: found[1]], text[found[2] :]):
         words = WORD.findall(side)[:40]
         runs += ["".join(words[i:j]) for i in range(len(words)) for j in range(i + 1, min(len(words), i + 5) + 1)]
     return number, "".join(WORD.findall(regular[1])) if regular else None, list(dict.fromkeys(runs))
