@@ -53,7 +53,7 @@ def read_name(name: str) -> tuple[str | None, str | None, list[str]]:
     regular = REGULAR.fullmatch(text)
     runs = []
     for side in (text[: found[1]], text[found[2] :]):
-        words = WORD.findall(side)[:40]
+        words = WORD.findall(side)
         runs += ["".join(words[i:j]) for i in range(len(words)) for j in range(i + 1, min(len(words), i + 5) + 1)]
     return number, "".join(WORD.findall(regular[1])) if regular else None, list(dict.fromkeys(runs))
 
