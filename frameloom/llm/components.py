@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from frameloom.session import Stage
+from frameloom.session import Stage, stage
 
 
 def _edges(pairs: DataFrame, src: str, dst: str) -> DataFrame:
@@ -15,15 +15,28 @@ def _edges(pairs: DataFrame, src: str, dst: str) -> DataFrame:
     return pairs.where(sound).select(low.alias("src"), high.alias("dst")).distinct()
 
 
+def _numbered(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Edges between numbers that are ordered as the nodes, and node, id. The numbers are written before they are used, so they stay."""
+    ends = edges.select(F.explode(F.array("src", "dst")).alias("node")).distinct()
+    nodes = stage(ends.repartitionByRange("node").sortWithinPartitions("node").withColumn("id", F.monotonically_increasing_id()), "numbers")
+    low, high = nodes.select(F.col("node").alias("src"), F.col("id").alias("s")), nodes.select(F.col("node").alias("dst"), F.col("id").alias("d"))
+    return edges.join(low, "src").join(high, "dst").select(F.col("s").alias("src"), F.col("d").alias("dst")), nodes
+
+
 def min_label_components(pairs: DataFrame, src: str = "src", dst: str = "dst", max_rounds: int = 200) -> DataFrame:
     """node, label: every node of an edge between two different nodes, with the smallest node of its component.
 
+    Text nodes are numbered in their order first, so that the rounds move and compare numbers only.
+
     A round gives each node the smallest label among its neighbours, hooks the root of its old label to it as well, then
     jumps: the label of a node becomes the label of its label. Each round is written to the shared folder; the loop ends
     when no label changes. Hot nodes are pre-aggregated: only minima are shuffled, never a neighbour list. Null ends and
     loops make no edge; repeated and turned edges count once; no edges give no rows.
     """
-    edges = Stage(_edges(pairs, src, dst), "edges")
+    found, nodes = _edges(pairs, src, dst), None
+    if found.schema["src"].dataType.typeName() != "long":
+        found, nodes = _numbered(stage(found, "pairs"))
+    edges = Stage(found, "edges")
     both = edges.frame.unionByName(edges.frame.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
     labels = Stage(both.groupBy("src").agg(F.min("dst").alias("m")).select(F.col("src").alias("node"), F.least("src", "m").alias("label")), "labels")
     for _ in range(max_rounds):
@@ -43,7 +56,11 @@ def min_label_components(pairs: DataFrame, src: str = "src", dst: str = "dst", m
             break
     else:
         raise RuntimeError(f"labels still change after {max_rounds} rounds")
-    return labels.frame.select("node", "label")
+    out = labels.frame.select("node", "label")
+    if nodes is None:
+        return out
+    names, heads = nodes.select(F.col("id").alias("node"), F.col("node").alias("name")), nodes.select(F.col("id").alias("label"), F.col("node").alias("head"))
+    return out.join(names, "node").join(heads, "label").select(F.col("name").alias("node"), F.col("head").alias("label"))
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
