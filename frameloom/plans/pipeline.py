@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from frameloom.functions.vectors import l2_normalize, search_cosine, usable
-from frameloom.operators import curate, project, report
+from frameloom.operators import curate, density, project, report
 from frameloom.operators.blocks import unit_vectors
 from frameloom.operators.index import build_index
 from frameloom.sources.samples import first_rows
@@ -48,9 +48,9 @@ class CurationPipeline:
         groups = keep(curate.find_near_duplicates(dino, c.dup_threshold), "duplicates")
         outliers = keep(curate.find_outliers(clip, c.knn, c.outlier_share), "outliers")
         xy = keep(project.project_2d(clip), "points")
-        members = keep(project.kmeans_clusters(clip, n_init=c.n_init, min_cluster_size=c.min_cluster_size), "members")
+        members = keep(density.failure_modes(xy, clip, c.min_cluster_size, c.n_init), "members")
         texts = prompts.where(usable(F.col("clip_text").cast("array<double>"), c.dim)).select("prompt_id", "prompt", l2_normalize(F.col("clip_text").cast("array<double>")).alias("v"))
-        labels = curate.label_clusters(curate.centroids(members, clip), texts)
+        labels = curate.label_clusters(curate.centroids(members.where("cluster_id >= 0"), clip), texts)
         clusters = keep(curate.cluster_records(members, xy, labels), "clusters")
         parts = curate.assemble(rows.select("sample_token"), groups, outliers, members, c.target_size)
         kept = keep(parts["kept"], "kept")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from frameloom.functions import text as T
 from frameloom.functions.vectors import dot, l2_normalize, search_cosine, usable
-from frameloom.operators import blocks, curate, encode, graph, index, project, report
+from frameloom.operators import benchmark, blocks, curate, density, encode, graph, index, project, report
 from frameloom.plans.oracles import oracle_sql  # noqa: F401
 from frameloom.session import shared_folder, stage
 from frameloom.sources import samples as S
@@ -354,11 +354,17 @@ def cluster_series(spark, d):
 
 @query
 def clusters(spark, d):
-    """Cluster records of the fallback the reference takes without its optional libraries: principal axes and k-means."""
+    """Cluster records of density clusters on the principal axes, or of k-means where they are weak."""
     clip = stage(_vectors(spark, d, "clip_image"), "clip")
-    members = stage(project.kmeans_clusters(clip, n_init=2), "members")
-    labels = curate.label_clusters(curate.centroids(members, clip), _prompts(spark, d))
-    return curate.cluster_records(members, project.project_2d(clip), labels)
+    xy = stage(project.project_2d(clip), "points")
+    members = stage(density.failure_modes(xy, clip, n_init=2), "members")
+    labels = curate.label_clusters(curate.centroids(members.where("cluster_id >= 0"), clip), _prompts(spark, d))
+    return curate.cluster_records(members, xy, labels)
+
+
+@query
+def density_clusters(spark, d):
+    return density.density_clusters(stage(project.project_2d(stage(_vectors(spark, d, "clip_image"), "clip")), "points"))
 
 
 @query
@@ -445,6 +451,20 @@ def lineage_record(spark, d):
     return record.select("run_id", "timestamp_utc", "n_input_samples", "n_curated_samples", "n_duplicate_groups", "n_outliers", "n_clusters", "duplicate_threshold", "target_size", "manifest_sha256")
 
 
+@query
+def index_benchmark(spark, d):
+    """Recall and latency on generated vectors, apart from the tables."""
+    rows = benchmark.run_benchmark(spark, (1000, 2000), 64, repeats=1)
+    return spark.createDataFrame([(r["n"], r["recall_at_k"], r["exact_ms_per_query"], r["index_ms_per_query"], r["index"]) for r in rows], "n int, recall double, exact_ms double, index_ms double, index string")
+
+
+@query
+def synthetic_vectors(spark, d):
+    """Generated frames, drawn small and projected to one space."""
+    rows = S.synthetic_features(S.synthetic_samples(spark, 400))
+    return encode.encode_features(rows, "sample_token", "features", "dinov2", 192)
+
+
 # encoders
 @query
 def random_projection(spark, d):

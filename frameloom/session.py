@@ -28,9 +28,11 @@ def get_spark(master: str | None = None, app: str = "frameloom", **conf: str) ->
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors share: ``spark.checkpoint.dir`` where the session has it, else (in tests) a local one."""
+    """The folder that all executors share: ``spark.checkpoint.dir`` where the session has it, else, on one machine, a local one."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         folder = f"file://{tempfile.gettempdir()}/frameloom-{os.getuid()}"
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")

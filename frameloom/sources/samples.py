@@ -47,6 +47,47 @@ def synthetic_samples(spark: SparkSession, n: int = 400, n_scenes: int = 24, dup
     return rows.select(*(values.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name) for f in SAMPLES))
 
 
+#: Base colour of each template. Fixed values.
+COLOURS = {"urban_intersection": (60, 90, 130), "highway_merge": (40, 60, 80), "tunnel": (15, 15, 25), "construction_zone": (180, 140, 60), "residential": (90, 130, 90), "parking_lot": (120, 120, 120)}
+
+
+def synthetic_features(samples: DataFrame, side: int = 8) -> DataFrame:
+    """sample_token, features: a small deterministic picture of each generated frame, as side x side x 3 values from 0 to 1.
+
+    Sky over road in the template's colour, darker at night and dusk, greyer in rain and fog, with shapes and noise seeded by
+    the frame; a copy has its original's picture, a little blurred.
+    """
+    import hashlib
+
+    import numpy as np
+    import pyarrow as pa
+
+    def draw(token: str, template: str, weather: str, time: str) -> np.ndarray:
+        rng = np.random.default_rng(int(hashlib.md5(token.encode()).hexdigest()[:8], 16))
+        height = np.linspace(1.2, 0.6, side)[:, None, None]
+        picture = np.ones((side, side, 3)) * np.array(COLOURS.get(template, (100, 100, 100))) / 255 * height
+        for _ in range(3):
+            y, x = rng.integers(side // 2, side), rng.integers(0, side)
+            picture[y, max(0, x - 1) : x + 1] = rng.random(3)
+        picture = picture * {"night": 0.35, "dusk": 0.7}.get(time, 1.0)
+        if weather in ("rain", "fog"):
+            picture = picture * 0.6 + (0.2 if weather == "rain" else 0.35)
+        return np.clip(picture + rng.normal(0, 0.03, picture.shape), 0, 1)
+
+    def run(batches):
+        for b in batches:
+            out = []
+            for token, scene, weather, time in zip(*(b.column(i).to_pylist() for i in range(4))):
+                original, _, copied = token.partition("_dup_")
+                picture = draw(f"sample_{copied[-5:]}" if copied else original, (scene or "").split("-")[-1], weather, time)
+                if copied:
+                    picture = 0.94 * picture + 0.06 * np.roll(picture, 1, 1)
+                out.append(picture.astype(np.float32).reshape(-1))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.list_(pa.float32()))], ["sample_token", "features"])
+
+    return samples.select("sample_token", "scene_name", "weather", "time_of_day").mapInArrow(run, "sample_token string, features array<float>")
+
+
 def keyframe_join(sample: DataFrame, sample_data: DataFrame, scene: DataFrame, log: DataFrame) -> DataFrame:
     """Samples with their front camera and lidar files, scene and log. Channels are told by the file's folder.
 

@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 
 from frameloom.functions import text as T
 from frameloom.functions.vectors import cosine, l2_normalize, search_cosine
-from frameloom.operators import blocks, curate, encode, graph, index, project, report
+from frameloom.operators import benchmark, blocks, curate, density, encode, graph, index, project, report
 from frameloom.plans.pipeline import CurationConfig, CurationPipeline, CurationService
+from frameloom.sources import artifacts
 from frameloom.sources import samples as S
+from frameloom.streaming import ingest
 
 VECTOR = "token string, v array<double>"
 
@@ -216,3 +218,62 @@ def test_artifacts(spark, tmp_path):
     assert S.read_artifact(spark, f"file://{tmp_path}/x.json", "a int", required=False).count() == 0
     (tmp_path / "x.json").write_text('{"a": 1}\n')
     assert S.read_artifact(spark, f"file://{tmp_path}/x.json", "a int").first().a == 1
+
+
+def test_density_clusters(spark):
+    rng = np.random.default_rng(0)
+    xy = np.concatenate([rng.normal((0, 0), 0.1, (60, 2)), rng.normal((5, 5), 0.2, (40, 2)), rng.normal((-6, 4), 0.1, (12, 2)), [(20, 20), (-20, 9), (3, -15)]])
+    labels = density.density_labels(xy)
+    assert [len(set(labels[a:b].tolist())) for a, b in ((0, 60), (60, 100), (100, 112))] == [1, 1, 1] and len(set(labels[:112].tolist())) == 3 and set(labels[112:].tolist()) == {-1}
+    df = spark.createDataFrame([(f"s{i:03d}", float(x), float(y)) for i, (x, y) in enumerate(xy)] + [("null", None, 1.0)], "sample_token string, x double, y double")
+    got = {r.sample_token: r.cluster_id for r in density.density_clusters(df).collect()}
+    assert got["null"] == -1 and [got[f"s{i:03d}"] for i in range(115)] == labels.tolist()
+    some = {r.sample_token: r.cluster_id for r in density.density_clusters(df, sample_points=60).collect()}
+    assert len({some[f"s{i:03d}"] for i in range(60)} - {-1}) == 1 and some["s112"] == -1
+    assert density.density_clusters(df.limit(0)).count() == 0 and set(density.density_labels(xy[:3]).tolist()) == {-1}
+    tree = density.spanning_tree(xy[:30])
+    assert len(tree) == 29 and (np.diff(tree[:, 2]) >= 0).all()
+
+
+def test_weak_density_falls_back_to_kmeans(spark):
+    x = gaussian(40, 4, centres=2, seed=2)
+    points = spark.createDataFrame([(f"s{i:05d}", float(i % 2) * 1e-9, 0.0) for i in range(40)], "sample_token string, x double, y double")
+    assert density.failure_modes(points, frame(spark, x), n_init=1).where("cluster_id >= 0").count() == 40
+
+
+def test_benchmark_points(spark):
+    point = benchmark.run_benchmark(spark, (1000,), 32, 50, repeats=1)[0]
+    assert point["n"] == 1000 and point["recall_at_k"] >= 0.9 and point["index"] == "ivfflat" and point["params"]["nlist"] == 31
+
+
+def test_synthetic_copies_are_near_duplicates(spark):
+    rows = S.synthetic_samples(spark, 200)
+    vectors = encode.encode_features(S.synthetic_features(rows), "sample_token", "features", "dinov2", 192)
+    v = {r.sample_token: np.array(r.dinov2) for r in vectors.collect()}
+    assert len(v) == 200
+    for t in v:
+        own, _, copied = t.partition("_dup_")
+        if copied and f"sample_{copied[-5:]}" in v:
+            assert v[t] @ v[f"sample_{copied[-5:]}"] > 0.97
+
+
+def test_sinks(spark, tmp_path):
+    df = spark.createDataFrame([("b", [1.0], [2.0]), ("a", None, [3.0])], "sample_token string, dinov2 array<float>, clip_image array<float>")
+    artifacts.write_vectors(df, f"file://{tmp_path}/v")
+    assert spark.read.parquet(f"file://{tmp_path}/v").where("space = 'dinov2'").count() == 2
+    assert artifacts.json_document(df.select("sample_token"), ["sample_token"]) == '[{"sample_token":"a"},{"sample_token":"b"}]'
+    artifacts.write_json(df, f"file://{tmp_path}/j")
+    assert spark.read.json(f"file://{tmp_path}/j").count() == 2
+    with pytest.raises(ValueError):
+        artifacts.json_document(df, ["sample_token"], 1)
+
+
+def test_streamed_ingest(spark, tmp_path):
+    rows = spark.createDataFrame([("a", "s", datetime(2025, 1, 1)), ("a", "s", datetime(2025, 1, 1)), ("b", "s", datetime(2025, 1, 1, 0, 5)), (None, "s", datetime(2025, 1, 1))], "sample_token string, scene_name string, ingested_at timestamp")
+    rows.coalesce(1).write.parquet(f"file://{tmp_path}/in")
+    stream = ingest.read_samples(spark, f"file://{tmp_path}/in", rows.schema)
+    ingest.append_to(ingest.first_arrivals(stream), f"file://{tmp_path}/out", f"file://{tmp_path}/cp").awaitTermination()
+    assert sorted(r.sample_token for r in spark.read.parquet(f"file://{tmp_path}/out").collect()) == ["a", "b"]
+    q = ingest.scene_counts(stream).writeStream.format("memory").queryName("counts").outputMode("complete").trigger(availableNow=True).start()
+    q.awaitTermination()
+    assert [r.n for r in spark.sql("select n from counts").collect()] == [4]
