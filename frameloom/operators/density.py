@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SAMPLE_POINTS = 10_000
+SAMPLE_POINTS = 5_000
 
 
 def spanning_tree(points: np.ndarray, min_samples: int = 1) -> np.ndarray:

@@ -24,7 +24,16 @@ def get_spark(master: str | None = None, app: str = "frameloom", **conf: str) ->
         builder = builder.master(master)
     for key, value in {**DEFAULTS, **conf}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return show_package(builder.getOrCreate())
+
+
+def show_package(spark: SparkSession) -> SparkSession:
+    """Lets Python workers import the package from where the driver has it, if that folder is there; else ship it with --py-files."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(x for x in (root, known) if x)
+    return spark
 
 
 def shared_folder(spark: SparkSession) -> str:
