@@ -2,8 +2,9 @@
 
 Each vector is read as a set: of every pseudo-rotation, the two signed axes nearest to it. Small edits leave most of the
 set unchanged. A run splits all records by the tokens of one sampled rotation (a record follows both its tokens), splits each
-part again by another, sampled by the hash of the path so far, and compares all pairs once a part is small. The first split
-is the shuffle; the deeper ones happen inside the task that holds the part, which sees its size. A run finds a pair with
+part again by another, sampled by the hash of the path so far, and compares all pairs once a part is small. The first splits
+(one up to a million records, another for each 64 times as many) are the shuffle; the deeper ones happen inside the task that
+holds the part, which sees its size. A run finds a pair with
 the probability that it shares a token at each level; runs are repeated until what is missed is below the target. What is
 found is checked on the stored floats.
 
@@ -28,23 +29,32 @@ from frameloom.session import stage
 LEVEL_RECALL = ((0.97, 0.95), (0.95, 0.91), (0.9, 0.81), (0.8, 0.62))
 
 
+def shipped_levels(rows: int, dim: int, bucket: int = 16384) -> int:
+    """Splits before the shuffle: as many as bring the expected part below ``bucket`` rows; a record follows two of the axes at each."""
+    return max(1, math.ceil(math.log(max(2, rows) / bucket) / math.log(H.padded(dim))))
+
+
 def runs_needed(threshold: float, recall: float, levels: int = 3) -> int:
     level = next((r for s, r in LEVEL_RECALL if threshold >= s), 0.5)
     return math.ceil(math.log(1 - recall) / math.log(1 - level**levels))
 
 
-def near_duplicate_classes(rows: DataFrame, threshold: float = 0.97, recall: float = 0.9999, pool: int = 64, small: int = 256, dim: int = 64, seed: int = 17) -> DataFrame:
-    """a, b of the classes of ``class_rows`` with a cosine of at least ``threshold``.
+def near_duplicate_classes(rows: DataFrame, number: int, threshold: float = 0.97, recall: float = 0.9999, pool: int = 64, small: int = 256, dim: int = 64, seed: int = 17) -> DataFrame:
+    """a, b of the classes of ``class_rows``, about ``number`` of them, with a cosine of at least ``threshold``.
 
     A pair whose codes are so similar that rounding can't have made the difference needs no check; the others are checked.
     """
-    runs = runs_needed(threshold, recall)
+    levels = shipped_levels(number, dim)
+    runs = runs_needed(threshold, recall, levels + 2)
 
     def keys(x: np.ndarray) -> np.ndarray:
         out = []
         for r in range(runs):
-            j = int(H.mix(seed, r)) % pool
-            out.append(H.mix(r, H.tokens(x, H.rotation(x.shape[1], seed, j))))
+            key = H.mix(seed, np.full((len(x), 1), r))
+            for level in range(levels):
+                axes = H.tokens(x, H.rotation(x.shape[1], seed, int(H.mix(seed, r, level)) % pool))
+                key = H.mix(key[:, :, None], axes[:, None, :]).reshape(len(x), -1)
+            out.append(key)
         return np.concatenate(out, 1)
 
     def search(cell: int, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -79,7 +89,7 @@ def near_duplicate_pairs(batch: DataFrame, column: str = "dinov2", threshold: fl
     """
     rows = H.class_rows(batch, column, dim)
     own = stage(H.members(rows), "members")
-    links = near_duplicate_classes(rows, threshold, dim=dim)
+    links = near_duplicate_classes(rows, own.count(), threshold, dim=dim)
     a, b = (own.select(F.col("class").alias(c), F.col("token").alias(t)) for c, t in (("a", "s"), ("b", "t")))
     across = links.join(a, "a").join(b, "b").select(F.least("s", "t").alias("token_a"), F.greatest("s", "t").alias("token_b"))
     same = own.alias("x").join(own.alias("y"), (F.col("x.class") == F.col("y.class")) & (F.col("x.token") < F.col("y.token")))
@@ -91,7 +101,7 @@ def near_duplicate_groups(batch: DataFrame, column: str = "dinov2", threshold: f
     number of tokens linked to it directly. Pairs are made between classes of equal vectors only."""
     rows = H.class_rows(batch, column, dim)
     own = stage(H.members(rows), "members")
-    links = stage(near_duplicate_classes(rows, threshold, dim=dim), "links")
+    links = stage(near_duplicate_classes(rows, own.count(), threshold, dim=dim), "links")
     sizes = own.groupBy("class").agg(F.count("*").alias("size"), F.min("token").alias("least"))
     both = links.select(F.col("a").alias("class"), F.col("b").alias("other")).unionByName(links.select(F.col("b").alias("class"), F.col("a").alias("other")))
     near = both.join(sizes.select(F.col("class").alias("other"), "size"), "other").groupBy("class").agg(F.sum("size").alias("near"))

@@ -147,6 +147,7 @@ def test_copies_offer_their_smallest_tokens(spark):
     got = polytope.nearest_samples(df, "dinov2", 3, 0.9).collect()
     by = {t: [r.neighbour for r in sorted(got, key=lambda r: r["rank"]) if r.sample_token == t] for t in ("t00", "t01", "t08", "lone")}
     assert by == {"t00": ["t01", "t02", "t03"], "t01": ["t00", "t02", "t03"], "t08": ["t00", "t01", "t02"], "lone": []}
+    assert [chosen_path.shipped_levels(n, 64) for n in (10**3, 10**6, 10**9)] == [1, 1, 3]
     assert polytope.rotations_per_table(10**3, 64) == 2 and polytope.rotations_per_table(10**9, 64) == 4
 
 
@@ -203,3 +204,8 @@ def test_varied_subset_shows_rare_kinds_and_not_standstills(spark):
     assert {r.cluster_id: r.kept for r in clusters.collect() if r.kept} == {r.cluster_id: r["count"] for r in kept.groupBy("cluster_id").count().collect()}
     everything, _ = variety.varied_subset(batch_of(spark, rows), 10**6, k=4)
     assert everything.count() == len(x) + 1
+
+
+def test_deeper_shipped_splits_lose_nothing(spark, dirty, groups, monkeypatch):
+    monkeypatch.setattr(chosen_path, "shipped_levels", lambda rows, dim: 2)
+    assert set(map(tuple, chosen_path.near_duplicate_pairs(dirty).collect())) == pairs_of(groups, 0.97)
