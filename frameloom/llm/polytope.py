@@ -75,10 +75,13 @@ def nearest_samples(batch: DataFrame, column: str, k: int = 5, least: float | No
     number = own.agg(F.count("*")).first()[0]
     rotations = rotations_per_table(number, dim)
     tables, probes = tables or (6 if least is not None else 10), probes or (2 if least is not None else 5)
-    links = class_neighbours(rows, k, least, tables, rotations, probes)
+    links = stage(class_neighbours(rows, k, least, tables, rotations, probes), "links")
+    shared = stage(own.groupBy("class").count().where("count > 1").select("class", F.col("class").alias("other"), F.lit(1.0).alias("sim")), "shared")
+    # only tokens whose class has a neighbour or another token have answers
+    ends = stage(links.select(F.explode(F.array("a", "b")).alias("class")).unionByName(shared.select("class")).distinct(), "ends")
+    own = stage(own.join(F.broadcast(ends) if ends.count() <= C.BROADCAST_ROWS else ends, "class", "left_semi"), "answered")
     some = own.withColumn("at", F.row_number().over(Window.partitionBy("class").orderBy("token"))).where(F.col("at") <= k + 1)
     some = some.select(F.col("class").alias("other"), F.col("token").alias("neighbour"))
-    shared = own.groupBy("class").count().where("count > 1").select("class", F.col("class").alias("other"), F.lit(1.0).alias("sim"))
     both = links.select(F.col("a").alias("class"), F.col("b").alias("other"), "sim").unionByName(links.select(F.col("b").alias("class"), F.col("a").alias("other"), "sim"))
     # each class offers a token at least, so only the k + 1 most similar classes and their ties can matter
     near = both.withColumn("sim", F.round("sim", 6)).withColumn("at", F.rank().over(Window.partitionBy("class").orderBy(F.desc("sim"))))
