@@ -153,7 +153,8 @@ def spread(entries: DataFrame, rows: DataFrame, hot: int) -> DataFrame:
     """Gives each entry (key, ...) the cell in which its bucket, or a pair of blocks of its bucket, is searched.
 
     A bucket expected above ``hot`` rows is cut into g blocks by the hash of the class; each pair of blocks is a cell,
-    so every pair of rows still meets in a cell, no task holds the bucket, and no row is dropped. Which buckets are hot is
+    so every pair of rows still meets in a cell, no task holds the bucket, and no row is dropped. A cell keeps the low six bits
+    of its key. Which buckets are hot is
     estimated from one row in 64; that estimate only chooses the physical layout, never the result.
     """
     from frameloom.session import stage
@@ -164,5 +165,6 @@ def spread(entries: DataFrame, rows: DataFrame, hot: int) -> DataFrame:
     other = F.explode(F.when(F.col("blocks").isNull(), F.array(F.lit(-1))).otherwise(F.sequence(F.lit(0), F.col("blocks") - 1)))
     joined = entries.join(heavy, "key", "left").withColumn("own", own).withColumn("other", other)
     pair = F.struct(F.least("own", "other"), F.greatest("own", "other"))
-    cell = F.when(F.col("blocks").isNull(), F.col("key")).otherwise(F.xxhash64("key", pair))
+    mixed = F.xxhash64("key", pair).bitwiseAND(F.lit(~63)).bitwiseOR(F.col("key").bitwiseAND(F.lit(63)))
+    cell = F.when(F.col("blocks").isNull(), F.col("key")).otherwise(mixed)
     return joined.select(cell.alias("cell"), *(c for c in entries.columns))

@@ -54,7 +54,23 @@ def class_neighbours(rows: DataFrame, k: int, least: float | None, tables: int,
                 p, q = C.close_pairs(x[part], floor) if floor is not None else C.nearest(x[part], k + 3)
                 i.append(part[p])
                 j.append(part[q])
-        return np.concatenate(i or [np.zeros(0, int)]), np.concatenate(j or [np.zeros(0, int)])
+        i, j = np.concatenate(i or [np.zeros(0, int)]), np.concatenate(j or [np.zeros(0, int)])
+        return unseen(x, i, j, cell & 63) if floor is not None and len(i) else (i, j)
+
+    def unseen(x: np.ndarray, i: np.ndarray, j: np.ndarray, table: int) -> tuple[np.ndarray, np.ndarray]:
+        """The pairs that no earlier table finds: one finds a pair if the two share an axis of each of its rotations."""
+        both = np.unique(np.minimum(i, j).astype(np.int64) * len(x) + np.maximum(i, j))
+        i, j = both // len(x), both % len(x)
+        for t in range(table):
+            rows, at = np.unique(np.concatenate((i, j)), return_inverse=True)
+            p, q, seen = at[: len(i)], at[len(i) :], np.ones(len(i), bool)
+            for r in range(rotations):
+                axes = H.tokens(x[rows], H.rotation(x.shape[1], seed, t * rotations + r), probes)
+                seen &= (axes[p][:, :, None] == axes[q][:, None, :]).any((1, 2))
+            i, j = i[~seen], j[~seen]
+            if not len(i):
+                break
+        return i, j
 
     found = stage(C.bucket_pairs(rows, keys, search), "candidates")
     sims = C.exact(found, rows)
