@@ -124,7 +124,7 @@ def kept_rows(taken: DataFrame, boosted: DataFrame, target: int) -> DataFrame:
 def assemble(tokens: DataFrame, groups: DataFrame, outliers: DataFrame, members: DataFrame | None, target: int) -> dict[str, DataFrame]:
     """The tables of a curation set: kept, dropped_duplicates, boosted_outliers, per_cluster_kept.
 
-    Without clusters the first surviving tokens are kept. The reference semantics hold: quotas may fill the target, so most
+    Without clusters the first surviving tokens are kept. Quotas may fill the target, so most
     boosted outliers can be cut off although all are reported; per_cluster_kept counts before the cut.
     """
     dropped = stage(droppable(groups), "dropped")

@@ -6,20 +6,15 @@ import platform
 import subprocess
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from frameloom.functions.text import manifest_hash
 from frameloom.schema import LINEAGE
 
 
-def one_row(**counts: Column | DataFrame) -> DataFrame:
-    """One row of the first columns of one-row tables."""
-    out = None
-    for name, frame in counts.items():
-        part = frame.toDF(name)
-        out = part if out is None else out.join(part)
-    return out
+#: The sentence that sums up a run. Fixed value.
+HEADLINE = "Curated %d raw frames → %d high-value training samples; flagged %s%% near-duplicates; surfaced %d failure-mode clusters."
 
 
 def summary(samples: DataFrame, groups: DataFrame, outliers: DataFrame, clusters: DataFrame, kept: DataFrame, **fixed: object) -> DataFrame:
@@ -28,11 +23,10 @@ def summary(samples: DataFrame, groups: DataFrame, outliers: DataFrame, clusters
     g = groups.agg(F.count("*").alias("g"), F.coalesce(F.sum(F.size("members")), F.lit(0)).alias("m"))
     rows = n.join(g).join(outliers.agg(F.count("*").alias("o"))).join(clusters.agg(F.count("*").alias("c"))).join(kept.agg(F.count("*").alias("k")))
     rate = F.lit(100.0) * F.col("m") / F.greatest(F.lit(1), F.col("n"))
-    text = "Curated %d raw frames → %d high-value training samples; flagged %s%% near-duplicates; surfaced %d failure-mode clusters."
     return rows.select(
         *(F.lit(v).alias(k) for k, v in fixed.items()), F.col("n").alias("n_input_samples"), F.col("s").alias("n_scenes"), F.col("g").alias("n_duplicate_groups"),
         F.col("m").alias("n_samples_in_duplicate_groups"), F.round(rate, 2).alias("duplicate_rate_pct"), F.col("o").alias("n_outliers"), F.col("c").alias("n_clusters"),
-        F.col("k").alias("n_curated"), F.format_string(text, F.col("n"), F.col("k"), F.round(rate, 1).cast("string"), F.col("c")).alias("headline_metric"),
+        F.col("k").alias("n_curated"), F.format_string(HEADLINE, F.col("n"), F.col("k"), F.round(rate, 1).cast("string"), F.col("c")).alias("headline_metric"),
     )
 
 
