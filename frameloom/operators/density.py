@@ -1,8 +1,8 @@
 """Density clusters of 2-D points: hierarchical density-based clustering after Campello et al. (2013).
 
-The tree of densities is fitted on a bounded sample of the points; with fewer points than the bound that is all of them. Every
-other point takes the cluster of its nearest fitted point, if it is no farther from it than that cluster's points are from
-each other.
+The tree of densities is built over all points, whatever their number. One task holds it: two coordinates and a few numbers a
+point. Up to ``DENSE_POINTS`` the spanning tree comes from whole rows of distances, above it from Borůvka rounds over a k-d
+tree. Both give a minimum spanning tree, so the clusters don't depend on the way taken, but for the order of edges of equal length.
 """
 
 from __future__ import annotations
@@ -14,12 +14,138 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SAMPLE_POINTS = 5_000
+DENSE_POINTS = 5_000
+LEAF = 16
 
 
-def spanning_tree(points: np.ndarray, min_samples: int = 1) -> np.ndarray:
+class _Tree:
+    """A balanced k-d tree: ``order`` has the points leaf by leaf, ``low`` and ``high`` the boxes of each depth's 2^depth nodes."""
+
+    def __init__(self, points: np.ndarray):
+        n = len(points)
+        self.depth = max(0, int(np.ceil(np.log2(max(1, n) / LEAF))))
+        self.order, self.starts = np.arange(n), np.array([0, n])
+        for _ in range(self.depth):
+            cuts = [0]
+            for lo, hi in zip(self.starts[:-1], self.starts[1:]):
+                part = self.order[lo:hi]
+                x = points[part]
+                mid = len(part) // 2
+                self.order[lo:hi] = part[np.argpartition(x[:, np.ptp(x, axis=0).argmax()], mid)]
+                cuts += [lo + mid, hi]
+            self.starts = np.array(cuts)
+        self.points = points[self.order]
+        self.width = int(np.diff(self.starts).max())
+        self.low, self.high = [np.minimum.reduceat(self.points, self.starts[:-1])], [np.maximum.reduceat(self.points, self.starts[:-1])]
+        for _ in range(self.depth):
+            self.low.insert(0, np.minimum(self.low[0][::2], self.low[0][1::2]))
+            self.high.insert(0, np.maximum(self.high[0][::2], self.high[0][1::2]))
+
+    def within(self, asked: np.ndarray, reach: np.ndarray, own: np.ndarray | None = None, pure: list[np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """i, j, distance: the points j no farther than ``reach`` from each asked i; with ``own``, only those of another component.
+
+        Points are told by their place in ``order``; ``pure`` has the component of each node, -1 where it has several.
+        """
+        q, node = np.arange(len(asked)), np.zeros(len(asked), np.int64)
+        for d in range(self.depth):
+            q, node = np.repeat(q, 2), np.stack((2 * node, 2 * node + 1), 1).reshape(-1)
+            x = self.points[asked[q]]
+            off = np.maximum(np.maximum(self.low[d + 1][node] - x, x - self.high[d + 1][node]), 0)
+            keep = np.sqrt((off**2).sum(1)) <= reach[q]
+            if own is not None:
+                keep &= pure[d + 1][node] != own[asked[q]]
+            q, node = q[keep], node[keep]
+        at = self.starts[node][:, None] + np.arange(self.width)
+        inside = at < self.starts[node + 1][:, None]
+        i, j = np.repeat(q, self.width)[inside.reshape(-1)], at[inside]
+        if own is not None:
+            keep = own[asked[i]] != own[j]
+            i, j = i[keep], j[keep]
+        distance = np.sqrt(((self.points[asked[i]] - self.points[j]) ** 2).sum(1))
+        keep = distance <= reach[i]
+        return asked[i[keep]], j[keep], distance[keep]
+
+    def nodes_of(self, own: np.ndarray) -> list[np.ndarray]:
+        """The component of each depth's nodes, -1 where a node has several."""
+        low, high = np.minimum.reduceat(own, self.starts[:-1]), np.maximum.reduceat(own, self.starts[:-1])
+        out = [np.where(low == high, low, -1)]
+        for _ in range(self.depth):
+            left, right = out[0][::2], out[0][1::2]
+            out.insert(0, np.where(left == right, left, -1))
+        return out
+
+    def core(self, min_samples: int, step: int = 8192) -> np.ndarray:
+        """Distance of each point to its ``min_samples``-th other one. The points next in order bound it."""
+        n = len(self.points)
+        k = min(min_samples, n - 1)
+        out = np.zeros(n)
+        for lo in range(0, n, step):
+            asked = np.arange(lo, min(lo + step, n))
+            first = np.clip(asked - k // 2 - 1, 0, n - 1 - k)[:, None] + np.arange(k + 1)
+            reach = np.sqrt(((self.points[first] - self.points[asked][:, None]) ** 2).sum(2)).max(1)
+            i, _, d = self.within(asked, reach)
+            by = np.lexsort((d, i))
+            out[asked] = d[by][np.searchsorted(i[by], asked) + k]
+        return out
+
+
+def _boruvka(points: np.ndarray, min_samples: int, step: int = 8192) -> np.ndarray:
+    """The edges of ``spanning_tree``: each round every component but the largest finds its shortest edge to another."""
+    tree, n = _Tree(points), len(points)
+    # with one neighbour asked for, no distance is below the core distances of its ends
+    core = tree.core(min_samples) if min_samples > 1 else np.zeros(n)
+    own, edges = np.arange(n), []
+    leaf = np.minimum(tree.starts[:-1, None] + np.arange(tree.width), tree.starts[1:, None] - 1)
+    while (own != own[0]).any():
+        largest = np.bincount(own).argmax()
+        best, ends = np.full(n, np.inf), np.zeros((n, 2), np.int64)
+
+        def offer(i: np.ndarray, j: np.ndarray, d: np.ndarray) -> None:
+            d = np.maximum(d, np.maximum(core[i], core[j]))
+            by = np.lexsort((d, own[i]))
+            by = by[np.r_[True, own[i][by][1:] != own[i][by][:-1]]] if len(by) else by
+            by = by[d[by] < best[own[i[by]]]]
+            best[own[i[by]]], ends[own[i[by]]] = d[by], np.stack((i[by], j[by]), 1)
+
+        # first bounds: points of the same leaf, and the last of one leaf with the first of the next
+        a = np.concatenate([leaf.reshape(-1)] * (tree.width - 1) + [np.arange(n - 1), np.arange(1, n)])
+        b = np.concatenate([np.roll(leaf, -s, 1).reshape(-1) for s in range(1, tree.width)] + [np.arange(1, n), np.arange(n - 1)])
+        apart = own[a] != own[b]
+        a, b = a[apart], b[apart]
+        offer(a, b, np.sqrt(((tree.points[a] - tree.points[b]) ** 2).sum(1)))
+        pure, rest = tree.nodes_of(own), np.flatnonzero(own != largest)
+        for lo in range(0, len(rest), step):
+            asked = rest[lo : lo + step]
+            asked = asked[core[asked] <= best[own[asked]]]
+            offer(*tree.within(asked, best[own[asked]], own, pure))
+        parent = np.arange(n)
+
+        def find(i: int) -> int:
+            while parent[i] != i:
+                parent[i] = parent[parent[i]]
+                i = parent[i]
+            return i
+
+        for c in np.argsort(best, kind="stable")[: np.isfinite(best).sum()]:
+            if c == largest:  # its bound isn't its shortest edge
+                continue
+            i, j = ends[c]
+            x, y = find(own[i]), find(own[j])
+            if x != y:
+                parent[x] = y
+                edges.append((tree.order[i], tree.order[j], best[c]))
+        while not np.array_equal(parent, parent[parent]):
+            parent = parent[parent]
+        own = parent[own]
+    return np.array(edges)
+
+
+def spanning_tree(points: np.ndarray, min_samples: int = 1, dense_points: int = DENSE_POINTS) -> np.ndarray:
     """Edges (i, j, mutual reachability distance) of a minimum spanning tree, shortest first; rows of the distance matrix are made one at a time."""
     n = len(points)
+    if n > max(dense_points, min_samples + 1):
+        edges = _boruvka(points, min_samples)
+        return edges[np.argsort(edges[:, 2], kind="stable")]
     core = np.zeros(n)
     for lo in range(0, n, 512):
         d = np.sqrt(((points[lo : lo + 512, None] - points[None]) ** 2).sum(2))
@@ -36,7 +162,7 @@ def spanning_tree(points: np.ndarray, min_samples: int = 1) -> np.ndarray:
     return np.array(sorted(edges, key=lambda e: e[2])) if edges else np.zeros((0, 3))
 
 
-def density_labels(points: np.ndarray, min_cluster_size: int = 5, min_samples: int = 1, epsilon: float = 0.3) -> np.ndarray:
+def density_labels(points: np.ndarray, min_cluster_size: int = 5, min_samples: int = 1, epsilon: float = 0.3, dense_points: int = DENSE_POINTS) -> np.ndarray:
     """Cluster of each point, -1 for noise: the clusters of the condensed tree with the greatest stability, none split below ``epsilon``."""
     n = len(points)
     if n < max(2, min_cluster_size):
@@ -50,9 +176,9 @@ def density_labels(points: np.ndarray, min_cluster_size: int = 5, min_samples: i
             i = parent[i]
         return i
 
-    for e, (i, j, d) in enumerate(spanning_tree(points, min_samples)):
+    for e, (i, j, d) in enumerate(spanning_tree(points, min_samples, dense_points).tolist()):
         a, b, new = find(int(i)), find(int(j)), n + e
-        left[new], right[new], length[new], size[new] = a, b, float(d), size[a] + size[b]
+        left[new], right[new], length[new], size[new] = a, b, d, size[a] + size[b]
         parent[a] = parent[b] = new
     root = 2 * n - 2
 
@@ -101,43 +227,35 @@ def density_labels(points: np.ndarray, min_cluster_size: int = 5, min_samples: i
             todo += children.get(c, [])
     # a cluster born at a distance under epsilon is replaced by its first ancestor born above it
     above = {k: c for c, kids in children.items() for k in kids}
-    final = set()
-    for c in picked:
-        while c != root and born[c] > 0 and 1 / born[c] < epsilon and above.get(c, root) != root:
-            c = above[c]
-        final.add(c)
+    first = {root: root}
+    for c in order[1:]:
+        first[c] = first[above[c]] if 1 / born[c] < epsilon and above[c] != root else c
+    final = {first[c] for c in picked}
     labels = np.full(n, -1)
     for number, c in enumerate(sorted(final, key=lambda c: min(points_under(c)))):
         labels[points_under(c)] = number
     return labels
 
 
-def density_clusters(points: DataFrame, min_cluster_size: int = 5, min_samples: int = 1, epsilon: float = 0.3, sample_points: int = SAMPLE_POINTS) -> DataFrame:
-    """sample_token, cluster_id (-1 for noise) of points (sample_token, x, y); null coordinates are noise."""
-    sound = F.col("x").isNotNull() & F.col("y").isNotNull()
-    n = points.where(sound).count()
-    one_in = -(-n // sample_points) if n else 1
-    fitted = points.where(sound & (F.pmod(F.xxhash64("sample_token"), F.lit(one_in)) == 0)).select("sample_token", "x", "y").orderBy("sample_token").limit(2 * sample_points).toArrow()
-    xy = np.column_stack([fitted["x"].to_numpy(), fitted["y"].to_numpy()]) if fitted.num_rows else np.zeros((0, 2))
-    labels = density_labels(xy, min_cluster_size, min_samples, epsilon)
-    reach = {c: float(spanning_tree(xy[labels == c], min_samples)[:, 2].max(initial=0.0)) for c in set(labels.tolist()) - {-1}} if one_in > 1 else {}
-    known = dict(zip(fitted["sample_token"].to_pylist(), labels.tolist()))
+def density_clusters(points: DataFrame, min_cluster_size: int = 5, min_samples: int = 1, epsilon: float = 0.3, sample_points: int = DENSE_POINTS) -> DataFrame:
+    """sample_token, cluster_id (-1 for noise) of points (sample_token, x, y); null, NaN and infinite coordinates are noise.
+
+    ``sample_points`` is the number of points up to which the spanning tree is made from whole rows of distances; no point
+    is left out above it.
+    """
+    sound = F.coalesce((F.abs("x") < F.lit(float("inf"))) & (F.abs("y") < F.lit(float("inf"))), F.lit(False))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            out = np.array([known.get(t, -2) for t in b.column(0).to_pylist()], np.int64)
-            p = np.column_stack([b.column(i).to_numpy(zero_copy_only=False).astype(float) for i in (1, 2)])
-            for lo in range(0, len(p), 256):
-                rest = lo + np.flatnonzero(out[lo : lo + 256] == -2)
-                rest = rest[np.isfinite(p[rest]).all(1)]
-                if len(rest) and len(xy):
-                    d = ((p[rest, None] - xy[None]) ** 2).sum(2)
-                    near = d.argmin(1)
-                    fits = np.array([np.sqrt(d[i, j]) <= reach.get(int(labels[j]), -1) for i, j in enumerate(near)])
-                    out[rest] = np.where(fits, labels[near], -1)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.maximum(out, -1).astype(np.int32))], ["sample_token", "cluster_id"])
-
-    return points.select("sample_token", "x", "y").mapInArrow(run, "sample_token string, cluster_id int")
+        held = [b for b in batches if b.num_rows]
+        if held:
+            t = pa.Table.from_batches(held)
+            xy = np.column_stack([t[c].to_numpy().astype(float) for c in ("x", "y")])
+            labels = density_labels(xy, min_cluster_size, min_samples, epsilon, sample_points)
+            yield from pa.table([t["sample_token"], pa.array(labels.astype(np.int32))], ["sample_token", "cluster_id"]).combine_chunks().to_batches(max_chunksize=10_000)
+
+    rows = points.select("sample_token", "x", "y")
+    whole = rows.where(sound).repartition(1).sortWithinPartitions("sample_token").mapInArrow(run, "sample_token string, cluster_id int")
+    return whole.unionByName(rows.where(~sound).select("sample_token", F.lit(-1).alias("cluster_id")))
 
 
 def failure_modes(points: DataFrame, vectors: DataFrame, min_cluster_size: int = 5, n_init: int = 10, seed: int = 42) -> DataFrame:

@@ -235,6 +235,19 @@ def test_density_clusters(spark):
     assert len(tree) == 29 and (np.diff(tree[:, 2]) >= 0).all()
 
 
+def test_density_clusters_are_of_all_points(spark):
+    rng = np.random.default_rng(3)
+    xy = np.concatenate([rng.uniform(0, 4, (5_500, 2)), rng.normal((9, 9), 0.1, (500, 2)), rng.normal((-7, 3), 0.02, (6, 2)), [(30, 30), (-30, 9)]])
+    df = spark.createDataFrame([(f"s{i:05d}", float(x), float(y)) for i, (x, y) in enumerate(xy)], "sample_token string, x double, y double")
+    got = {r.sample_token: r.cluster_id for r in density.density_clusters(df).collect()}
+    labels = [got[f"s{i:05d}"] for i in range(len(xy))]
+    assert labels == [0] * 5_500 + [1] * 500 + [2] * 6 + [-1, -1]
+    some = np.concatenate([xy[:700], xy[5_480:], xy[:9]])
+    for min_samples in (1, 4):
+        rows, boxes = density.spanning_tree(some, min_samples), density.spanning_tree(some, min_samples, 0)
+        assert len(rows) == len(boxes) == len(some) - 1 and np.allclose(rows[:, 2], boxes[:, 2])
+
+
 def test_weak_density_falls_back_to_kmeans(spark):
     x = gaussian(40, 4, centres=2, seed=2)
     points = spark.createDataFrame([(f"s{i:05d}", float(i % 2) * 1e-9, 0.0) for i in range(40)], "sample_token string, x double, y double")
