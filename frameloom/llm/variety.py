@@ -1,7 +1,7 @@
 """Choosing a varied subset (problem 1).
 
-Records are vectors of both spaces, each of unit length. Mini-batch k-means is fitted on a bounded sample; every record is
-assigned. Records are grouped into cells by their cross-polytope tokens: nearly equal records mostly share a cell. A cluster's
+Records are vectors of both spaces, each of unit length. Mini-batch k-means is fitted on all different records, and every
+record is assigned: the start is k-means||, each mini-batch is a slice by hash, and all slices are visited. Records are grouped into cells by their cross-polytope tokens: nearly equal records mostly share a cell. A cluster's
 quota is proportional to the square root of its number of cells (or equal), so a standstill counts as little more than one
 frame; it is never more than the cluster holds, and unused slots go to the others. Within a cluster one record of each cell
 comes before the second of any, in the order of a hash.
@@ -9,7 +9,7 @@ comes before the second of any, in the order of a hash.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -17,29 +17,92 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from frameloom.llm import hashing as H
-from frameloom.session import stage
+from frameloom.session import Stage, stage
 
 
-def mini_batch_kmeans(x: np.ndarray, k: int, steps: int = 150, batch: int = 2048, seed: int = 13) -> np.ndarray:
-    """Centres of mini-batch k-means (per-centre learning rates) from a k-means++ start; empty centres restart at far records."""
-    rng, k = np.random.default_rng(seed), min(k, len(x))
-    if not k:
-        return np.zeros((0, x.shape[1]), np.float32)
-    centres = [x[rng.integers(len(x))]]
+SLICES, START_ROUNDS = 8, 4
+
+
+def _nearest(x: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Number of each row's nearest centre, and the square of the distance to it."""
+    s = x @ centres.T - (centres * centres).sum(1) / 2
+    own = s.argmax(1)
+    return own, np.maximum((x * x).sum(1) - 2 * s[np.arange(len(x)), own], 0)
+
+
+def _start(x: np.ndarray, weight: np.ndarray, k: int, rng: np.random.Generator, trials: int = 8) -> np.ndarray:
+    """Greedy k-means++ over weighted rows: of ``trials`` drawn rows the one that leaves the least cost."""
+    centres = [x[rng.choice(len(x), p=weight / weight.sum())]]
     far = ((x - centres[0]) ** 2).sum(1)
-    for _ in range(k - 1):
-        centres.append(x[rng.choice(len(x), p=far / far.sum()) if far.sum() > 0 else rng.integers(len(x))])
-        far = np.minimum(far, ((x - centres[-1]) ** 2).sum(1))
-    c, seen = np.array(centres, np.float64), np.zeros(k)
-    for _ in range(steps):
-        b = x[rng.integers(0, len(x), min(batch, len(x)))]
-        own = (b @ c.T - (c * c).sum(1) / 2).argmax(1)
-        count = np.bincount(own, minlength=k)
-        sums = np.zeros_like(c)
-        np.add.at(sums, own, b)
+    for _ in range(min(k, len(x)) - 1):
+        p = weight * far
+        drawn = rng.choice(len(x), trials, p=p / p.sum()) if p.sum() > 0 else rng.integers(len(x), size=1)
+        left = [np.minimum(far, ((x - x[i]) ** 2).sum(1)) for i in drawn]
+        best = int(np.argmin([(weight * f).sum() for f in left]))
+        centres.append(x[drawn[best]])
+        far = left[best]
+    return np.array(centres)
+
+
+def mini_batch_kmeans(classes: DataFrame, features: Callable[[pa.RecordBatch], np.ndarray], k: int, seed: int = 13) -> np.ndarray:
+    """Centres of mini-batch k-means (per-centre learning rates) over all rows (class, x, y), from a k-means|| start.
+
+    Each round of the start takes 2 k rows by their squared distance to those taken before; they are weighted by the rows nearest
+    to them. Tasks send sums, which are added up per centre: at most a row a centre comes to the driver.
+    """
+    rng = np.random.default_rng(seed)
+    salted = classes.withColumn("u", (F.pmod(F.xxhash64(F.lit(seed), "class"), F.lit(1 << 30)) + 0.5) / (1 << 30))
+
+    def drawn(taken: np.ndarray | None, number: int, turn: int) -> np.ndarray:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                if b.num_rows:
+                    far = _nearest(features(b), taken)[1] if taken is not None else np.ones(b.num_rows)
+                    u = np.mod(b.column("u").to_numpy() + turn * 0.6180339887498949, 1)
+                    key = -np.log(np.maximum(u, 1e-12)) / np.maximum(far, 1e-12)
+                    key[far < 1e-9] = np.inf  # a row that is taken already
+                    yield pa.RecordBatch.from_arrays([pa.array(key), *(b.column(c) for c in ("class", "x", "y"))], ["key", "class", "x", "y"])
+
+        rows = salted.mapInArrow(run, "key double, class long, x array<float>, y array<float>").where(F.col("key") < float("inf"))
+        parts = rows.orderBy("key", "class").limit(number).toArrow().combine_chunks().to_batches()
+        return features(parts[0]) if parts else np.zeros((0, 0), np.float32)
+
+    def sums(rows: DataFrame, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            count, total = np.zeros(len(centres), np.int64), np.zeros(centres.shape)
+            for b in batches:
+                if b.num_rows:
+                    x = features(b)
+                    own = _nearest(x, centres)[0]
+                    count += np.bincount(own, minlength=len(centres))
+                    np.add.at(total, own, x)
+            hit = np.flatnonzero(count)
+            yield pa.RecordBatch.from_arrays([pa.array(hit.astype(np.int64)), pa.array(count[hit]), pa.array(list(total[hit]), pa.list_(pa.float64()))], ["own", "n", "sums"])
+
+        def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for own, t in H.grouped(batches, "own"):
+                yield pa.RecordBatch.from_arrays([pa.array([own]), pa.array([int(t["n"].to_numpy().sum())]), pa.array([H.matrix(t["sums"]).sum(0)], pa.list_(pa.float64()))], ["own", "n", "sums"])
+
+        kind = "own long, n long, sums array<double>"
+        found = rows.mapInArrow(run, kind).repartition("own").sortWithinPartitions("own").mapInArrow(add, kind).toArrow()
+        count, total = np.zeros(len(centres), np.int64), np.zeros(centres.shape)
+        if found.num_rows:
+            count[found["own"].to_numpy()], total[found["own"].to_numpy()] = found["n"].to_numpy(), H.matrix(found["sums"])
+        return count, total
+
+    taken = drawn(None, 1, 0)
+    if not len(taken):
+        return taken
+    for turn in range(1, START_ROUNDS + 1):
+        more = drawn(taken, 2 * k, turn)
+        taken = np.concatenate((taken, more)) if len(more) else taken
+    c = _start(taken.astype(np.float64), np.maximum(sums(classes, taken)[0], 1e-9), k, rng)
+    seen = np.zeros(len(c))
+    for part in range(SLICES):
+        count, total = sums(classes.where(F.pmod(F.xxhash64(F.lit(seed + 1), "class"), F.lit(SLICES)) == part), c.astype(np.float32))
         seen += count
         hit = count > 0
-        c[hit] += (sums[hit] - count[hit, None] * c[hit]) / seen[hit, None]
+        c[hit] += (total[hit] - count[hit, None] * c[hit]) / seen[hit, None]
     return c.astype(np.float32)
 
 
@@ -67,29 +130,26 @@ def quotas(sizes: dict[int, int], target: int, equal: bool = False, kinds: dict[
     return out
 
 
-def varied_subset(batch: DataFrame, target: int, spaces: tuple[str, str] = ("clip_image", "dinov2"), k: int | None = None, equal: bool = False, sample_rows: int = 20_000, dim: int = 64, seed: int = 13) -> tuple[DataFrame, DataFrame]:
+def varied_subset(batch: DataFrame, target: int, spaces: tuple[str, str] = ("clip_image", "dinov2"), k: int | None = None, equal: bool = False, dim: int = 64, seed: int = 13) -> tuple[DataFrame, DataFrame]:
     """kept (sample_token, cluster_id, place) and clusters (cluster_id, size, kept).
 
     A record is usable if either vector is; a missing one counts as zeros. Equal records keep the smallest token only, a
-    repeated token counts once. ``sample_rows`` bounds the sample, by hash, on which the centres are fitted; sizes, quotas and
-    the choice cover all records. A target beyond the number of different records keeps them all; none gives no rows.
+    repeated token counts once. Centres, sizes, quotas and the choice cover all records. A target beyond the number of different records keeps them all; none gives no rows.
     """
     sound = [H.usable(F.col(c).cast("array<float>"), dim) for c in spaces]
     zeros = F.array_repeat(F.lit(0.0).cast("float"), dim)
     vectors = [F.when(s, F.col(c).cast("array<float>")).otherwise(zeros).alias(a) for s, c, a in zip(sound, spaces, "xy")]
     rows = batch.where((sound[0] | sound[1]) & F.col("sample_token").isNotNull()).select(F.col("sample_token").cast("string").alias("token"), *vectors)
     rows = rows.withColumn("class", F.xxhash64("x", "y"))
-    number = rows.select(F.approx_count_distinct("class")).first()[0]
     k = k or max(2, min(256, target // 4))
 
     def features(b: pa.RecordBatch) -> np.ndarray:
         parts = [H.matrix(b.column(c)).astype(np.float32) for c in ("x", "y")]
         return np.concatenate([p / np.maximum(np.linalg.norm(p, axis=1, keepdims=True), 1e-12) for p in parts], 1)
 
-    one_in = max(1, number // sample_rows)
-    picked = rows.where(F.pmod(F.xxhash64(F.lit(seed), "class"), F.lit(one_in)) == 0).limit(2 * sample_rows).dropDuplicates(["class"]).select("class", "x", "y").toArrow()
-    picked = picked.sort_by("class").combine_chunks().to_batches()
-    centres = mini_batch_kmeans(features(picked[0]), k, seed=seed) if picked else np.zeros((0, 2 * dim), np.float32)
+    classes = Stage(rows.select("class", "x", "y").dropDuplicates(["class"]), "classes")
+    centres = mini_batch_kmeans(classes.frame, features, k, seed)
+    classes.drop()
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         half = (centres * centres).sum(1) / 2
@@ -101,7 +161,7 @@ def varied_subset(batch: DataFrame, target: int, spaces: tuple[str, str] = ("cli
             cell = H.mix(own, *(H.tokens(x, H.rotation(x.shape[1], seed, t), 1)[:, 0] for t in range(2)))
             yield pa.RecordBatch.from_arrays([b.column("token"), b.column("class"), pa.array(own.astype(np.int32)), pa.array(cell.astype(np.int64))], ["token", "class", "cluster_id", "cell"])
 
-    if not picked:
+    if not len(centres):
         empty = rows.sparkSession.createDataFrame
         return empty([], "sample_token string, cluster_id int, place int"), empty([], "cluster_id int, size long, kept long")
     placed = rows.mapInArrow(place, "token string, class long, cluster_id int, cell long")

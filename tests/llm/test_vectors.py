@@ -1,6 +1,7 @@
 """Operators on vectors against brute force: near-duplicates, nearest samples, clusters, varied subsets."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -206,6 +207,23 @@ def test_varied_subset_shows_rare_kinds_and_not_standstills(spark):
     assert everything.count() == len(x) + 1
 
 
+def test_centres_are_fitted_on_all_records(spark):
+    rng = np.random.default_rng(8)
+    kinds = unit(rng.normal(size=(9, 64)))
+    x = (kinds[np.r_[np.zeros(42_000, int), 1:9]] + rng.normal(size=(42_008, 64)) * 0.002).astype(np.float32)
+
+    def draw(batches):
+        for b in batches:
+            vectors = pa.array(list(x[b.column(0).to_numpy()]), pa.list_(pa.float32()))
+            yield pa.RecordBatch.from_arrays([pa.array([f"t{i:05d}" for i in b.column(0).to_pylist()]), vectors, vectors], ["sample_token", "dinov2", "clip_image"])
+
+    table = spark.range(len(x)).mapInArrow(draw, "sample_token string, dinov2 array<float>, clip_image array<float>")
+    kept, _ = variety.varied_subset(table, 40, k=16)
+    got = {r.sample_token: r.cluster_id for r in kept.collect()}
+    own = [got.get(f"t{42_000 + i}") for i in range(8)]
+    assert None not in own and len(set(own)) == 8  # a cluster and a slot of its own for each rare kind
+
+
 def test_deeper_shipped_splits_lose_nothing(spark, dirty, groups, monkeypatch):
     monkeypatch.setattr(chosen_path, "shipped_levels", lambda rows, dim: 2)
     assert set(map(tuple, chosen_path.near_duplicate_pairs(dirty).collect())) == pairs_of(groups, 0.97)
