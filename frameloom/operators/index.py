@@ -16,10 +16,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from frameloom.functions.vectors import dot
 from frameloom.operators.blocks import BLOCK, _matrix, best_of_cells, cells, top_k
 from frameloom.session import stage
 
 SAMPLE_ROWS = 20_000
+SHORTLIST = 16
 PQ_THRESHOLD_MB = 200
 FLAVORS = ("auto", "ivfflat", "ivfpq")
 
@@ -76,11 +78,13 @@ class Index:
     table: DataFrame | None = None
 
     def search(self, queries: DataFrame, k: int = 10) -> DataFrame:
-        """query, token, sim, rank of each query row (token, v). IVF can return fewer than k; IVF-PQ scores are estimates."""
+        """query, token, sim, rank of each query row (token, v). IVF can return fewer than k; IVF-PQ ranks its shortlist again by the exact cosine."""
         if self.table is None:
             return top_k(queries, self.vectors, k)
         probed = probe(queries, self.centres, self.info["nprobe"])
-        return pq_search(self, probed, k) if self.codebooks is not None else cell_search(probed, self.table, k)
+        if self.codebooks is None:
+            return cell_search(probed, self.table, k)
+        return rerank(pq_search(self, probed, SHORTLIST * k), queries, self.vectors, k)
 
 
 def assign(vectors: DataFrame, centres: np.ndarray) -> DataFrame:
@@ -164,6 +168,14 @@ def pq_search(index: Index, probed: DataFrame, k: int) -> DataFrame:
     return found.withColumn("rank", rank).where(F.col("rank") <= k)
 
 
+def rerank(found: DataFrame, queries: DataFrame, vectors: DataFrame, k: int) -> DataFrame:
+    """query, token, sim, rank: the k best of each query's candidates (query, token) by the exact cosine of the stored vectors."""
+    asked, rows = queries.select(F.col("token").alias("query"), F.col("v").alias("q")), vectors.select("token", "v")
+    sims = found.select("query", "token").join(asked, "query").join(rows, "token").select("query", "token", F.round(dot(F.col("q"), F.col("v")), 10).alias("sim"))
+    rank = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("sim"), "token"))
+    return sims.withColumn("rank", rank).where(F.col("rank") <= k)
+
+
 def build_index(vectors: DataFrame, flavor: str = "auto", nlist: int | None = None, m: int | None = None, nprobe: int = 16, pq_threshold_mb: int = PQ_THRESHOLD_MB, centres: np.ndarray | None = None, seed: int = 0) -> Index:
     """An index over rows (token, v) of unit vectors; too few rows for the cells are searched exactly."""
     if flavor not in FLAVORS:

@@ -141,6 +141,15 @@ def test_ivf_recall_and_pq(spark):
     assert index.recall_at_k(truth.limit(0), truth).first()[0] == 1.0
 
 
+def test_pq_ranks_again_by_the_exact_cosine(spark):
+    df = frame(spark, gaussian(3000, 32, centres=20, seed=1))
+    asked = df.limit(50)
+    truth, found = blocks.top_k(asked, df, 10), index.build_index(df, "ivfpq", m=8).search(asked, 10)
+    assert index.recall_at_k(truth, found).first()[0] >= 0.9
+    sims = {(r.query, r.token): r.sim for r in truth.collect()}
+    assert all(abs(sims.get((r.query, r.token), r.sim) - r.sim) < 1e-9 for r in found.collect())
+
+
 def test_projection_and_kmeans(spark):
     x = gaussian(200, 8, centres=2, noise=0.05, seed=3)
     df = frame(spark, x)
