@@ -357,7 +357,7 @@ def clusters(spark, d):
     """Cluster records of density clusters on the principal axes, or of k-means where they are weak."""
     clip = stage(_vectors(spark, d, "clip_image"), "clip")
     xy = stage(project.project_2d(clip), "points")
-    members = stage(density.failure_modes(xy, clip, n_init=2), "members")
+    members = stage(density.failure_modes(xy, clip), "members")
     labels = curate.label_clusters(curate.centroids(members.where("cluster_id >= 0"), clip), _prompts(spark, d))
     return curate.cluster_records(members, xy, labels)
 
@@ -369,7 +369,7 @@ def density_clusters(spark, d):
 
 @query
 def kmeans_clusters(spark, d):
-    return project.kmeans_clusters(stage(_vectors(spark, d, "clip_image"), "clip"), n_init=2)
+    return project.kmeans_clusters(stage(_vectors(spark, d, "clip_image"), "clip"))
 
 
 @query

@@ -263,6 +263,17 @@ def test_weak_density_falls_back_to_kmeans(spark):
     assert density.failure_modes(points, frame(spark, x), n_init=1).where("cluster_id >= 0").count() == 40
 
 
+def test_queries_run_all_starts(spark, monkeypatch):
+    from frameloom.plans import queries
+
+    asked = []
+    monkeypatch.setattr(queries.project, "kmeans_clusters", lambda vectors, n_init=10: asked.append(n_init))
+    monkeypatch.setattr(queries.density, "failure_modes", lambda xy, vectors, n_init=10: asked.append(n_init) or spark.createDataFrame([], "sample_token string, cluster_id int"))
+    queries.kmeans_clusters(spark, "/root/testdata/sf0.001")
+    queries.clusters(spark, "/root/testdata/sf0.001")
+    assert asked == [10, 10]
+
+
 def test_benchmark_points(spark):
     point = benchmark.run_benchmark(spark, (1000,), 32, 50, repeats=1)[0]
     assert point["n"] == 1000 and point["recall_at_k"] >= 0.9 and point["index"] == "ivfflat" and point["params"]["nlist"] == 31
