@@ -66,8 +66,10 @@ def centroids(members: DataFrame, vectors: DataFrame) -> DataFrame:
 
 
 def label_clusters(centres: DataFrame, prompts: DataFrame) -> DataFrame:
-    """cluster_id, prompt_id, label, score: the prompt (prompt_id, prompt, v) nearest to each centre, the first of equals."""
-    listed = prompts.select("prompt_id", "prompt", "v").orderBy("prompt_id").limit(10_000)
+    """cluster_id, prompt_id, label, score: the prompt (prompt_id, prompt, v) nearest to each centre, the first of equals. More than 10,000 prompts are refused."""
+    listed = prompts.select("prompt_id", "prompt", "v")
+    if listed.limit(10_001).count() > 10_000:
+        raise ValueError("more than 10,000 prompts")
     all_prompts = listed.agg(F.collect_list(F.struct("prompt_id", "prompt", "v")).alias("all"))  # a bounded list in one row
     scored = centres.join(F.broadcast(all_prompts)).select("cluster_id", F.explode(F.transform("all", lambda p: F.struct(F.round(dot(F.col("v"), p.v), 10).alias("score"), (-p.prompt_id).alias("order"), p.prompt.alias("prompt")))).alias("s"))
     best = scored.groupBy("cluster_id").agg(F.max("s").alias("s"))

@@ -263,6 +263,15 @@ def test_weak_density_falls_back_to_kmeans(spark):
     assert density.failure_modes(points, frame(spark, x), n_init=1).where("cluster_id >= 0").count() == 40
 
 
+def test_too_many_prompts_are_refused(spark):
+    v = F.array(F.lit(1.0), F.lit(0.0))
+    prompts = spark.range(10_001).select(F.col("id").cast("int").alias("prompt_id"), F.lit("p").alias("prompt"), v.alias("v"))
+    centres = spark.range(1).select(F.col("id").alias("cluster_id"), v.alias("v"))
+    assert curate.label_clusters(centres, prompts.where("prompt_id < 10000")).first().prompt_id == 0
+    with pytest.raises(ValueError):
+        curate.label_clusters(centres, prompts)
+
+
 def test_queries_run_all_starts(spark, monkeypatch):
     from frameloom.plans import queries
 
