@@ -1,8 +1,16 @@
-"""Candidate pairs of vectors from hashed buckets, and their exact check. Used by the operators that pair vectors."""
+"""Pairs of vectors from hashed buckets, and their exact check. Used by the operators that pair vectors.
+
+Records are split by tokens of rotations, as paths of a tree. The upper part of a path is the shuffle: a bucket that is too large
+for a task is split again by another rotation before it is sent, so only records of such buckets are sent more often. The
+lower part is split inside the task that holds the bucket, by several rotations at once, so depth costs next to no recall. A
+bucket that rotations can't split (a dense group) is cut into blocks, and each pair of blocks is a cell of its own. Which buckets
+are so is estimated from one record in 64; that chooses the layout, never the result.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -12,26 +20,110 @@ from pyspark.sql import functions as F
 from frameloom.llm import hashing as H
 from frameloom.session import stage
 
-#: Rows above which a bucket is cut into blocks.
-HOT = 32768
-#: Class numbers that are sent to all tasks at most.
+#: Bytes of codes above which a bucket is split before it is sent.
+BUCKET_BYTES = 96 << 20
+#: Rows above which a bucket that rotations can't split is cut into blocks.
+DENSE = 65_536
+#: Rows of a part that are compared with each other.
+SMALL = 512
+#: Rotations of a split inside a task.
+TURNS = 3
+#: Class numbers that are sent to all tasks at most (8 bytes each), and bytes of vectors. More are shuffled.
 BROADCAST_ROWS = 500_000
-#: Vectors that are sent to all tasks at most (64 MB at 64 dimensions); more are shuffled to their pairs.
-BROADCAST_VECTORS = 250_000
-
-
-def bucket_pairs(
-    rows: DataFrame,
-    keys: Callable[[np.ndarray], np.ndarray],
-    search: Callable[[int, np.ndarray], tuple[np.ndarray, np.ndarray]],
-    hot: int = HOT,
-    with_sim: bool = False,
-) -> DataFrame:
-    """Distinct pairs (a, b) of classes, a < b, that ``search`` finds in some bucket; ``with_sim`` adds code_sim, the cosine of their codes.
-
-    rows: class, vector. keys: unit rows to (rows, entries) bucket keys. search: a seed and the codes of one cell to two
-    arrays of row numbers. A class that a partition repeats leaves it once, so copies are merged before the shuffle.
+BROADCAST_BYTES = 32 << 20
+
+
+@dataclass
+class Layout:
+    """How roots are split before the shuffle: keys that are split again, and dense keys with their number of blocks."""
+
+    seed: int
+    roots: tuple[int, ...]
+    probes: int = 2
+    split: dict[int, int] = field(default_factory=dict)
+    blocks: dict[int, int] = field(default_factory=dict)
+    depth: int = 1
+
+    def keys(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Row number, key and parent's key of each entry of unit rows. The low six bits of a key are its root."""
+        out = []
+        again = np.array(sorted(self.split), np.uint64)
+        for root in self.roots:
+            at, key, level = np.arange(len(x)), np.full(len(x), H.mix(self.seed, root)), 0
+            while len(at):
+                axes = H.tokens(x[at], H.rotation(x.shape[1], self.seed, 64 * root + level), self.probes)
+                parent = np.repeat(key, self.probes)
+                key = (H.mix(key[:, None], axes).reshape(-1) & ~np.uint64(63)) | np.uint64(root)
+                at = np.repeat(at, self.probes)
+                more = np.isin(key, again)
+                out.append((at[~more], key[~more], parent[~more]))
+                at, key, level = at[more], key[more], level + 1
+        return tuple(np.concatenate(p) for p in zip(*out))
+
+    def cells(self, x: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Row number and cell of each entry; an entry of a dense key is in each cell of its block."""
+        at, key, _ = self.keys(x)
+        if not self.blocks:
+            return at, key
+        dense = np.isin(key, np.array(sorted(self.blocks), np.uint64))
+        rows, cell = [at[~dense]], [key[~dense]]
+        for k in np.unique(key[dense]):
+            own = at[key == k]
+            g = self.blocks[int(k)]
+            block = (H.mix(11, classes[own]) % np.uint64(g)).astype(np.int64)
+            for other in range(g):
+                rows.append(own)
+                cell.append((H.mix(k, np.minimum(block, other), np.maximum(block, other)) & ~np.uint64(63)) | (k & np.uint64(63)))
+        return np.concatenate(rows), np.concatenate(cell)
+
+
+def layout(sample: DataFrame | None, seed: int, roots: tuple[int, ...], probes: int, dim: int, one_in: int = 64) -> Layout:
+    """Looks for large buckets in ``sample`` (class, vector: one record in ``one_in``; None for few records), a level at a time.
+
+    Only keys of large buckets come to the driver: there are at most as many as entries over the bound.
     """
+    out = Layout(seed, roots, probes)
+    most = max(DENSE, BUCKET_BYTES // (dim * 3 // 2 + 1))
+    tried: dict[int, int] = {}
+    while sample is not None and out.depth < 8:
+        probe = Layout(seed, roots, probes, {**out.split, **tried})
+
+        def count(batches: Iterator[pa.RecordBatch], probe: Layout = probe) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                if b.num_rows:
+                    _, key, parent = probe.keys(H.decode(H.encode(H.matrix(b.column(1)))))
+                    yield pa.RecordBatch.from_arrays([pa.array(key.astype(np.int64)), pa.array(parent.astype(np.int64))], ["key", "parent"])
+
+        large = sample.select("class", "vector").mapInArrow(count, "key long, parent long").groupBy("key", "parent").count().where(F.col("count") * one_in > DENSE / 2)
+        found = [(r.key & (2**64 - 1), r.parent & (2**64 - 1), r["count"] * one_in) for r in large.collect()]
+        widest: dict[int, int] = {}
+        for _, parent, n in found:
+            widest[parent] = max(widest.get(parent, 0), n)
+        for key, n in tried.items():
+            if widest.get(key, 0) >= n // 2:
+                out.blocks[key] = -(-n // (DENSE // 2))
+            elif n > most:
+                out.split[key] = n
+        deeper = any(k in out.split for k in tried)
+        out.depth += deeper
+        known = {**out.split, **out.blocks, **tried}
+        fresh = {key: n for key, parent, n in found if n > DENSE and key not in known and (not tried or parent in out.split)}
+        if not fresh:
+            break
+        tried = fresh
+    return out
+
+
+def sampled(rows: DataFrame, number: int, one_in: int = 64) -> DataFrame | None:
+    """One record in ``one_in`` of class, vector, written once; None if no bucket of so few records can be large."""
+    if number <= DENSE:
+        return None
+    return stage(rows.select("class", "vector").where(F.pmod(F.xxhash64(F.lit(3), "class"), F.lit(one_in)) == 0).dropDuplicates(["class"]), "sample")
+
+
+def in_cells(rows: DataFrame, plan: Layout) -> DataFrame:
+    """cell, class, code of each entry of rows (class, vector), sorted by cell. A class that a partition repeats leaves it once, so
+    copies are merged before the shuffle."""
 
     def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -40,44 +132,54 @@ def bucket_pairs(
             fresh = np.fromiter((not (c in seen or seen.add(c)) for c in classes.tolist()), bool, len(classes))
             if not fresh.any():
                 continue
-            b = b.filter(pa.array(fresh))
-            codes = H.encode(H.matrix(b.column(1)))
-            k = keys(H.decode(codes))
-            each = k.shape[1]
-            take = np.repeat(np.arange(len(codes)), each)
-            for lo in range(0, len(take), 8192):
-                t = take[lo : lo + 8192]
-                yield pa.RecordBatch.from_arrays([pa.array(k.reshape(-1)[lo : lo + 8192].astype(np.int64)), pa.array(classes[fresh][t]), H.bytes_column(codes[t])], ["key", "class", "code"])
-
-    def keyed(frame: DataFrame) -> DataFrame:
-        return frame.select("class", "vector").mapInArrow(entries, "key long, class long, code binary")
-
-    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for cell, table in H.grouped(batches, "cell"):
-            classes, first = np.unique(table["class"].to_numpy(), return_index=True)
-            if len(classes) < 2:
+            codes, classes = H.encode(H.matrix(b.column(1).filter(pa.array(fresh)))), classes[fresh]
+            at, cell = plan.cells(H.decode(codes), classes)
+            for lo in range(0, len(at), 8192):
+                t = at[lo : lo + 8192]
+                yield pa.RecordBatch.from_arrays([pa.array(cell[lo : lo + 8192].astype(np.int64)), pa.array(classes[t]), H.bytes_column(codes[t])], ["cell", "class", "code"])
+
+    placed = rows.select("class", "vector").mapInArrow(entries, "cell long, class long, code binary")
+    return placed.repartition("cell").sortWithinPartitions("cell")
+
+
+def cell_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Cell, its different classes in order, and their codes."""
+    for cell, table in H.grouped(batches, "cell"):
+        classes, first = np.unique(table["class"].to_numpy(), return_index=True)
+        if len(classes) > 1:
+            yield cell, classes, np.concatenate([H.bytes_matrix(c) for c in table["code"].chunks])[first]
+
+
+def leaves(codes: np.ndarray, path: int, seed: int, probes: int = 2, small: int | None = None) -> Iterator[np.ndarray]:
+    """Row numbers of the parts of a cell in which all rows are to be compared.
+
+    A part of more than ``small`` rows is split by the tokens of TURNS rotations, sampled by the hash of its path, as long as that
+    saves work; a pair at a cosine that one rotation keeps with p is in one of the parts with 1 - (1 - p)^TURNS.
+    """
+    small, dim = small or SMALL, H.width(codes)
+    parts = [(np.arange(len(codes)), path, 0)]
+    while parts:
+        at, path, depth = parts.pop()
+        if len(at) > small and depth < 12:
+            children, work = [], 0.0
+            for turn in range(TURNS):
+                t = H.code_tokens(codes[at], H.rotation(dim, seed, 4096 + int(H.mix(path, turn)) % 96), probes).reshape(-1)
+                order = np.argsort(t, kind="stable")
+                value, starts = np.unique(t[order], return_index=True)
+                for v, c in zip(value.tolist(), np.split(order // probes, starts[1:])):
+                    if len(c) > 1:
+                        children.append((at[c], int(H.mix(path, turn, v)), depth + 1))
+                        work += float(len(c)) ** 2
+            if work < 0.8 * float(len(at)) ** 2:
+                parts += children
                 continue
-            codes = np.concatenate([H.bytes_matrix(c) for c in table["code"].chunks])[first]
-            i, j = search(cell, codes)
-            if len(i):
-                x = H.decode(codes)
-                both = np.unique(np.minimum(i, j).astype(np.int64) * len(classes) + np.maximum(i, j))
-                i, j = both // len(classes), both % len(classes)
-                for lo in range(0, len(i), 65536):
-                    p, q = i[lo : lo + 65536], j[lo : lo + 65536]
-                    sim = [pa.array(np.einsum("ij,ij->i", x[p], x[q]))] if with_sim else []
-                    yield pa.RecordBatch.from_arrays([pa.array(classes[p]), pa.array(classes[q]), *sim], ["a", "b", "code_sim"][: 2 + with_sim])
-
-    sample = keyed(rows.where(F.pmod(F.xxhash64(F.lit(3), "class"), F.lit(64)) == 0))
-    cells = H.spread(keyed(rows), sample, hot)
-    found = cells.repartition("cell").sortWithinPartitions("cell").mapInArrow(pairs, "a long, b long" + ", code_sim float" * with_sim)
-    return found.groupBy("a", "b").agg(F.min("code_sim").alias("code_sim")) if with_sim else found.distinct()
-
-
-def exact(pairs: DataFrame, rows: DataFrame) -> DataFrame:
+        yield at
+
+
+def exact(pairs: DataFrame, rows: DataFrame, dim: int) -> DataFrame:
     """a, b, sim: the cosine of each pair in double from the stored floats."""
     ends = stage(pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct(), "ends")
-    few = ends.count() <= BROADCAST_ROWS  # of 8 bytes; more of them are shuffled
+    few = ends.count() <= BROADCAST_ROWS
     vectors = rows.select("class", "vector").join(F.broadcast(ends) if few else ends, "class", "left_semi")
     vectors = stage(vectors.dropDuplicates(["class"]), "vectors")
 
@@ -89,9 +191,9 @@ def exact(pairs: DataFrame, rows: DataFrame) -> DataFrame:
 
     left = vectors.select(F.col("class").alias("a"), F.col("vector").alias("x"))
     right = vectors.select(F.col("class").alias("b"), F.col("vector").alias("y"))
-    if few and vectors.count() <= BROADCAST_VECTORS:
+    if few and vectors.count() * (4 * dim + 24) <= BROADCAST_BYTES:
         left, right = F.broadcast(left), F.broadcast(right)
-    joined = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
+    joined = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "x", "y")
     return joined.mapInArrow(cosines, "a long, b long, sim double")
 
 
@@ -107,13 +209,43 @@ def close_pairs(x: np.ndarray, least: float, step: int = 2048) -> tuple[np.ndarr
     return np.concatenate(i), np.concatenate(j)
 
 
-def nearest(x: np.ndarray, k: int, step: int = 2048) -> tuple[np.ndarray, np.ndarray]:
-    """Row numbers of each row and its k most similar other rows, as pairs."""
-    k, i, j = min(k, len(x) - 1), [], []
+def likely(dim: int) -> float:
+    """The share of a pair's largest turn that its cosine shows at most, but for one pair in a million: rounding errors point anywhere."""
+    return min(1.0, 3.5 / dim**0.5)
+
+
+def nearest(x: np.ndarray, k: int, floor: float, turn: float, step: int = 2048) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row numbers of each row and of the rows that can be among its k most similar, and their cosines of at least ``floor``.
+
+    x: unit rows that are off by ``turn`` at most. Besides the k best those come out that the codes don't tell from the k-th.
+    """
+    turn *= likely(x.shape[1])
+    i, j, sims = [], [], []
+    k = min(k, len(x) - 1)
     for lo in range(0, len(x), step):
         s = x[lo : lo + step] @ x.T
         s[np.arange(len(s)), np.arange(lo, lo + len(s))] = -9
-        best = np.argpartition(-s, k - 1, axis=1)[:, :k]
-        i.append(np.repeat(np.arange(lo, lo + len(s)), k))
-        j.append(best.reshape(-1))
-    return np.concatenate(i), np.concatenate(j)
+        close = s >= floor
+        full = np.flatnonzero(close.sum(1) > k)
+        if len(full):
+            last = np.partition(s[full], -k, axis=1)[:, -k]
+            cut = np.cos(np.minimum(np.pi, np.arccos(np.clip(last, -1, 1)) + 4 * turn)) - 3e-6
+            close[full] &= s[full] >= cut[:, None]
+        p, q = np.nonzero(close)
+        i.append(p + lo)
+        j.append(q)
+        sims.append(s[p, q])
+    return np.concatenate(i), np.concatenate(j), np.concatenate(sims)
+
+
+def still_best(i: np.ndarray, sims: np.ndarray, k: int, turn: float, dim: int) -> np.ndarray:
+    """Which entries of row numbers ``i`` (in order) and cosines can be among the k most similar of their row, as in ``nearest``."""
+    turn *= likely(dim)
+    order = np.lexsort((-sims, i))
+    first = np.flatnonzero(np.r_[True, i[1:] != i[:-1]]) if len(i) else np.zeros(0, int)
+    sizes = np.diff(np.r_[first, len(i)])
+    full = sizes >= k
+    cut = np.full(len(first), -9.0)
+    last = sims[order][first[full] + k - 1].astype(np.float64)
+    cut[full] = np.cos(np.minimum(np.pi, np.arccos(np.clip(last, -1, 1)) + 4 * turn)) - 3e-6
+    return sims >= np.repeat(cut, sizes)

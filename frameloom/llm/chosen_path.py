@@ -2,11 +2,11 @@
 
 Each vector is read as a set: of every pseudo-rotation, the two signed axes nearest to it. Small edits leave most of the
 set unchanged. A run splits all records by the tokens of one sampled rotation (a record follows both its tokens), splits each
-part again by another, sampled by the hash of the path so far, and compares all pairs once a part is small. The first splits
-(one up to a million records, another for each 64 times as many) are the shuffle; the deeper ones happen inside the task that
-holds the part, which sees its size. A run finds a pair with
-the probability that it shares a token at each level; runs are repeated until what is missed is below the target. What is
-found is checked on the stored floats.
+part again by others, sampled by the hash of the path so far, and compares all pairs once a part is small. The first split is the
+shuffle; only buckets too large for a task are split again before it, and all deeper splits happen inside the task that holds
+the part (``candidates``). How often a rotation keeps a pair at the threshold is measured on drawn pairs, which gives
+the number of runs; how many pairs the runs still miss is then estimated from the pairs that few runs found, and runs are
+repeated until that share is below the target. What the bounds leave open is checked on the stored floats.
 
 Defined results: a vector that is null, of another length, all zero, or with null or infinite values takes no part. Equal
 vectors are one class, joined once. A repeated token counts once. Extra columns are ignored. No rows give no rows.
@@ -15,71 +15,81 @@ vectors are one class, joined once. A repeated token counts once. Extra columns
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from frameloom.llm import candidates as C
 from frameloom.llm import hashing as H
 from frameloom.llm.components import min_label_components
-from frameloom.session import stage
+from frameloom.session import Stage, stage
 
-#: The least share of pairs at the threshold that come through one level of splitting, by cosine, from tests on random pairs.
-LEVEL_RECALL = ((0.97, 0.95), (0.95, 0.91), (0.9, 0.81), (0.8, 0.62))
+#: Splits inside a task that a run's recall is reckoned with.
+INSIDE = 4
 
 
-def shipped_levels(rows: int, dim: int, bucket: int = 16384) -> int:
-    """Splits before the shuffle: as many as bring the expected part below ``bucket`` rows; a record follows two of the axes at each."""
-    return max(1, math.ceil(math.log(max(2, rows) / bucket) / math.log(H.padded(dim))))
+def runs_needed(threshold: float, recall: float, dim: int, shipped: int = 1) -> int:
+    """Runs that leave less than 1 - ``recall`` of the pairs at the threshold, the least similar ones, unfound."""
+    p = min(0.999999, H.level_recall(threshold, dim))
+    run = p**shipped * (1 - (1 - p) ** C.TURNS) ** INSIDE
+    return max(2, math.ceil(math.log(1 - recall) / math.log(1 - run)))
 
 
-def runs_needed(threshold: float, recall: float, levels: int = 3) -> int:
-    level = next((r for s, r in LEVEL_RECALL if threshold >= s), 0.5)
-    return math.ceil(math.log(1 - recall) / math.log(1 - level**levels))
+def missed_share(once: int, twice: int, found: int, runs: int) -> float:
+    """The estimated share of pairs that no run found, from those that exactly one and exactly two runs found (Chao's estimator)."""
+    unseen = (runs - 1) / runs * once * max(0, once - 1) / (2 * (twice + 1))
+    return unseen / max(1.0, found + unseen)
 
 
-def near_duplicate_classes(rows: DataFrame, number: int, threshold: float = 0.97, recall: float = 0.9999, pool: int = 64, small: int = 256, dim: int = 64, seed: int = 17) -> DataFrame:
+def close_in_runs(rows: DataFrame, plan: C.Layout, least: float) -> DataFrame:
+    """a, b, sim, turn, runs: pairs of classes that some run finds and that can be as similar as ``least``; the cosine of their
+    codes, the angle by which it is off at most, and a bit for each run."""
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for cell, classes, codes in C.cell_rows(batches):
+            off, found = H.turns(codes), []
+            for at in C.leaves(codes, cell, plan.seed, plan.probes):
+                p, q = C.close_pairs(H.decode(codes[at]), H.loosest(least, float(off[at].max())))
+                found.append(np.minimum(at[p], at[q]) * len(classes) + np.maximum(at[p], at[q]))
+            both = np.unique(np.concatenate(found))
+            for lo in range(0, len(both), 65536):
+                i, j = both[lo : lo + 65536] // len(classes), both[lo : lo + 65536] % len(classes)
+                sim = np.einsum("ij,ij->i", H.decode(codes[i]), H.decode(codes[j]))
+                yield pa.RecordBatch.from_arrays([pa.array(classes[i]), pa.array(classes[j]), pa.array(sim), pa.array(off[i] + off[j]), pa.array(np.full(len(i), 1 << (cell & 63), np.int64))], ["a", "b", "sim", "turn", "runs"])
+
+    pairs = C.in_cells(rows, plan).mapInArrow(search, "a long, b long, sim float, turn float, runs long")
+    return pairs.groupBy("a", "b").agg(F.min("sim").alias("sim"), F.max("turn").alias("turn"), F.bit_or("runs").alias("runs"))
+
+
+def near_duplicate_classes(rows: DataFrame, number: int, threshold: float = 0.97, recall: float = 0.9999, dim: int = 64, seed: int = 17) -> DataFrame:
     """a, b of the classes of ``class_rows``, about ``number`` of them, with a cosine of at least ``threshold``.
 
     A pair whose codes are so similar that rounding can't have made the difference needs no check; the others are checked.
     """
-    levels = shipped_levels(number, dim)
-    runs = runs_needed(threshold, recall, levels + 2)
-
-    def keys(x: np.ndarray) -> np.ndarray:
-        out = []
-        for r in range(runs):
-            key = H.mix(seed, np.full((len(x), 1), r))
-            for level in range(levels):
-                axes = H.tokens(x, H.rotation(x.shape[1], seed, int(H.mix(seed, r, level)) % pool))
-                key = H.mix(key[:, :, None], axes[:, None, :]).reshape(len(x), -1)
-            out.append(key)
-        return np.concatenate(out, 1)
-
-    def search(cell: int, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        x, least = H.decode(codes), H.slack(codes, threshold)
-        i, j = [], []
-        parts = [(np.arange(len(x)), int(H.mix(seed, cell)), 0)]
-        while parts:
-            at, path, depth = parts.pop()
-            if len(at) > small and depth < 8:
-                t = H.tokens(x[at], H.rotation(x.shape[1], seed, pool + path % pool))
-                order = np.argsort(t.reshape(-1), kind="stable")
-                value, starts = np.unique(t.reshape(-1)[order], return_index=True)
-                children = [(at[c // 2], int(H.mix(path, v)), depth + 1) for v, c in zip(value.tolist(), np.split(order, starts[1:])) if len(c) > 1]
-                if max((len(c[0]) for c in children), default=0) < 0.9 * len(at):
-                    parts += children
-                    continue
-            p, q = C.close_pairs(x[at], least)
-            i.append(at[p])
-            j.append(at[q])
-        return np.concatenate(i or [np.zeros(0, int)]), np.concatenate(j or [np.zeros(0, int)])
-
-    found = stage(C.bucket_pairs(rows, keys, search, with_sim=True), "pairs")
-    sure = float(np.cos(max(0.0, np.arccos(threshold) - 2 * H.widest_turn(dim) - 1e-4)))
-    checked = C.exact(found.where(F.col("code_sim") < sure), rows).where(F.col("sim") >= threshold)
-    return found.where(F.col("code_sim") >= sure).select("a", "b").unionByName(checked.select("a", "b"))
+    sample = C.sampled(rows, number)
+    runs = runs_needed(threshold, recall, dim)
+    plan = C.layout(sample, seed, tuple(range(runs)), 2, dim)
+    while plan.depth > 1 and runs_needed(threshold, recall, dim, plan.depth) > len(plan.roots):
+        plan = C.layout(sample, seed, tuple(range(runs_needed(threshold, recall, dim, plan.depth))), 2, dim)
+    held = Stage(close_in_runs(rows, plan, threshold), "pairs")
+    while len(plan.roots) < 62:
+        own = F.bit_count("runs")
+        n = held.frame.agg(F.count("*").alias("found"), F.count(F.when(own == 1, 1)).alias("once"), F.count(F.when(own == 2, 1)).alias("twice")).first()
+        if missed_share(n.once, n.twice, n.found, len(plan.roots)) <= 1 - recall:
+            break
+        more = C.layout(sample, seed, tuple(range(len(plan.roots), min(62, len(plan.roots) + 2))), 2, dim)
+        plan.roots += more.roots
+        joined = held.frame.unionByName(close_in_runs(rows, more, threshold)).groupBy("a", "b").agg(F.min("sim").alias("sim"), F.max("turn").alias("turn"), F.bit_or("runs").alias("runs"))
+        after = Stage(joined, "pairs")
+        held.drop()
+        held = after
+    at = F.acos(F.least(F.lit(1.0), F.col("sim").cast("double")))
+    sure = at + F.col("turn") + 1e-4 <= float(np.arccos(threshold))
+    checked = C.exact(held.frame.where(~sure), rows, dim).where(F.col("sim") >= threshold)
+    return held.frame.where(sure).select("a", "b").unionByName(checked.select("a", "b"))
 
 
 def near_duplicate_pairs(batch: DataFrame, column: str = "dinov2", threshold: float = 0.97, dim: int = 64) -> DataFrame:

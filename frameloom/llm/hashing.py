@@ -4,8 +4,8 @@ A vector is hashed by a pseudo-rotation H·D1·H·D2·H·D3 (H the Hadamard tran
 signed axis nearest to the rotated vector. The rotation is built once by fast Hadamard transforms of the identity and
 applied as one matrix product, which for the dimensions of embeddings is faster than the butterflies.
 
-Vectors travel as one byte a dimension. ``margin`` bounds the angle by which the code of a vector can be off, so a
-candidate test on codes loses no pair; what passes is checked on the stored floats.
+Vectors travel as twelve bits a dimension and the angle by which that code is off. The angle bounds each cosine, so a test on
+codes loses no pair; only pairs that the bounds leave open are checked on the stored floats.
 """
 
 from __future__ import annotations
@@ -74,29 +74,64 @@ def tokens(x: np.ndarray, turn: np.ndarray, probes: int = 2) -> np.ndarray:
 
 
 def encode(vectors: np.ndarray) -> np.ndarray:
-    """One signed byte a dimension, scaled to the row's largest value."""
+    """Codes of vectors as rows of bytes: twelve bits a dimension, scaled to the row's largest value, and last the angle by
+    which the code is off, in steps of ``step``, rounded up."""
     v = vectors.astype(np.float64)
-    return np.rint(v * (127 / np.abs(v).max(1, keepdims=True))).astype(np.int8)
+    q = np.rint(v * (2047 / np.abs(v).max(1, keepdims=True))).astype(np.int16)
+    low = (q & 15).astype(np.uint8)
+    if low.shape[1] % 2:
+        low = np.concatenate((low, np.zeros((len(low), 1), np.uint8)), 1)
+    w = q.astype(np.float64)
+    cross = v / np.linalg.norm(v, axis=1, keepdims=True) - w / np.linalg.norm(w, axis=1, keepdims=True)
+    off = 2 * np.arcsin(np.minimum(1, np.linalg.norm(cross, axis=1) / 2))
+    off = np.minimum(255, np.ceil(off / step(v.shape[1]) + 1e-3)).astype(np.uint8)
+    return np.concatenate(((q >> 4).astype(np.int8).view(np.uint8), low[:, 0::2] | (low[:, 1::2] << 4), off[:, None]), 1)
+
+
+def width(codes: np.ndarray) -> int:
+    """Dimensions of codes."""
+    return (codes.shape[1] - 1) * 2 // 3
 
 
 def decode(codes: np.ndarray) -> np.ndarray:
     """Unit rows."""
-    x = codes.astype(np.float32)
+    d = width(codes)
+    x = codes[:, :d].view(np.int8).astype(np.float32) * 16
+    x[:, 0::2] += codes[:, d:-1][:, : (d + 1) // 2] & 15
+    x[:, 1::2] += codes[:, d:-1][:, : d // 2] >> 4
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def slack(codes: np.ndarray, similarity: float, sign: int = 1) -> float:
-    """The least cosine that codes of a pair of ``similarity`` can have, or with sign -1 the largest.
+def step(dim: int) -> float:
+    """The unit of a code's angle: 255 of them are the most that any code of ``dim`` values can be off, as its largest value is 2047."""
+    return float(np.arcsin(min(1.0, 0.5 * np.sqrt(dim) / 2047))) / 250
+
+
+def turns(codes: np.ndarray) -> np.ndarray:
+    """The angle by which each code is off at most; a little more for the arithmetic of single floats."""
+    return codes[:, -1].astype(np.float32) * np.float32(step(width(codes))) + np.float32(1e-5)
+
 
-    Rounding moves a code by half a step a dimension at most, which bounds the angle it can turn.
-    """
-    off = 0.5 * np.sqrt(codes.shape[1]) / np.linalg.norm(codes.astype(np.float32), axis=1).min()
-    return float(np.cos(np.clip(np.arccos(np.clip(similarity, -1, 1)) + sign * (2 * np.arcsin(min(1.0, off)) + 1e-4), 0, np.pi)))
+def loosest(similarity: float, turn: float) -> float:
+    """The least cosine that codes of a pair of ``similarity`` can have, if each is off by ``turn`` at most."""
+    return float(np.cos(min(np.pi, np.arccos(np.clip(similarity, -1, 1)) + 2 * turn))) - 1e-6
 
 
-def widest_turn(dim: int) -> float:
-    """The angle by which any code of ``dim`` values can be off: its largest value is 127."""
-    return float(np.arcsin(min(1.0, 0.5 * np.sqrt(dim) / 127)))
+def level_recall(similarity: float, dim: int, probes: int = 2, pairs: int = 4096, rotations: int = 8, seed: int = 101) -> float:
+    """The share of pairs at a cosine that share one of their ``probes`` nearest axes of a rotation: measured on drawn pairs."""
+    rng = np.random.default_rng(seed)
+    x = rng.standard_normal((pairs, dim))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    y = rng.standard_normal((pairs, dim))
+    y -= (x * y).sum(1, keepdims=True) * x
+    y = similarity * x + np.sqrt(max(0.0, 1 - similarity**2)) * y / np.maximum(1e-12, np.linalg.norm(y, axis=1, keepdims=True))
+    hit = [(tokens(x, t, probes)[:, :, None] == tokens(y, t, probes)[:, None, :]).any((1, 2)).mean() for t in (rotation(dim, seed, r) for r in range(rotations))]
+    return float(np.mean(hit))
+
+
+def code_tokens(codes: np.ndarray, turn: np.ndarray, probes: int = 2, part: int = 32768) -> np.ndarray:
+    """``tokens`` of codes, a part at a time."""
+    return np.concatenate([tokens(decode(codes[lo : lo + part]), turn, probes) for lo in range(0, len(codes), part)])
 
 
 def mix(*parts: np.ndarray | int) -> np.ndarray:
@@ -127,7 +162,7 @@ def bytes_column(codes: np.ndarray) -> pa.Array:
 def bytes_matrix(column: pa.Array) -> np.ndarray:
     n = len(column)
     offsets = np.frombuffer(column.buffers()[1], np.int32, n + 1, column.offset * 4)
-    return np.frombuffer(column.buffers()[2], np.int8)[offsets[0] : offsets[-1]].reshape(n, -1) if n else np.zeros((0, 1), np.int8)
+    return np.frombuffer(column.buffers()[2], np.uint8)[offsets[0] : offsets[-1]].reshape(n, -1) if n else np.zeros((0, 3), np.uint8)
 
 
 def grouped(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[int, pa.Table]]:
@@ -147,24 +182,3 @@ def grouped(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[int,
             held.append(b.slice(lo, hi - lo))
     if last is not None:
         yield last, pa.Table.from_batches(held)
-
-
-def spread(entries: DataFrame, rows: DataFrame, hot: int) -> DataFrame:
-    """Gives each entry (key, ...) the cell in which its bucket, or a pair of blocks of its bucket, is searched.
-
-    A bucket expected above ``hot`` rows is cut into g blocks by the hash of the class; each pair of blocks is a cell,
-    so every pair of rows still meets in a cell, no task holds the bucket, and no row is dropped. A cell keeps the low six bits
-    of its key. Which buckets are hot is
-    estimated from one row in 64; that estimate only chooses the physical layout, never the result.
-    """
-    from frameloom.session import stage
-
-    heavy = rows.groupBy("key").count().where(F.col("count") * 64 > hot)
-    heavy = stage(heavy.select("key", F.ceil(F.col("count") * 64 / (hot // 2)).cast("int").alias("blocks")), "hot")
-    own = F.pmod(F.xxhash64(F.lit(7), "class"), F.col("blocks")).cast("int")
-    other = F.explode(F.when(F.col("blocks").isNull(), F.array(F.lit(-1))).otherwise(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    joined = entries.join(heavy, "key", "left").withColumn("own", own).withColumn("other", other)
-    pair = F.struct(F.least("own", "other"), F.greatest("own", "other"))
-    mixed = F.xxhash64("key", pair).bitwiseAND(F.lit(~63)).bitwiseOR(F.col("key").bitwiseAND(F.lit(63)))
-    cell = F.when(F.col("blocks").isNull(), F.col("key")).otherwise(mixed)
-    return joined.select(cell.alias("cell"), *(c for c in entries.columns))

@@ -1,9 +1,11 @@
 """Most similar vectors for every vector, by cross-polytope hashing (problem 4).
 
-A table hashes a unit vector by pseudo-rotations, each to its nearest signed axes. Multiprobe: a record goes into the
-buckets of its nearest axes (two, unless told otherwise) of every rotation, so a close pair that a cut separates still meets. The last rotation of a
-table is applied inside the task that holds the bucket of the others; this ships a record twice a table instead of four
-times. Candidates of all tables are ranked again by the exact cosine of the stored floats.
+A table hashes a unit vector by a pseudo-rotation to its nearest signed axes. Multiprobe: a record goes into the buckets of its
+nearest axes (two, unless told otherwise), so a close pair that a cut separates still meets. The other rotations of a table are
+applied inside the task that holds the bucket, to parts that are still large, several at once (``candidates``); so more records
+mean more splits in tasks, neither more entries nor less recall. The number of tables follows from the share of pairs that a
+rotation keeps, which is measured on drawn pairs. A part sends on only what can be among a record's k best, as far as the
+codes tell. Of these, answers that the codes can't settle are ranked again by the exact cosine of the stored floats.
 
 Defined results: unusable vectors (null, another length, all zero, null or infinite values) are neither queries nor
 answers. A repeated token counts once. Equal vectors are one class: each class offers its k + 1 smallest tokens, which are
@@ -13,8 +15,10 @@ all that can be among k answers with ties by smaller token. With fewer than k ot
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,89 +26,97 @@ from frameloom.llm import candidates as C
 from frameloom.llm import hashing as H
 from frameloom.session import stage
 
-
-def rotations_per_table(rows: int, dim: int, bucket: int = 128) -> int:
-    """Rotations that bring the expected bucket of unrelated vectors below ``bucket`` rows; two at least."""
-    return max(2, math.ceil(math.log(max(2, rows) / bucket) / math.log(2 * H.padded(dim))))
-
-
-def class_neighbours(rows: DataFrame, k: int, least: float | None, tables: int, rotations: int, probes: int = 2, seed: int = 29) -> DataFrame:
-    """a, b, sim of candidate pairs of classes: all with a cosine of at least ``least``, or without it each one's nearest."""
-
-    def keys(x: np.ndarray) -> np.ndarray:
-        out = []
-        for t in range(tables):
-            key = H.mix(seed, np.full((len(x), 1), t))
-            for r in range(rotations - 1):
-                axes = H.tokens(x, H.rotation(x.shape[1], seed, t * rotations + r), probes)
-                key = H.mix(key[:, :, None], axes[:, None, :]).reshape(len(x), -1)
-            # the low bits name the table, for the rotation that is left
-            out.append((key & ~np.uint64(63)) | np.uint64(t))
-        return np.concatenate(out, 1)
-
-    def search(cell: int, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        x = H.decode(codes)
-        floor = H.slack(codes, least) if least is not None else None
-        axes = H.tokens(x, H.rotation(x.shape[1], seed, (cell & 63) * rotations + rotations - 1), probes)
-        order = np.argsort(axes.reshape(-1), kind="stable")
-        starts = np.unique(axes.reshape(-1)[order], return_index=True)[1]
-        i, j = [], []
-        for part in np.split(order // probes, starts[1:]):
-            if len(part) > 1:
-                p, q = C.close_pairs(x[part], floor) if floor is not None else C.nearest(x[part], k + 3)
-                i.append(part[p])
-                j.append(part[q])
-        i, j = np.concatenate(i or [np.zeros(0, int)]), np.concatenate(j or [np.zeros(0, int)])
-        return unseen(x, i, j, cell & 63) if floor is not None and len(i) else (i, j)
-
-    def unseen(x: np.ndarray, i: np.ndarray, j: np.ndarray, table: int) -> tuple[np.ndarray, np.ndarray]:
-        """The pairs that no earlier table finds: one finds a pair if the two share an axis of each of its rotations."""
-        both = np.unique(np.minimum(i, j).astype(np.int64) * len(x) + np.maximum(i, j))
-        i, j = both // len(x), both % len(x)
-        for t in range(table):
-            rows, at = np.unique(np.concatenate((i, j)), return_inverse=True)
-            p, q, seen = at[: len(i)], at[len(i) :], np.ones(len(i), bool)
-            for r in range(rotations):
-                axes = H.tokens(x[rows], H.rotation(x.shape[1], seed, t * rotations + r), probes)
-                seen &= (axes[p][:, :, None] == axes[q][:, None, :]).any((1, 2))
-            i, j = i[~seen], j[~seen]
-            if not len(i):
-                break
-        return i, j
-
-    found = stage(C.bucket_pairs(rows, keys, search), "candidates")
-    sims = C.exact(found, rows)
-    return sims if least is None else sims.where(F.round("sim", 6) >= least)
-
-
-def nearest_samples(batch: DataFrame, column: str, k: int = 5, least: float | None = None, dim: int = 64, tables: int | None = None, probes: int | None = None) -> DataFrame:
+#: Splits inside a task that a table's recall is reckoned with.
+INSIDE = 2
+#: Similarities count as equal when they are when rounded to six decimals.
+TIE = 2e-6
+
+
+def tables_needed(least: float, dim: int, probes: int = 2, recall: float = 0.998, shipped: int = 1) -> int:
+    """Tables that find a pair at the cosine ``least`` with a probability of ``recall``."""
+    p = min(0.999999, H.level_recall(least, dim, probes))
+    table = p**shipped * (1 - (1 - p) ** C.TURNS) ** INSIDE
+    return max(2, math.ceil(math.log(1 - recall) / math.log(1 - table)))
+
+
+def class_neighbours(rows: DataFrame, k: int, least: float | None, plan: C.Layout) -> DataFrame:
+    """class, other, sim, turn: for each class those that can be among its ``k`` most similar (of at least ``least``), with the
+    cosine of their codes and the angle by which it is off at most."""
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for cell, classes, codes in C.cell_rows(batches):
+            off, found, sims = H.turns(codes), [], []
+            for at in C.leaves(codes, cell, plan.seed, plan.probes):
+                turn = float(off[at].max())
+                p, q, s = C.nearest(H.decode(codes[at]), k, H.loosest(least, turn) if least is not None else -2.0, turn)
+                found.append(at[p] * len(classes) + at[q])
+                sims.append(s)
+            both, first = np.unique(np.concatenate(found), return_index=True)
+            sims = np.concatenate(sims)[first]
+            keep = C.still_best(both // len(classes), sims, k, float(off.max()), H.width(codes))
+            both, sims = both[keep], sims[keep]
+            for lo in range(0, len(both), 65536):
+                i, j = both[lo : lo + 65536] // len(classes), both[lo : lo + 65536] % len(classes)
+                yield pa.RecordBatch.from_arrays([pa.array(classes[i]), pa.array(classes[j]), pa.array(sims[lo : lo + 65536]), pa.array(off[i] + off[j])], ["class", "other", "sim", "turn"])
+
+    pairs = C.in_cells(rows, plan).mapInArrow(search, "class long, other long, sim float, turn float").repartition("class")
+    return pairs.groupBy("class", "other").agg(F.max("sim").alias("sim"), F.max("turn").alias("turn"))
+
+
+def _settled(links: DataFrame, sizes: DataFrame, k: int, least: float | None, ranked: bool, dim: int) -> DataFrame:
+    """Links that can matter, with their bounds ``low`` and ``high`` and whether they are ``open``: a link is settled if so few tokens can
+    be better that its class is among the k best whatever the exact cosines are, or, with ``ranked``, never."""
+    other, mine = sizes.select(F.col("class").alias("other"), F.col("n").alias("w")), sizes.select("class", F.col("n").alias("w0"))
+    links = links.join(other, "other", "left").join(mine, "class", "left").withColumn("w", F.coalesce("w", F.lit(1))).withColumn("w0", F.coalesce("w0", F.lit(1)) - 1)
+    at = F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.col("sim").cast("double"))))
+    links = links.withColumn("sure", F.lit(not ranked))
+    if least is not None:
+        links = links.where(F.cos(F.greatest(F.lit(0.0), at - F.col("turn"))) + TIE >= least).withColumn("sure", F.col("sure") & (F.cos(F.least(F.lit(math.pi), at + F.col("turn"))) - TIE >= least))
+    off = F.col("turn") * C.likely(dim)
+    links = links.withColumn("low", F.cos(F.least(F.lit(math.pi), at + off)) - TIE).withColumn("high", F.cos(F.greatest(F.lit(0.0), at - off)) + TIE)
+    by = Window.partitionBy("class")
+    links = links.withColumn("above", F.sum("w").over(by.orderBy(F.desc("low")))).withColumn("reach", F.sum("w").over(by.orderBy(F.desc("high"))) + F.col("w0"))
+    # k tokens are surely at least as good as ``floor``; no more than k tokens can be better than ``roof``
+    links = links.withColumn("floor", F.max(F.when(F.col("above") >= k, F.col("low"))).over(by)).withColumn("roof", F.max(F.when(F.col("reach") > k, F.col("high"))).over(by))
+    links = links.where(F.coalesce(F.col("high") >= F.col("floor"), F.lit(True)))
+    settled = F.coalesce(F.col("low") > F.col("roof"), F.lit(True)) & F.col("sure")
+    return links.select("class", "other", F.col("sim").cast("double").alias("sim"), (~settled).alias("open"))
+
+
+def nearest_samples(batch: DataFrame, column: str, k: int = 5, least: float | None = None, dim: int = 64, tables: int | None = None, probes: int | None = None, ranked: bool = True, seed: int = 29) -> DataFrame:
     """sample_token, rank (from 1), neighbour, sim: the k most similar other samples of each, sim rounded to 6 decimals.
 
-    Ties go to the smaller token. ``least`` drops what is less similar, and lets the tables search only for that. With
-    it, 6 tables of 2 probes find over 0.99 of pairs at a cosine of 0.9, and nearly all above; without it, 10 tables of 5
-    probes find over 0.9 of the nearest even of unrelated vectors.
+    Ties go to the smaller token. ``least`` drops what is less similar, and lets the tables search only for that: as many
+    tables of 2 probes as find 0.998 of the pairs at ``least``, and nearly all above. Without it, 10 tables of 5
+    probes find over 0.9 of the nearest even of unrelated vectors. Without ``ranked`` the answers are the same, but the order and
+    sim of those that need no exact check are those of the codes.
     """
-    if tables is not None and tables > 64:
-        raise ValueError("at most 64 tables")
     rows = H.class_rows(batch, column, dim)
     own = stage(H.members(rows), "members")
-    number = own.agg(F.count("*")).first()[0]
-    rotations = rotations_per_table(number, dim)
-    tables, probes = tables or (6 if least is not None else 10), probes or (2 if least is not None else 5)
-    links = stage(class_neighbours(rows, k, least, tables, rotations, probes), "links")
-    shared = stage(own.groupBy("class").count().where("count > 1").select("class", F.col("class").alias("other"), F.lit(1.0).alias("sim")), "shared")
-    # only tokens whose class has a neighbour or another token have answers
-    ends = stage(links.select(F.explode(F.array("a", "b")).alias("class")).unionByName(shared.select("class")).distinct(), "ends")
-    own = stage(own.join(F.broadcast(ends) if ends.count() <= C.BROADCAST_ROWS else ends, "class", "left_semi"), "answered")
+    number = own.count()
+    probes = probes or (2 if least is not None else 5)
+    tables = tables or (tables_needed(least, dim, probes) if least is not None else 10)
+    sample = C.sampled(rows, number)
+    plan = C.layout(sample, seed, tuple(range(tables)), probes, dim)
+    if least is not None and plan.depth > 1:
+        plan = C.layout(sample, seed, tuple(range(max(tables, tables_needed(least, dim, probes, shipped=plan.depth)))), probes, dim)
+    shared = stage(own.groupBy("class").agg(F.count("*").alias("n")).where("n > 1"), "shared")
+    small = F.broadcast(shared) if shared.count() <= C.BROADCAST_ROWS else shared
+    links = stage(_settled(class_neighbours(rows, k, least, plan), small, k, least, ranked, dim), "links")
+    ends = F.least("class", "other").alias("a"), F.greatest("class", "other").alias("b")
+    sims = C.exact(links.where("open").select(*ends).distinct(), rows, dim)
+    sims = sims if least is None else sims.where(F.round("sim", 6) >= least)
+    checked = links.where("open").select("class", "other", *ends).join(sims, ["a", "b"]).select("class", "other", "sim")
+    near = links.where("not open").select("class", "other", "sim").unionByName(checked)
+    same = shared.select("class", F.col("class").alias("other"), F.lit(1.0).alias("sim"))
+    near = stage(near.withColumn("sim", F.round("sim", 6)).unionByName(same), "near")
+    # only tokens whose class has a neighbour or another token ask or answer
+    own = stage(own.join(near.select(F.explode(F.array("class", "other")).alias("class")).distinct(), "class", "left_semi"), "answered")
     some = own.withColumn("at", F.row_number().over(Window.partitionBy("class").orderBy("token"))).where(F.col("at") <= k + 1)
-    some = some.select(F.col("class").alias("other"), F.col("token").alias("neighbour"))
-    both = links.select(F.col("a").alias("class"), F.col("b").alias("other"), "sim").unionByName(links.select(F.col("b").alias("class"), F.col("a").alias("other"), "sim"))
-    # each class offers a token at least, so only the k + 1 most similar classes and their ties can matter
-    near = both.withColumn("sim", F.round("sim", 6)).withColumn("at", F.rank().over(Window.partitionBy("class").orderBy(F.desc("sim"))))
-    offers = near.where(F.col("at") <= k + 1).drop("at").unionByName(shared).join(some, "other")
+    offers = near.join(some.select(F.col("class").alias("other"), F.col("token").alias("neighbour")), "other")
     # per class the k + 1 best tokens: a member of the class leaves itself out
     best = Window.partitionBy("class").orderBy(F.desc("sim"), "neighbour")
-    offers = offers.withColumn("at", F.row_number().over(best)).where(F.col("at") <= k + 1).select("class", "neighbour", "sim", "at")
+    offers = offers.withColumn("at", F.row_number().over(best)).where(F.col("at") <= k + 1).select("class", "neighbour", "sim")
     mine = offers.join(own, "class").where(F.col("token") != F.col("neighbour"))
     rank = F.row_number().over(Window.partitionBy("token").orderBy(F.desc("sim"), "neighbour"))
     return mine.withColumn("rank", rank).where(F.col("rank") <= k).select(F.col("token").alias("sample_token"), "rank", "neighbour", "sim")
@@ -114,7 +126,7 @@ def close_neighbour_pairs(batch: DataFrame, spaces: tuple[str, ...] = ("dinov2",
     """space, token_a, token_b: each pair of which one is among the other's k nearest with a cosine of at least ``least``."""
     out = None
     for space in spaces:
-        near = nearest_samples(batch, space, k, least, dim)
+        near = nearest_samples(batch, space, k, least, dim, ranked=False)
         pairs = near.select(F.lit(space).alias("space"), F.least("sample_token", "neighbour").alias("token_a"), F.greatest("sample_token", "neighbour").alias("token_b")).distinct()
         out = pairs if out is None else out.unionByName(pairs)
     return out
