@@ -25,7 +25,7 @@ BUCKET_BYTES = 96 << 20
 #: Rows above which a bucket that rotations can't split is cut into blocks.
 DENSE = 65_536
 #: Rows of a part that are compared with each other.
-SMALL = 512
+SMALL = 1024
 #: Rotations of a split inside a task.
 TURNS = 3
 #: Class numbers that are sent to all tasks at most (8 bytes each), and bytes of vectors. More are shuffled.
@@ -162,15 +162,16 @@ def leaves(codes: np.ndarray, path: int, seed: int, probes: int = 2, small: int
         at, path, depth = parts.pop()
         if len(at) > small and depth < 12:
             children, work = [], 0.0
-            for turn in range(TURNS):
-                t = H.code_tokens(codes[at], H.rotation(dim, seed, 4096 + int(H.mix(path, turn)) % 96), probes).reshape(-1)
-                order = np.argsort(t, kind="stable")
-                value, starts = np.unique(t[order], return_index=True)
+            numbers = [4096 + int(H.mix(path, turn)) % 96 for turn in range(TURNS)]
+            for turn, t in enumerate(H.code_tokens(codes[at], [H.rotation(dim, seed, n) for n in numbers], probes)):
+                order = np.argsort(t.reshape(-1), kind="stable")
+                value, starts = np.unique(t.reshape(-1)[order], return_index=True)
                 for v, c in zip(value.tolist(), np.split(order // probes, starts[1:])):
                     if len(c) > 1:
                         children.append((at[c], int(H.mix(path, turn, v)), depth + 1))
                         work += float(len(c)) ** 2
-            if work < 0.8 * float(len(at)) ** 2:
+            # a split costs about as much as comparing each row with ``small`` others
+            if work + small * (len(at) + 4.0 * len(children)) < float(len(at)) ** 2:
                 parts += children
                 continue
         yield at

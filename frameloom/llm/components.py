@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from frameloom.session import Stage, stage
@@ -15,52 +15,82 @@ def _edges(pairs: DataFrame, src: str, dst: str) -> DataFrame:
     return pairs.where(sound).select(low.alias("src"), high.alias("dst")).distinct()
 
 
-def _numbered(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Edges between numbers that are ordered as the nodes, and node, id. The numbers are written before they are used, so they stay."""
-    ends = edges.select(F.explode(F.array("src", "dst")).alias("node")).distinct()
-    nodes = stage(ends.repartitionByRange("node").sortWithinPartitions("node").withColumn("id", F.monotonically_increasing_id()), "numbers")
-    low, high = nodes.select(F.col("node").alias("src"), F.col("id").alias("s")), nodes.select(F.col("node").alias("dst"), F.col("id").alias("d"))
-    return edges.join(low, "src").join(high, "dst").select(F.col("s").alias("src"), F.col("d").alias("dst")), nodes
+#: Rows that one key may have in a shuffled join. Values of more frequent keys are sent to all tasks: there are few such keys.
+HOT = 1 << 18
 
 
-def min_label_components(pairs: DataFrame, src: str = "src", dst: str = "dst", max_rounds: int = 200) -> DataFrame:
-    """node, label: every node of an edge between two different nodes, with the smallest node of its component.
+def _hot(frame: DataFrame, column: str, rows: int) -> DataFrame | None:
+    """Values of a column that more than HOT of its ``rows`` have: at most rows / HOT."""
+    if rows <= HOT:
+        return None
+    found = stage(frame.groupBy(column).count().where(F.col("count") > HOT).select(column), "hot")
+    return found if found.count() else None
 
-    Text nodes are numbered in their order first, so that the rounds move and compare numbers only.
 
-    A round gives each node the smallest label among its neighbours, hooks the root of its old label to it as well, then
-    jumps: the label of a node becomes the label of its label. Each round is written to the shared folder; the loop ends
-    when no label changes. Hot nodes are pre-aggregated: only minima are shuffled, never a neighbour list. Null ends and
-    loops make no edge; repeated and turned edges count once; no edges give no rows.
+def _look_up(big: DataFrame, column: str, small: DataFrame, value: str, rows: int, out: str) -> DataFrame:
+    """``big`` with the ``value`` that ``small`` (id, value) has for a column, as ``out``; null where it has none. A hot key is not shuffled."""
+    own = small.select(F.col("id").alias("_id"), F.col(value).alias(out))
+    hot = _hot(big, column, rows)
+    if hot is None:
+        return big.join(own, big[column] == own["_id"], "left").drop("_id")
+    few = small.join(F.broadcast(hot.select(F.col(column).alias("id"))), "id", "left_semi").select(F.col("id").alias("_hid"), F.col(value).alias("_hot"))
+    big = big.join(F.broadcast(few), F.col(column) == F.col("_hid"), "left")
+    # rows that have their value go anywhere
+    big = big.withColumn("_key", F.when(F.col("_hid").isNull(), F.col(column)).otherwise(F.xxhash64(*big.columns)))
+    big = big.join(own, F.col("_key") == F.col("_id"), "left")
+    return big.withColumn(out, F.when(F.col("_hid").isNull(), F.col(out)).otherwise(F.col("_hot"))).drop("_hid", "_hot", "_key", "_id")
+
+
+def min_label_components(pairs: DataFrame, src: str = "src", dst: str = "dst", max_rounds: int = 100) -> DataFrame:
+    """node, label, size: every node of an edge between two different nodes, with the smallest node and the size of its component.
+
+    Nodes are told by a 64-bit hash, so that rounds move numbers, in an order that has nothing to do with the graph; two nodes of
+    one hash are noticed, and another hash is taken. A round gives each node the smallest number among itself and its
+    neighbours and jumps: a node's parent becomes its parent's. Then edges are contracted to the parents of their ends: those
+    inside one parent go, equal ones become one, and components without an edge left are finished and take no further part.
+    Each round is written to the shared folder; the loop ends when no edge is left. Parents are then followed back to the
+    nodes, and the smallest node of each component is its label. Minima, never neighbour lists, are shuffled; a key with very
+    many rows isn't. Null ends and loops make no edge; repeated and turned edges count once; no edges give no rows.
     """
-    found, nodes = _edges(pairs, src, dst), None
-    if found.schema["src"].dataType.typeName() != "long":
-        found, nodes = _numbered(stage(found, "pairs"))
-    edges = Stage(found, "edges")
-    both = edges.frame.unionByName(edges.frame.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
-    labels = Stage(both.groupBy("src").agg(F.min("dst").alias("m")).select(F.col("src").alias("node"), F.least("src", "m").alias("label")), "labels")
-    for _ in range(max_rounds):
-        now = labels.frame
-        seen = both.join(now.select(F.col("node").alias("dst"), F.col("label").alias("other")), "dst")
-        best = seen.groupBy("src").agg(F.min("other").alias("m")).select(F.col("src").alias("node"), "m")
-        step = now.join(best, "node").select("node", "label", F.least("label", "m").alias("m"))
-        hooks = step.groupBy(F.col("label").alias("node")).agg(F.min("m").alias("h"))
-        hooked = step.join(hooks, "node", "left").select("node", F.col("label").alias("old"), F.least("m", F.coalesce("h", "m")).alias("label"))
-        up = hooked.select(F.col("node").alias("label"), F.col("label").alias("jump"))
-        jumped = hooked.join(up, "label", "left").select("node", "old", F.least("label", F.coalesce("jump", "label")).alias("label"))
-        after = Stage(jumped, "labels")
-        changed = after.frame.where(F.col("old") != F.col("label")).limit(1).count()
-        labels.drop()
-        labels = after
-        if not changed:
+    sound = pairs.where(F.col(src).isNotNull() & F.col(dst).isNotNull() & (F.col(src) != F.col(dst))).select(F.col(src).alias("s"), F.col(dst).alias("d"))
+    for seed in range(20):
+        code = lambda c, seed=seed: F.xxhash64(F.lit(seed), c)
+        ends = sound.select(F.explode(F.array("s", "d")).alias("node")).select("node", code("node").alias("id"))
+        held = Stage(ends.groupBy("id").agg(F.min("node").alias("node"), F.max("node").alias("other")), "nodes")
+        nodes = held.frame
+        if not nodes.where("node <> other").limit(1).count():
             break
+        held.drop()
     else:
-        raise RuntimeError(f"labels still change after {max_rounds} rounds")
-    out = labels.frame.select("node", "label")
-    if nodes is None:
-        return out
-    names, heads = nodes.select(F.col("id").alias("node"), F.col("node").alias("name")), nodes.select(F.col("id").alias("label"), F.col("node").alias("head"))
-    return out.join(names, "node").join(heads, "label").select(F.col("name").alias("node"), F.col("head").alias("label"))
+        raise RuntimeError("nodes of equal hashes under every seed")
+    edges = Stage(sound.select(F.least(code("s"), code("d")).alias("a"), F.greatest(code("s"), code("d")).alias("b")).distinct(), "edges")
+    rounds: list[tuple[Stage, int]] = []
+    left = edges.frame.count()
+    while left:
+        if len(rounds) == max_rounds:
+            raise RuntimeError(f"{left} edges are left after {max_rounds} rounds")
+        e = edges.frame
+        least = e.select("a", "b").unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b"))).groupBy("a").agg(F.min("b").alias("m"))
+        least = least.select(F.col("a").alias("id"), F.least("a", "m").alias("m"))
+        up = _look_up(least, "m", least, "m", 2 * left, "parent").select("id", "parent")
+        parents = Stage(up, "parents")
+        number = parents.frame.count()
+        moved = _look_up(_look_up(e, "a", parents.frame, "parent", left, "p"), "b", parents.frame, "parent", left, "q")
+        after = Stage(moved.where("p <> q").select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct(), "edges")
+        edges.drop()
+        edges, left = after, after.frame.count()
+        rounds.append((parents, number))
+    if not rounds:
+        return nodes.select("node", F.col("node").alias("label"), F.lit(1).cast("long").alias("size"))
+    up, count = rounds[-1][0].frame, rounds[-1][1]
+    for parents, number in reversed(rounds[:-1]):
+        up = _look_up(parents.frame, "parent", up, "parent", number, "next").select("id", F.coalesce("next", "parent").alias("parent"))
+        count = number
+    placed = Stage(nodes.select("id", "node").join(up, "id").select("node", F.col("parent").alias("root")), "placed")
+    for parents, _ in rounds:
+        parents.drop()
+    heads = placed.frame.groupBy("root").agg(F.min("node").alias("label"), F.count("*").alias("size")).select(F.col("root").alias("id"), F.struct("label", "size").alias("head"))
+    return _look_up(placed.frame, "root", heads, "head", count, "head").select("node", "head.label", "head.size")
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -109,6 +139,13 @@ def clean_token(token: Column) -> Column:
     return F.when(text != "", text)
 
 
+def _linked(matches: DataFrame, groups: DataFrame) -> DataFrame:
+    pairs = matches.where(F.col("is_match")).select(clean_token(F.col("src_token")).alias("src"), clean_token(F.col("dst_token")).alias("dst"))
+    listed = groups.select(clean_token(F.col("representative")).alias("head"), F.transform("members", clean_token).alias("members"))
+    listed = listed.select(F.coalesce("head", F.array_min("members")).alias("src"), F.explode("members").alias("dst"))
+    return min_label_components(pairs.unionByName(listed))
+
+
 def consolidated_groups(matches: DataFrame, groups: DataFrame) -> DataFrame:
     """sample_token, group_token: every token of a group of two or more with the smallest token of its group (problem 5).
 
@@ -117,21 +154,18 @@ def consolidated_groups(matches: DataFrame, groups: DataFrame) -> DataFrame:
     false is_match and one-member groups link nothing; a group without representative links its members to the smallest
     of them. Repeated rows count once.
     """
-    pairs = matches.where(F.col("is_match")).select(clean_token(F.col("src_token")).alias("src"), clean_token(F.col("dst_token")).alias("dst"))
-    listed = groups.select(clean_token(F.col("representative")).alias("head"), F.transform("members", clean_token).alias("members"))
-    listed = listed.select(F.coalesce("head", F.array_min("members")).alias("src"), F.explode("members").alias("dst"))
-    linked = min_label_components(pairs.unionByName(listed))
-    return linked.select(F.col("node").alias("sample_token"), F.col("label").alias("group_token"))
+    return _linked(matches, groups).select(F.col("node").alias("sample_token"), F.col("label").alias("group_token"))
 
 
-def group_records(matches: DataFrame, groups: DataFrame) -> DataFrame:
-    """representative, n_members, members of each group, the members in order; at most 1,000 members are listed per row.
+def group_records(matches: DataFrame, groups: DataFrame, most: int = 1000) -> DataFrame:
+    """representative, part, n_members, members of each group, the members in order; at most ``most`` members are listed per row.
 
     A larger group comes out as several rows numbered by ``part``, so no row grows with the group.
     """
-    each = consolidated_groups(matches, groups)
-    parts = F.pmod(F.xxhash64("sample_token"), F.greatest(F.lit(1), F.ceil(F.col("n") / 500))).cast("int")
-    sizes = each.groupBy("group_token").agg(F.count("*").alias("n"))
-    rows = each.join(sizes, "group_token").withColumn("part", parts).groupBy("group_token", "part")
-    rows = rows.agg(F.first("n").alias("n_members"), F.array_sort(F.collect_list("sample_token")).alias("members"))
-    return rows.select(F.col("group_token").alias("representative"), "part", "n_members", "members")
+    parts = F.ceil(F.col("size") / (most / 2)).cast("int")
+    each = _linked(matches, groups).withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    place = F.row_number().over(Window.partitionBy("label", "part").orderBy("node")) - 1
+    # a part of which the hash made more than ``most`` is cut once more
+    each = each.withColumn("part", (F.col("part") + F.floor(place / most) * F.col("parts")).cast("int"))
+    rows = each.groupBy("label", "part").agg(F.first("size").alias("n_members"), F.array_sort(F.collect_list("node")).alias("members"))
+    return rows.select(F.col("label").alias("representative"), "part", "n_members", "members")

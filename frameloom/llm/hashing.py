@@ -129,9 +129,14 @@ def level_recall(similarity: float, dim: int, probes: int = 2, pairs: int = 4096
     return float(np.mean(hit))
 
 
-def code_tokens(codes: np.ndarray, turn: np.ndarray, probes: int = 2, part: int = 32768) -> np.ndarray:
-    """``tokens`` of codes, a part at a time."""
-    return np.concatenate([tokens(decode(codes[lo : lo + part]), turn, probes) for lo in range(0, len(codes), part)])
+def code_tokens(codes: np.ndarray, rotations: list[np.ndarray], probes: int = 2, part: int = 32768) -> list[np.ndarray]:
+    """``tokens`` of codes by each rotation, a part of the codes at a time."""
+    out: list[list[np.ndarray]] = [[] for _ in rotations]
+    for lo in range(0, len(codes), part):
+        x = decode(codes[lo : lo + part])
+        for own, turn in zip(out, rotations):
+            own.append(tokens(x, turn, probes).astype(np.int16))
+    return [np.concatenate(own) for own in out]
 
 
 def mix(*parts: np.ndarray | int) -> np.ndarray:

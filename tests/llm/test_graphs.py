@@ -33,10 +33,30 @@ def test_components(spark, find):
     dirty = [*pairs, *pairs[:50], *((b, a) for a, b in pairs[:50]), ("x", None), (None, None), ("y", "y")]
     rng.shuffle(dirty)
     df = spark.createDataFrame([(a, b, 1, "n") for a, b in dirty], "src string, dst string, u int, label string")
-    assert set(map(tuple, find(df).collect())) == roots([p for p in pairs if p[0] != p[1]])
+    assert set(map(tuple, find(df).select("node", "label").collect())) == roots([p for p in pairs if p[0] != p[1]])
     assert find(df.limit(0)).count() == 0
 
 
+def test_a_giant_component_and_hot_nodes(spark, monkeypatch):
+    """A hub, a long chain and a component that holds nearly all, with keys of more than 20 rows sent instead of shuffled."""
+    monkeypatch.setattr(K, "HOT", 20)
+    rng = random.Random(2)
+    pairs = [("hub", f"h{i:04d}") for i in range(400)] + [(f"h{i:04d}", f"c{i:04d}") for i in range(0, 400, 3)] + [(f"k{i:04d}", f"k{i + 1:04d}") for i in range(300)]
+    pairs += [(f"k{rng.randrange(300):04d}", f"h{rng.randrange(400):04d}") for _ in range(40)] + [("x", "y")]
+    got = K.min_label_components(spark.createDataFrame(pairs, "src string, dst string")).collect()
+    want = roots(pairs)
+    assert {(r.node, r.label) for r in got} == want and len(got) == len(want)
+    assert {r["size"] for r in got} == {2, len(want) - 2}
+
+
+def test_numbers_and_equal_hashes(spark, monkeypatch):
+    whole = F.xxhash64
+    monkeypatch.setattr(K.F, "xxhash64", lambda *c: whole(*c) % 7 if len(c) == 2 and not isinstance(c[0], str) and "0" in str(c[0]) else whole(*c))
+    pairs = [(i, i + 1) for i in range(0, 60, 3)]
+    df = spark.createDataFrame(pairs, "src long, dst long")
+    assert {(r.node, r.label, r["size"]) for r in K.min_label_components(df).collect()} == {(n, a, 2) for a, b in pairs for n in (a, b)}
+
+
 def test_consolidated_groups(spark):
     matches = spark.createDataFrame(
         [("A ", "b", True), ("b", "C", True), ("c", "d", False), ("d", "e", None), ("f", None, True), ("g", "g", True), (" ", "z", True), ("a", "B", True)], "src_token string, dst_token string, is_match boolean"
@@ -47,6 +67,9 @@ def test_consolidated_groups(spark):
     rows = K.group_records(matches, groups).collect()
     assert {(r.representative, r.n_members, tuple(r.members)) for r in rows} == {("a", 5, tuple("abcmn")), ("p", 2, ("p", "q"))}
     assert K.consolidated_groups(matches.limit(0), groups.limit(0)).count() == 0
+    short = K.group_records(matches, groups, most=2).collect()
+    assert sorted(m for r in short for m in r.members) == sorted("abcmn") + ["p", "q"] and max(len(r.members) for r in short) <= 2
+    assert len({(r.representative, r.part) for r in short}) == len(short)
 
 
 NAMES = [
