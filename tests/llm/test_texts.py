@@ -100,9 +100,11 @@ def test_pack_holds_every_document_once(spark):
 
 def test_prose_leaves_out_code_links_markup_and_other_languages():
     text = "<p>The cat can see your mat &amp; the dog.</p>\n\n```py\nthe code of the day is not for you\n```\n\n    return the of and to\n\n> It is on [the wall](http://x.y/the) and `inline the` ends. See https://a.b/c?d\n\nEl perro de la casa no es para los niños que van.\n\nそれは です。"
-    words = [w for s in R.prose(text) for w in s]
+    said = ["the cat of the house can see your mat and the dog is on the wall", "it is for you and the wall ends", "el perro de la casa no es para los niños que van", "la casa de los que no es para el niño"]
+    english = R.English([dict(R.Counter(x.split())) for x in said * 3], [True, True, False, False] * 2 + [True, True, True, False])  # one is wrong
+    words = [w for s in R.prose(text, english) for w in s]
     assert words == "the cat can see your mat the dog it is on the wall and ends see".split()
-    assert R.prose("") == [] and R.prose("```\nunclosed the of and") == [] and R.prose("12 34 !!") == []
+    assert R.prose("", english) == [] and R.prose("```\nunclosed the of and", english) == [] and R.prose("12 34 !!", english) == []
 
 
 EASY, HARD = "cat dog bag cup pot".split(), "epistemology commensurability parameterisation thermodynamics orthogonality".split()
@@ -122,7 +124,8 @@ def test_bands_follow_the_labels(spark):
     bands = [rng.randint(1, 5) for _ in range(260)]
     texts = [level_text(rng, b) for b in bands]
     extra = [None, "", "the cat", "```\n" + "the of code " * 50 + "\n```", "la casa de los que no es para el niño " * 20, texts[0] + "\n" + "    code();\n" * 30]
-    df = documents(spark, texts + extra)
+    extra += ["la casa de los que no es para el niño que van por la calle " * 2] * 12
+    df = documents(spark, texts + extra).withColumn("lang", F.expr("case when text like 'la casa%' then if(doc_id % 5 = 0, 'en', 'es') when doc_id % 11 = 0 then 'fr' when doc_id % 7 = 0 then null else 'en-GB' end"))
     labels = spark.createDataFrame([(i, b, "r1") for i, b in enumerate(bands[:160])] + [(0, None, "r2"), (1, 9, "r3"), (None, 3, "r4"), (10**9, 1, "r5")], "doc_id long, band int, rater string")
     got = {r.doc_id: r.band for r in R.reading_bands(df, labels).collect()}
     assert set(got) == set(range(260)) | {265}
@@ -132,3 +135,15 @@ def test_bands_follow_the_labels(spark):
     assert R.reading_bands(df.limit(0), labels).count() == 0
     with pytest.raises(ValueError):
         R.reading_bands(df, labels.limit(3))
+
+
+def test_calibration_sees_what_held_out_documents_look_like():
+    """The error of the sentence-implied level is alike on the documents that were fitted and on others."""
+    rng = random.Random(4)
+    bands = np.array([rng.randint(1, 5) for _ in range(400)])
+    docs = [[R.TOKEN.findall(p.lower()) for p in R.SENTENCE.split(level_text(rng, b)) if p.strip()] for b in bands]
+    model = R.ReadingModel(docs[:200], bands[:200])
+    fitted, held = (np.abs(model.bands(docs[lo : lo + 200]) - bands[lo : lo + 200]).mean() for lo in (0, 200))
+    assert held <= fitted + 0.1
+    one = model.features(docs[0], R._Scores(model.weights))
+    assert len(one) == model.width() and abs(sum(one[12:17]) - 1) < 1e-9
