@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,20 +49,38 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+_STAGES: list[Stage] = []
+
+
+@contextmanager
+def scratch() -> Iterator[None]:
+    """Removes at its end all stages that were made inside. Results must have been written by then."""
+    before = len(_STAGES)
+    try:
+        yield
+    finally:
+        for s in _STAGES[before:]:
+            s.drop()
+
+
 class Stage:
     """A table written to the shared folder and read again, which cuts the lineage.
 
-    The files outlive any executor. ``drop`` removes a stage that nothing reads any more.
+    The files outlive any executor. ``drop`` removes a stage that nothing reads any more; ``scratch`` removes all of a stretch of
+    work. ``by`` is a column by whose values the table is kept, so that a read of one value skips the rest.
     """
 
-    def __init__(self, frame: DataFrame, name: str = "stage"):
+    def __init__(self, frame: DataFrame, name: str = "stage", by: str | None = None):
         self.spark = frame.sparkSession
         self.path = f"{shared_folder(self.spark)}/frameloom-stages/{name}-{uuid.uuid4().hex}"
         schema = frame.schema
-        frame.write.parquet(self.path)
+        (frame.write.partitionBy(by) if by else frame.write).parquet(self.path)
+        _STAGES.append(self)
         self.frame = self.spark.read.schema(schema).parquet(self.path)
 
     def drop(self) -> None:
+        if self in _STAGES:
+            _STAGES.remove(self)
         jvm = self.spark._jvm
         path = jvm.org.apache.hadoop.fs.Path(self.path)
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
