@@ -15,12 +15,12 @@ def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
 
 
 def _varied(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    """As many as the largest earlier target, or a hundredth of the records if that is more."""
-    from frameloom.llm.variety import varied_subset
+    """As many as the largest earlier target, or a hundredth of the usable records if that is more."""
+    from frameloom.llm.variety import usable_records, varied_subset
 
     batch = _read(spark, folder, "encoded_batch")
     target = _read(spark, folder, "curation_set").select(F.max("target_size")).first()[0] or 0
-    return varied_subset(batch, max(target, batch.count() // 100, 1))
+    return varied_subset(batch, max(target, usable_records(batch) // 100, 1))
 
 
 def p1_kept(spark: SparkSession, folder: str) -> DataFrame:
@@ -128,9 +128,9 @@ def oracle_sql() -> dict[str, str]:
         "p2_found": f"WITH u AS ({unit}) SELECT a.token AS token_a, b.token AS token_b FROM u a JOIN u b ON a.token < b.token WHERE list_cosine_similarity(a.v, b.v) >= 0.97",
         "p5_found": f"""WITH RECURSIVE e AS (
               SELECT {_CLEAN.format("src_token")} AS s, {_CLEAN.format("dst_token")} AS d FROM match_pairs WHERE is_match
-              UNION SELECT {_CLEAN.format("representative")}, {_CLEAN.format("m")} FROM (SELECT representative, unnest(members) AS m FROM duplicate_groups)),
+              UNION SELECT coalesce({_CLEAN.format("representative")}, list_min(list_transform(members, lambda m: {_CLEAN.format("m")}))), {_CLEAN.format("m")} FROM (SELECT representative, members, unnest(members) AS m FROM duplicate_groups)),
             b AS (SELECT s, d FROM e WHERE s IS NOT NULL AND d IS NOT NULL AND s <> d UNION SELECT d, s FROM e WHERE s IS NOT NULL AND d IS NOT NULL AND s <> d),
-            cc AS (SELECT s AS node, s AS root FROM b UNION SELECT b.d, cc.root FROM cc JOIN b ON b.s = cc.node WHERE cc.root < b.d OR TRUE)
+            cc AS (SELECT s AS node, s AS root FROM b UNION SELECT b.d, cc.root FROM cc JOIN b ON b.s = cc.node)
             SELECT node AS sample_token, min(root) AS group_token FROM cc GROUP BY node""",
         "p7_decoded": "SELECT doc_id, coalesce(text, '') AS text FROM documents",
     }

@@ -1,14 +1,17 @@
 """Choosing a varied subset (problem 1).
 
-Records are vectors of both spaces, each of unit length. Mini-batch k-means is fitted on all different records, and every
-record is assigned: the start is k-means||, each mini-batch is a slice by hash, and all slices are visited. Records are grouped into cells by their cross-polytope tokens: nearly equal records mostly share a cell. A cluster's
-quota is proportional to the square root of its number of cells (or equal), so a standstill counts as little more than one
-frame; it is never more than the cluster holds, and unused slots go to the others. Within a cluster one record of each cell
-comes before the second of any, in the order of a hash.
+Records are vectors of both spaces, each of unit length. Equal records are one class. Classes are grouped into cells by two
+cross-polytope tokens: nearly equal records mostly share a cell. Mini-batch k-means is fitted on all classes: the start is greedy
+k-means++ over one class of every cell, weighted by the cell's classes, so no kind of record is left out of it; each mini-batch is
+a slice by hash, and all slices are visited. Sums are whole numbers, so the centres don't depend on how the table is partitioned. The
+number of clusters grows with the root of the target. A cluster's quota is proportional to the square root of its number of cells
+(or equal), so a standstill counts as little more than one frame; it is never more than the cluster holds, and unused slots go to
+the others. Within a cluster one record of each cell comes before the second of any, in the order of a hash.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -19,87 +22,77 @@ from pyspark.sql import functions as F
 from frameloom.llm import hashing as H
 from frameloom.session import Stage, stage
 
+SLICES = 8
+#: Cells that the start may have: a row of each comes to the driver.
+MOST_CELLS = 1 << 14
+#: Sums are kept in steps of this.
+UNIT = float(1 << 30)
 
-SLICES, START_ROUNDS = 8, 4
 
-
-def _nearest(x: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Number of each row's nearest centre, and the square of the distance to it."""
-    s = x @ centres.T - (centres * centres).sum(1) / 2
-    own = s.argmax(1)
-    return own, np.maximum((x * x).sum(1) - 2 * s[np.arange(len(x)), own], 0)
+def _nearest(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """Number of each row's nearest centre."""
+    return (x @ centres.T - (centres * centres).sum(1) / 2).argmax(1)
 
 
 def _start(x: np.ndarray, weight: np.ndarray, k: int, rng: np.random.Generator, trials: int = 8) -> np.ndarray:
     """Greedy k-means++ over weighted rows: of ``trials`` drawn rows the one that leaves the least cost."""
-    centres = [x[rng.choice(len(x), p=weight / weight.sum())]]
-    far = ((x - centres[0]) ** 2).sum(1)
+    norm = (x * x).sum(1)
+    chosen = [int(rng.choice(len(x), p=weight / weight.sum()))]
+    far = np.maximum(norm - 2 * (x @ x[chosen[0]]) + norm[chosen[0]], 0)
     for _ in range(min(k, len(x)) - 1):
-        p = weight * far
-        drawn = rng.choice(len(x), trials, p=p / p.sum()) if p.sum() > 0 else rng.integers(len(x), size=1)
-        left = [np.minimum(far, ((x - x[i]) ** 2).sum(1)) for i in drawn]
-        best = int(np.argmin([(weight * f).sum() for f in left]))
-        centres.append(x[drawn[best]])
-        far = left[best]
-    return np.array(centres)
+        p = weight * np.where(far < 1e-9, 0, far)
+        if p.sum() <= 0:
+            break
+        drawn = rng.choice(len(x), trials, p=p / p.sum())
+        left = np.minimum(far[:, None], np.maximum(norm[:, None] - 2 * (x @ x[drawn].T) + norm[drawn], 0))
+        best = int(np.argmin(weight @ left))
+        chosen.append(int(drawn[best]))
+        far = left[:, best]
+    return x[chosen]
 
 
-def mini_batch_kmeans(classes: DataFrame, features: Callable[[pa.RecordBatch], np.ndarray], k: int, seed: int = 13) -> np.ndarray:
-    """Centres of mini-batch k-means (per-centre learning rates) over all rows (class, x, y), from a k-means|| start.
+def mini_batch_kmeans(classes: Stage, features: Callable[[pa.RecordBatch], np.ndarray], k: int, seed: int = 13) -> np.ndarray:
+    """Centres of mini-batch k-means (per-centre learning rates) over all rows (class, x, y, cell) of a stage kept by ``slice``.
 
-    Each round of the start takes 2 k rows by their squared distance to those taken before; they are weighted by the rows nearest
-    to them. Tasks send sums, which are added up per centre: at most a row a centre comes to the driver.
+    Tasks send sums, which are added up per centre; at most a row a centre and one a cell of the start come to the driver.
     """
     rng = np.random.default_rng(seed)
-    salted = classes.withColumn("u", (F.pmod(F.xxhash64(F.lit(seed), "class"), F.lit(1 << 30)) + 0.5) / (1 << 30))
-
-    def drawn(taken: np.ndarray | None, number: int, turn: int) -> np.ndarray:
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                if b.num_rows:
-                    far = _nearest(features(b), taken)[1] if taken is not None else np.ones(b.num_rows)
-                    u = np.mod(b.column("u").to_numpy() + turn * 0.6180339887498949, 1)
-                    key = -np.log(np.maximum(u, 1e-12)) / np.maximum(far, 1e-12)
-                    key[far < 1e-9] = np.inf  # a row that is taken already
-                    yield pa.RecordBatch.from_arrays([pa.array(key), *(b.column(c) for c in ("class", "x", "y"))], ["key", "class", "x", "y"])
-
-        rows = salted.mapInArrow(run, "key double, class long, x array<float>, y array<float>").where(F.col("key") < float("inf"))
-        parts = rows.orderBy("key", "class").limit(number).toArrow().combine_chunks().to_batches()
-        return features(parts[0]) if parts else np.zeros((0, 0), np.float32)
 
     def sums(rows: DataFrame, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            count, total = np.zeros(len(centres), np.int64), np.zeros(centres.shape)
+            count, total = np.zeros(len(centres), np.int64), np.zeros(centres.shape, np.int64)
             for b in batches:
                 if b.num_rows:
                     x = features(b)
-                    own = _nearest(x, centres)[0]
+                    own = _nearest(x, centres)
+                    order = np.argsort(own, kind="stable")
+                    hit, first = np.unique(own[order], return_index=True)
                     count += np.bincount(own, minlength=len(centres))
-                    np.add.at(total, own, x)
+                    total[hit] += np.add.reduceat(np.rint(x[order].astype(np.float64) * UNIT).astype(np.int64), first)
             hit = np.flatnonzero(count)
-            yield pa.RecordBatch.from_arrays([pa.array(hit.astype(np.int64)), pa.array(count[hit]), pa.array(list(total[hit]), pa.list_(pa.float64()))], ["own", "n", "sums"])
+            yield pa.RecordBatch.from_arrays([pa.array(hit.astype(np.int64)), pa.array(count[hit]), pa.array(list(total[hit]), pa.list_(pa.int64()))], ["own", "n", "sums"])
 
         def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for own, t in H.grouped(batches, "own"):
-                yield pa.RecordBatch.from_arrays([pa.array([own]), pa.array([int(t["n"].to_numpy().sum())]), pa.array([H.matrix(t["sums"]).sum(0)], pa.list_(pa.float64()))], ["own", "n", "sums"])
+                yield pa.RecordBatch.from_arrays([pa.array([own]), pa.array([int(t["n"].to_numpy().sum())]), pa.array([H.matrix(t["sums"]).sum(0)], pa.list_(pa.int64()))], ["own", "n", "sums"])
 
-        kind = "own long, n long, sums array<double>"
+        kind = "own long, n long, sums array<long>"
         found = rows.mapInArrow(run, kind).repartition("own").sortWithinPartitions("own").mapInArrow(add, kind).toArrow()
         count, total = np.zeros(len(centres), np.int64), np.zeros(centres.shape)
         if found.num_rows:
-            count[found["own"].to_numpy()], total[found["own"].to_numpy()] = found["n"].to_numpy(), H.matrix(found["sums"])
+            count[found["own"].to_numpy()], total[found["own"].to_numpy()] = found["n"].to_numpy(), H.matrix(found["sums"]) / UNIT
         return count, total
 
-    taken = drawn(None, 1, 0)
-    if not len(taken):
-        return taken
-    for turn in range(1, START_ROUNDS + 1):
-        more = drawn(taken, 2 * k, turn)
-        taken = np.concatenate((taken, more)) if len(more) else taken
-    c = _start(taken.astype(np.float64), np.maximum(sums(classes, taken)[0], 1e-9), k, rng)
+    # one class of every cell; of very many cells those of the smallest hashes, which stand for the rest
+    cells = classes.frame.groupBy("cell").agg(F.count("*").alias("n"), F.min_by(F.struct("class", "x", "y"), "class").alias("r"))
+    first = cells.orderBy(F.xxhash64(F.lit(seed), "cell"), "cell").limit(MOST_CELLS).select("n", "r.*").toArrow()
+    if not first.num_rows:
+        return np.zeros((0, 0), np.float32)
+    x = features(first.combine_chunks().to_batches()[0]).astype(np.float64)
+    c = _start(x, first["n"].to_numpy().astype(np.float64), k, rng)
     seen = np.zeros(len(c))
     for part in range(SLICES):
-        count, total = sums(classes.where(F.pmod(F.xxhash64(F.lit(seed + 1), "class"), F.lit(SLICES)) == part), c.astype(np.float32))
+        count, total = sums(classes.frame.where(F.col("slice") == part), c.astype(np.float32))
         seen += count
         hit = count > 0
         c[hit] += (total[hit] - count[hit, None] * c[hit]) / seen[hit, None]
@@ -130,53 +123,61 @@ def quotas(sizes: dict[int, int], target: int, equal: bool = False, kinds: dict[
     return out
 
 
+def usable_records(batch: DataFrame, spaces: tuple[str, str] = ("clip_image", "dinov2"), dim: int = 64) -> int:
+    """The number of different tokens with a usable vector."""
+    sound = [H.usable(F.col(c).cast("array<float>"), dim) for c in spaces]
+    return batch.where((sound[0] | sound[1]) & F.col("sample_token").isNotNull()).select("sample_token").distinct().count()
+
+
 def varied_subset(batch: DataFrame, target: int, spaces: tuple[str, str] = ("clip_image", "dinov2"), k: int | None = None, equal: bool = False, dim: int = 64, seed: int = 13) -> tuple[DataFrame, DataFrame]:
     """kept (sample_token, cluster_id, place) and clusters (cluster_id, size, kept).
 
     A record is usable if either vector is; a missing one counts as zeros. Equal records keep the smallest token only, a
-    repeated token counts once. Centres, sizes, quotas and the choice cover all records. A target beyond the number of different records keeps them all; none gives no rows.
+    repeated token counts once. ``k`` is four times the root of the target unless given, a quarter of the target at most. Centres,
+    sizes, quotas and the choice cover all records. A target beyond the number of different records keeps them all; none
+    gives no rows.
     """
     sound = [H.usable(F.col(c).cast("array<float>"), dim) for c in spaces]
     zeros = F.array_repeat(F.lit(0.0).cast("float"), dim)
     vectors = [F.when(s, F.col(c).cast("array<float>")).otherwise(zeros).alias(a) for s, c, a in zip(sound, spaces, "xy")]
     rows = batch.where((sound[0] | sound[1]) & F.col("sample_token").isNotNull()).select(F.col("sample_token").cast("string").alias("token"), *vectors)
     rows = rows.withColumn("class", F.xxhash64("x", "y"))
-    k = k or max(2, min(256, target // 4))
+    k = k or max(2, min(math.ceil(4 * math.sqrt(target)), target // 4))
 
     def features(b: pa.RecordBatch) -> np.ndarray:
         parts = [H.matrix(b.column(c)).astype(np.float32) for c in ("x", "y")]
         return np.concatenate([p / np.maximum(np.linalg.norm(p, axis=1, keepdims=True), 1e-12) for p in parts], 1)
 
-    classes = Stage(rows.select("class", "x", "y").dropDuplicates(["class"]), "classes")
-    centres = mini_batch_kmeans(classes.frame, features, k, seed)
-    classes.drop()
-
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        half = (centres * centres).sum(1) / 2
+    def celled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            if not b.num_rows:
-                continue
-            x = features(b)
-            own = (x @ centres.T - half).argmax(1)
-            cell = H.mix(own, *(H.tokens(x, H.rotation(x.shape[1], seed, t), 1)[:, 0] for t in range(2)))
-            yield pa.RecordBatch.from_arrays([b.column("token"), b.column("class"), pa.array(own.astype(np.int32)), pa.array(cell.astype(np.int64))], ["token", "class", "cluster_id", "cell"])
-
+            x = features(b) if b.num_rows else np.zeros((0, 2 * dim), np.float32)
+            cell = H.mix(7, *(H.tokens(x, H.rotation(2 * dim, seed, t), 1)[:, 0] for t in range(2)))
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(cell.astype(np.int64))], [*b.schema.names, "cell"])
+
+    once = rows.groupBy("class").agg(F.min("token").alias("token"), F.min_by(F.struct("x", "y"), "token").alias("v")).select("class", "v.x", "v.y")
+    classes = once.mapInArrow(celled, "class long, x array<float>, y array<float>, cell long")
+    classes = Stage(classes.withColumn("slice", F.pmod(F.xxhash64(F.lit(seed + 1), "class"), F.lit(SLICES)).cast("int")), "classes", by="slice")
+    centres = mini_batch_kmeans(classes, features, k, seed)
     if not len(centres):
         empty = rows.sparkSession.createDataFrame
         return empty([], "sample_token string, cluster_id int, place int"), empty([], "cluster_id int, size long, kept long")
-    placed = rows.mapInArrow(place, "token string, class long, cluster_id int, cell long")
-    placed = placed.groupBy("token").agg(F.min(F.struct("class", "cluster_id", "cell")).alias("r")).select("token", "r.*")
-    placed = placed.groupBy("class").agg(F.min(F.struct("token", "cluster_id", "cell")).alias("r")).select("r.*")
-    placed = stage(placed, "placed")
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            own = _nearest(features(b), centres) if b.num_rows else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays([b.column("class"), b.column("cell"), pa.array(own.astype(np.int32))], ["class", "cell", "cluster_id"])
+
+    owners = rows.select("token", "class").groupBy("token").agg(F.min("class").alias("class")).groupBy("class").agg(F.min("token").alias("token"))
+    placed = stage(classes.frame.select("class", "x", "y", "cell").mapInArrow(place, "class long, cell long, cluster_id int").join(owners, "class"), "placed")
+    classes.drop()
     counts = placed.groupBy("cluster_id", "cell").count().groupBy("cluster_id").agg(F.sum("count").alias("size"), F.count("*").alias("cells")).collect()  # at most k rows
     sizes = {r.cluster_id: r["size"] for r in counts}
     quota = quotas(sizes, target, equal, {r.cluster_id: r.cells for r in counts})
+    clusters = rows.sparkSession.createDataFrame([(c, sizes[c], q) for c, q in sorted(quota.items())], "cluster_id int, size long, kept long")
     order = F.xxhash64(F.lit(seed), "token")
     in_cell = placed.withColumn("order", order).withColumn("turn", F.row_number().over(Window.partitionBy("cluster_id", "cell").orderBy("order", "token")))
     # only as many records of a cell as the largest quota can be wanted; the group limit runs before the shuffle
     top = max(quota.values())
     taken = in_cell.where(F.col("turn") <= top).withColumn("place", F.row_number().over(Window.partitionBy("cluster_id").orderBy("turn", "order", "token"))).where(F.col("place") <= top)
-    slots = F.element_at(F.create_map(*(F.lit(v) for c, q in sorted(quota.items()) for v in (c, q))), F.col("cluster_id"))
-    kept = taken.where(F.col("place") <= slots).select(F.col("token").alias("sample_token"), "cluster_id", "place")
-    clusters = rows.sparkSession.createDataFrame([(c, sizes[c], q) for c, q in sorted(quota.items())], "cluster_id int, size long, kept long")
-    return kept, clusters
+    slots = F.broadcast(clusters.select("cluster_id", F.col("kept").alias("slots")))  # k rows
+    return taken.join(slots, "cluster_id").where("place <= slots").select(F.col("token").alias("sample_token"), "cluster_id", "place"), clusters

@@ -278,6 +278,17 @@ def test_varied_subset_shows_rare_kinds_and_not_standstills(spark):
     assert everything.count() == len(x) + 1
 
 
+def test_a_standstill_and_the_order_of_rows_change_nothing(spark):
+    """5,000 exact copies beside 2,000 different records: as many kinds are kept, and the same rows however they are partitioned."""
+    rng = np.random.default_rng(12)
+    x = rng.normal(size=(2000, 64)).astype(np.float32)
+    rows = [(f"t{i:04d}", floats(v), floats(v)) for i, v in enumerate(x)] + [(f"s{i:04d}", floats(x[7]), floats(x[7])) for i in range(5000)]
+    table = batch_of(spark, rows).persist()
+    kept = [set(map(tuple, variety.varied_subset(t, 100)[0].collect())) for t in (table.repartition(3), table.repartition(11, "vector", "sample_token"))]
+    assert kept[0] == kept[1] and len(kept[0]) == 100
+    assert sum(t[0][0] == "s" for t in kept[0]) <= 1 and variety.usable_records(table) == 7000
+
+
 def test_centres_are_fitted_on_all_records(spark):
     rng = np.random.default_rng(8)
     kinds = unit(rng.normal(size=(9, 64)))
