@@ -3,8 +3,9 @@
 Scene names are written in many ways. Each distinct name is read once: its number is the one that goes with the word scene;
 its template is the run of its words that is, or is one edit away from, a template of the regular form
 ``scene-<number>-<template>``. A template that few scenes carry and that is one edit from one of many more scenes is a
-misspelling of it. Name and (number, template) are nodes of a graph, as are tokens seen under several names; its components,
-by alternating stars, are the units that a split never cuts.
+misspelling of it. One graph holds what links records: names to the spelling that they contain, spellings to the scene (number
+and template) that they mean, and tokens to the names they are seen under. Its components, by alternating stars, are the units that a
+split never cuts; those of its links between names, spellings and scenes tell which names are of one scene.
 """
 
 from __future__ import annotations
@@ -72,7 +73,8 @@ def _near(text: Column) -> Column:
 
 
 def scene_keys(samples: DataFrame) -> DataFrame:
-    """scene_name, key: each distinct non-empty name with the scene it names, as number|template."""
+    """scene_name, spelling, key: each distinct non-empty name, its number with the run of words that tells its scene, and that scene,
+    as number|template."""
     filled = F.col("scene_name").isNotNull() & (F.col("scene_name") != "")
     names = samples.select(F.col("scene_name").cast("string").alias("scene_name")).where(filled).distinct()
     names = stage(names.mapInArrow(_read, "scene_name string, number string, template string, runs array<string>"), "names")
@@ -88,47 +90,56 @@ def scene_keys(samples: DataFrame) -> DataFrame:
     matched = matched.groupBy("run").agg(F.max(rank).alias("m")).select("run", F.col("m.same").alias("same"), F.col("m.scenes").alias("scenes"), F.col("m.template").alias("template"))
     matched = matched.join(better, "template", "left").withColumn("template", F.coalesce("right", "template"))
     # the longest run that is a template or nearly one: a word that templates share never stands for one of them
-    chosen = runs.join(matched, "run").groupBy("scene_name").agg(F.max(F.struct(F.length("run").alias("n"), "same", "scenes", "template")).alias("m"))
-    out = names.join(chosen.select("scene_name", F.col("m.template").alias("fit")), "scene_name", "left")
-    whole = F.coalesce(F.col("fit"), F.array_join(F.array_sort(F.col("runs")), " "))
-    key = F.when(F.col("number").isNull(), F.concat(F.lit("name|"), F.col("scene_name"))).otherwise(F.concat_ws("|", "number", whole))
-    return out.select("scene_name", key.alias("key"))
+    chosen = runs.join(matched, "run").groupBy("scene_name").agg(F.max(F.struct(F.length("run").alias("n"), "same", "scenes", "template", "run")).alias("m"))
+    out = names.join(chosen.select("scene_name", F.col("m.template").alias("fit"), F.col("m.run").alias("as_written")), "scene_name", "left")
+    bare = F.array_join(F.array_sort(F.col("runs")), " ")
+    scene = lambda text: F.when(F.col("number").isNull(), F.concat(F.lit("name|"), F.col("scene_name"))).otherwise(F.concat_ws("|", "number", text))
+    return out.select("scene_name", scene(F.coalesce("as_written", bare)).alias("spelling"), scene(F.coalesce("fit", bare)).alias("key"))
+
+
+def scene_links(samples: DataFrame) -> DataFrame:
+    """src, dst: names (n:) with their spelling (w:), and spellings with their scene (e:)."""
+    keys = stage(scene_keys(samples), "keys")
+    node = lambda kind, c: F.concat(F.lit(kind), F.col(c))
+    return keys.select(node("n:", "scene_name").alias("src"), node("w:", "spelling").alias("dst")).unionByName(keys.select(node("w:", "spelling").alias("src"), node("e:", "key").alias("dst")).distinct())
 
 
 def same_scene_pairs(samples: DataFrame) -> DataFrame:
     """scene_name_a, scene_name_b: each pair of different non-empty names, as stored, of the same scene, the smaller first.
 
-    The pairs come from the components of the graph of names and scenes. Null and empty names take no part; a name without
-    any number is a scene of its own; no rows give no rows.
+    The pairs come from the components of the links of names, spellings and scenes. A token seen under the names of two scenes
+    doesn't make them one. Null and empty names take no part; a name without any number is a scene of its own; no rows give no rows.
     """
-    keys = scene_keys(samples)
-    edges = keys.select(F.concat(F.lit("n:"), "scene_name").alias("src"), F.concat(F.lit("e:"), "key").alias("dst"))
-    nodes = star_components(edges).where(F.col("node").startswith("n:")).select("label", F.expr("substring(node, 3)").alias("name"))
+    nodes = star_components(scene_links(samples)).where(F.col("node").startswith("n:")).select("label", F.expr("substring(node, 3)").alias("name"))
     nodes = stage(nodes, "nodes")
     pairs = nodes.alias("x").join(nodes.alias("y"), (F.col("x.label") == F.col("y.label")) & (F.col("x.name") < F.col("y.name")))
     return pairs.select(F.col("x.name").alias("scene_name_a"), F.col("y.name").alias("scene_name_b"))
 
 
-def assign_splits(samples: DataFrame, shares: DataFrame, buckets: int = 4096, seed: int = 5) -> DataFrame:
+def assign_splits(samples: DataFrame, shares: DataFrame, buckets: int = 4096, fixed: bool = False, seed: int = 5) -> DataFrame:
     """sample_token, split_name, component: each token once, in the split of its component.
 
     Components are ordered by a hash of their identifier; the ranges of the splits are cut in that order where the records
-    before them reach the shares, so a very large component shifts the cuts instead of the proportions. Shares that are null
+    before them reach the shares, so a very large component shifts the cuts instead of the proportions. With ``fixed`` they are cut by
+    the hash alone: then more records never move a component, but proportions are met only on average. Shares that are null
     or not positive count as none, and the rest are scaled to 1. A token seen under several names joins their scenes. A
     record without a name is a component of its own. A null token has no record; no usable share gives null splits.
     """
-    rows = samples.select(F.col("sample_token").cast("string").alias("token"), F.col("scene_name").cast("string").alias("scene_name")).where("token is not null").distinct()
-    rows = stage(rows.join(scene_keys(samples), "scene_name", "left").select("token", F.concat(F.lit("e:"), "key").alias("entity")).distinct(), "records")
-    several = rows.where("entity is not null").groupBy("token").agg(F.min("entity").alias("low"), F.max("entity").alias("high")).where("low <> high")
-    edges = rows.where("entity is not null").join(several.select("token"), "token", "left_semi").select(F.concat(F.lit("t:"), "token").alias("src"), F.col("entity").alias("dst"))
-    roots = star_components(edges).select(F.col("node").alias("entity"), "label")
-    single = rows.groupBy("token").agg(F.min("entity").alias("entity")).join(roots, "entity", "left")
-    placed = single.select("token", F.coalesce("label", "entity", F.concat(F.lit("t:"), "token")).alias("component"))
+    name = F.when(F.col("scene_name") != "", F.concat(F.lit("n:"), F.col("scene_name").cast("string"))).alias("name")
+    rows = stage(samples.select(F.col("sample_token").cast("string").alias("token"), name).where("token is not null").distinct(), "records")
+    single = rows.groupBy("token").agg(F.min("name").alias("name"), F.max("name").alias("last"))
+    several = single.where("name <> last").select("token")
+    seen = rows.where("name is not null").join(several, "token", "left_semi").select(F.concat(F.lit("t:"), "token").alias("src"), F.col("name").alias("dst"))
+    roots = star_components(scene_links(samples).unionByName(seen)).select(F.col("node").alias("name"), "label")
+    placed = single.join(roots, "name", "left").select("token", F.coalesce("label", F.concat(F.lit("t:"), "token")).alias("component"))
     placed = stage(placed.withColumn("bucket", F.pmod(F.xxhash64(F.lit(seed), "component"), F.lit(buckets)).cast("int")), "placed")
     mass = placed.groupBy("bucket").count()  # at most ``buckets`` rows
-    total = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    before = F.sum("count").over(total) - F.col("count") / 2
-    mass = mass.select("bucket", (before / F.sum("count").over(Window.orderBy(F.lit(1)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("at"))
+    if fixed:
+        mass = mass.select("bucket", ((F.col("bucket") + 0.5) / buckets).alias("at"))
+    else:
+        total = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        before = F.sum("count").over(total) - F.col("count") / 2
+        mass = mass.select("bucket", (before / F.sum("count").over(Window.orderBy(F.lit(1)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("at"))
     # the table of splits is a parameter list: its size is checked before it becomes literals
     listed = shares.where("share > 0 and split_name is not null").groupBy("split_name").agg(F.max("share").alias("share")).orderBy(F.desc("share"), "split_name").take(1001)
     if len(listed) > 1000:

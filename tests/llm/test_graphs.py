@@ -111,5 +111,7 @@ def test_splits_keep_scenes_together_in_proportion(spark):
     assert set(share) == {"train", "validation", "test"} and abs(share["train"] - 0.8) < 0.11 and all(share[s] > 0.02 for s in share)
     again = {r.sample_token: r.split_name for r in S.assign_splits(df.unionByName(both).repartition(7), shares).collect()}
     assert again == split
+    fixed, less = ({r.sample_token: r.split_name for r in S.assign_splits(d, shares, fixed=True).collect()} for d in (df, df.where("scene_name not like '%-3%'")))
+    assert len(fixed) == len(names) and all(fixed[t] == s for t, s in less.items()) and set(fixed.values()) == {"train", "validation", "test"}
     assert S.assign_splits(df.limit(0), shares).count() == 0
     assert {r.split_name for r in S.assign_splits(df, shares.limit(0)).collect()} == {None}
