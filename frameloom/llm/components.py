@@ -56,9 +56,9 @@ def min_label_components(pairs: DataFrame, src: str = "src", dst: str = "dst", m
     for seed in range(20):
         code = lambda c, seed=seed: F.xxhash64(F.lit(seed), c)
         ends = sound.select(F.explode(F.array("s", "d")).alias("node")).select("node", code("node").alias("id"))
-        held = Stage(ends.groupBy("id").agg(F.min("node").alias("node"), F.max("node").alias("other")), "nodes")
+        held = Stage(ends.distinct(), "nodes")
         nodes = held.frame
-        if not nodes.where("node <> other").limit(1).count():
+        if not nodes.groupBy("id").count().where("count > 1").limit(1).count():
             break
         held.drop()
     else:
@@ -133,10 +133,13 @@ def star_components(pairs: DataFrame, src: str = "src", dst: str = "dst", max_ro
     return leaves.unionByName(leaves.select(F.col("label").alias("node"), "label").distinct())
 
 
+#: What surrounds a token without belonging to it.
+BLANKS = " \t\n\x0b\f\r\u00a0"
+
+
 def clean_token(token: Column) -> Column:
     """Lower case without surrounding blanks; blank is null."""
-    text = F.lower(F.regexp_replace(token.cast("string"), r"^[\s ]+|[\s ]+$", ""))
-    return F.when(text != "", text)
+    return F.nullif(F.lower(F.btrim(token.cast("string"), F.lit(BLANKS))), F.lit(""))
 
 
 def _linked(matches: DataFrame, groups: DataFrame) -> DataFrame:
