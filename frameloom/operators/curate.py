@@ -11,18 +11,22 @@ from pyspark.sql import functions as F
 from frameloom.functions.vectors import dot, l2_normalize
 from frameloom.operators.blocks import pairs_above, top_k
 from frameloom.operators.graph import components
+from frameloom.operators.index import Index
+from frameloom.operators.order import ranked
 from frameloom.session import stage
 
 
-def find_near_duplicates(vectors: DataFrame, threshold: float = 0.97) -> DataFrame:
+def find_near_duplicates(vectors: DataFrame, threshold: float = 0.97, index: Index | None = None) -> DataFrame:
     """representative, members, n_members, mean_similarity, mean_pairwise_similarity of each group of two or more.
 
+    All pairs are compared, or with an ``index`` those that share one of its best cells, for collections too large for that.
+
     Groups are components of the graph of pairs with a cosine of at least ``threshold``; the representative is the first
     member. mean_similarity is the sum of all pairs' similarities in both directions over n², with nothing on the diagonal;
     mean_pairwise_similarity is the mean of the pairs. Both come from the sum of the group's vectors, so pairs below the
     threshold count without being listed.
     """
-    links = stage(pairs_above(vectors, threshold), "links")
+    links = stage(index.pairs_above(threshold) if index else pairs_above(vectors, threshold), "links")
     roots = components(links)
     with_v = roots.join(vectors, "token")
     length = F.sum(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)).alias("own")
@@ -44,18 +48,23 @@ def droppable(groups: DataFrame) -> DataFrame:
     return each.where("sample_token is not null and sample_token <> representative").select("sample_token").distinct()
 
 
-def knn_distance(vectors: DataFrame, k: int = 10) -> DataFrame:
-    """sample_token, knn_distance: the cosine distance of each row's k-th nearest other row; no rows if there are k or fewer."""
+def knn_distance(vectors: DataFrame, k: int = 10, index: Index | None = None) -> DataFrame:
+    """sample_token, knn_distance: the cosine distance of each row's k-th nearest other row; no rows if there are k or fewer.
+
+    With an ``index`` the neighbours are those that it finds; a row for which it finds fewer than k counts with its farthest.
+    """
+    if index:
+        found = index.search(vectors, k + 1).where("query <> token").withColumn("rank", F.row_number().over(Window.partitionBy("query").orderBy(F.desc("sim"), "token"))).where(F.col("rank") <= k)
+        return found.groupBy(F.col("query").alias("sample_token")).agg((1 - F.min("sim")).alias("knn_distance"))
     near = top_k(vectors, vectors, k, exclude_self=True).where(F.col("rank") == k)
     return near.select(F.col("query").alias("sample_token"), (1 - F.col("sim")).alias("knn_distance"))
 
 
-def find_outliers(vectors: DataFrame, k: int = 10, top_pct: float = 0.05) -> DataFrame:
+def find_outliers(vectors: DataFrame, k: int = 10, top_pct: float = 0.05, index: Index | None = None) -> DataFrame:
     """sample_token, knn_distance, rank (from 0) of the share of rows with the largest distance, at least one; ties by token."""
     n_top = max(1, int(vectors.count() * top_pct))
-    best = knn_distance(vectors, k).withColumn("knn_distance", F.round("knn_distance", 6)).orderBy(F.desc("knn_distance"), "sample_token").limit(n_top)
-    rank = F.row_number().over(Window.orderBy(F.desc("knn_distance"), "sample_token")) - 1
-    return best.withColumn("rank", rank)
+    far = knn_distance(vectors, k, index).withColumn("knn_distance", F.round("knn_distance", 6))
+    return ranked(far, [F.desc("knn_distance"), F.asc("sample_token")]).where(F.col("rank") < n_top)
 
 
 def centroids(members: DataFrame, vectors: DataFrame) -> DataFrame:
@@ -77,13 +86,16 @@ def label_clusters(centres: DataFrame, prompts: DataFrame) -> DataFrame:
 
 
 def cluster_records(members: DataFrame, xy: DataFrame, labels: DataFrame, sample: int = 25) -> DataFrame:
-    """Cluster records: size, ordered members, 2-D centre, and the first ``sample`` members' points. Noise (negative ids) is left out."""
+    """Cluster records: size, ordered members, 2-D centre, and the first ``sample`` members' points. Noise (negative ids) is left out.
+
+    A record holds its members, as the format wants it; work on members goes by the table of members, a row each.
+    """
     rows = members.where("cluster_id >= 0").join(xy, "sample_token")
-    point = F.struct("sample_token", "x", "y")
+    own = F.row_number().over(Window.partitionBy("cluster_id").orderBy("sample_token"))
+    shown = rows.withColumn("at", own).where(F.col("at") <= sample).groupBy("cluster_id").agg(F.array_sort(F.collect_list(F.struct("sample_token", "x", "y"))).alias("sample_2d"))
     out = rows.groupBy("cluster_id").agg(
-        F.count("*").cast("int").alias("size"), F.array_sort(F.collect_list("sample_token")).alias("members"),
-        F.struct(F.avg("x").alias("x"), F.avg("y").alias("y")).alias("centroid_2d"), F.slice(F.array_sort(F.collect_list(point)), 1, sample).alias("sample_2d"),
-    )
+        F.count("*").cast("int").alias("size"), F.array_sort(F.collect_list("sample_token")).alias("members"), F.struct(F.avg("x").alias("x"), F.avg("y").alias("y")).alias("centroid_2d"),
+    ).join(shown, "cluster_id")
     named = out.join(labels.select("cluster_id", "label"), "cluster_id", "left")
     return named.withColumn("label", F.coalesce("label", F.concat(F.lit("cluster "), "cluster_id"))).select("cluster_id", "label", "size", "members", "centroid_2d", "sample_2d")
 

@@ -11,8 +11,9 @@ from frameloom.session import Stage
 def components(edges: DataFrame, max_rounds: int = 500) -> DataFrame:
     """token, root: each end of an edge (a, b) with the smallest token of its component.
 
-    Meant for near-duplicate graphs, whose paths are short; a round takes each label one edge further and is written to the
-    shared folder. Only minima are shuffled. Null ends are no edge; no edges give no rows.
+    A round takes the smallest root of a token's neighbours and jumps to that root's own root, so paths halve; it is written to the
+    shared folder. Edges are shuffled to fetch their ends' roots, minima to be compared, neighbour lists never. Null ends are no edge; no
+    edges give no rows.
     """
     sound = edges.where("a is not null and b is not null").select("a", "b")
     held = Stage(sound.unionByName(sound.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
@@ -21,7 +22,8 @@ def components(edges: DataFrame, max_rounds: int = 500) -> DataFrame:
     for _ in range(max_rounds):
         seen = both.join(labels.frame.select(F.col("token").alias("b"), "root"), "b").groupBy("a").agg(F.min("root").alias("m"))
         step = labels.frame.join(seen.withColumnRenamed("a", "token"), "token").select("token", F.col("root").alias("old"), F.least("root", "m").alias("root"))
-        after = Stage(step, "labels")
+        up = step.select(F.col("token").alias("root"), F.col("root").alias("jump"))
+        after = Stage(step.join(up, "root", "left").select("token", "old", F.least("root", F.coalesce("jump", "root")).alias("root")), "labels")
         done = not after.frame.where("old <> root").limit(1).count()
         labels.drop()
         labels = after

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from frameloom.functions.vectors import dot
-from frameloom.operators.blocks import BLOCK, _matrix, best_of_cells, cells, top_k
+from frameloom.operators.blocks import BLOCK, _matrix, best_of_cells, cells, pairs_above, top_k
 from frameloom.session import stage
 
 SAMPLE_ROWS = 20_000
@@ -86,6 +86,22 @@ class Index:
             return cell_search(probed, self.table, k)
         return rerank(pq_search(self, probed, SHORTLIST * k), queries, self.vectors, k)
 
+    def pairs_above(self, threshold: float, nprobe: int = 4) -> DataFrame:
+        """a, b, sim: pairs a < b of indexed rows with a cosine of at least ``threshold`` that share one of ``nprobe`` best cells."""
+        if self.centres is None:
+            return pairs_above(self.vectors, threshold)
+        asked = probe(self.vectors, self.centres, nprobe)
+        return cell_pairs(asked, assign(self.vectors, self.centres), threshold)
+
+    def save(self, path: str) -> None:
+        """Writes the rows kept by cell, the centres and what the index is, so that a service reads only the cells that it probes."""
+        spark = self.vectors.sparkSession
+        rows = assign(self.vectors, self.centres) if self.centres is not None else self.vectors.withColumn("cell", F.lit(0).cast("long"))
+        rows.repartition("cell").write.mode("overwrite").partitionBy("cell").parquet(f"{path}/cells")
+        centres = self.centres if self.centres is not None else np.zeros((1, 1))
+        spark.createDataFrame([(i, [float(v) for v in c]) for i, c in enumerate(centres)], "cell long, v array<double>").coalesce(1).write.mode("overwrite").parquet(f"{path}/centres")
+        spark.createDataFrame([(k, str(v)) for k, v in self.info.items()], "key string, value string").coalesce(1).write.mode("overwrite").parquet(f"{path}/info")
+
 
 def assign(vectors: DataFrame, centres: np.ndarray) -> DataFrame:
     """token, v, cell: the cell whose centre has the largest inner product."""
@@ -125,6 +141,31 @@ def cell_search(probed: DataFrame, table: DataFrame, k: int) -> DataFrame:
     return best_of_cells(both, k)
 
 
+def cell_pairs(probed: DataFrame, table: DataFrame, threshold: float) -> DataFrame:
+    """a, b, sim of rows that meet in a cell with a cosine of at least ``threshold``, in blocks as in ``cell_search``."""
+    counts = stage(table.groupBy("cell").agg(F.ceil(F.count("*") / (4 * BLOCK)).cast("long").alias("blocks")), "cells")
+    rows = table.join(counts, "cell").withColumn("block", F.pmod(F.xxhash64("token"), F.col("blocks")))
+    asked = probed.join(counts, "cell").withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    key = F.xxhash64("cell", "block").alias("cell")
+    both = asked.select(key, F.lit(0).alias("own"), "token", "v").unionByName(rows.select(key, F.lit(1).alias("own"), "token", "v"))
+
+    def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in cells(batches):
+            tokens, x = np.array(t["token"].to_pylist(), object), _matrix(t["v"])
+            cut = int(np.searchsorted(t["own"].to_numpy(), 1))
+            for lo in range(0, cut if cut < len(tokens) else 0, 1024):
+                s = x[lo : min(lo + 1024, cut)] @ x[cut:].T
+                i, j = np.nonzero(s >= threshold)
+                a, b, sim = tokens[lo + i], tokens[cut + j], s[i, j]
+                apart = a != b
+                low = (a < b)[apart]
+                a, b = a[apart], b[apart]
+                yield pa.RecordBatch.from_arrays([pa.array(np.where(low, a, b), pa.string()), pa.array(np.where(low, b, a), pa.string()), pa.array(sim[apart])], ["a", "b", "sim"])
+
+    found = both.repartition("cell").sortWithinPartitions("cell", "own").mapInArrow(multiply, "a string, b string, sim double")
+    return found.groupBy("a", "b").agg(F.max("sim").alias("sim"))
+
+
 def pq_encode(table: DataFrame, centres: np.ndarray, codebooks: np.ndarray) -> DataFrame:
     """token, cell, code: one byte a sub-quantiser, of the residual to the cell's centre."""
     m, _, width = codebooks.shape
@@ -142,7 +183,10 @@ def pq_encode(table: DataFrame, centres: np.ndarray, codebooks: np.ndarray) -> D
 
 
 def pq_search(index: Index, probed: DataFrame, k: int) -> DataFrame:
-    """Scores from tables of each query's inner products with all code words, summed over a row's code."""
+    """Scores from tables of each query's inner products with all code words, summed over a row's code.
+
+    A large cell is cut into blocks by hash, and its queries go to each; the queries of a block are scored together.
+    """
     centres, codebooks = index.centres, index.codebooks
     m, words, width = codebooks.shape
 
@@ -152,17 +196,24 @@ def pq_search(index: Index, probed: DataFrame, k: int) -> DataFrame:
             if cut in (0, t.num_rows):
                 continue
             asked, rows = t.slice(0, cut), t.slice(cut)
-            names, x, cell = rows["token"].to_pylist(), _matrix(asked["v"]), int(t["cell"][0].as_py())
+            names, queries, x = np.array(rows["token"].to_pylist()), np.array(asked["token"].to_pylist()), _matrix(asked["v"])
             codes = np.frombuffer(b"".join(rows["code"].to_pylist()), np.uint8).reshape(-1, m)
-            for q, v in zip(asked["token"].to_pylist(), x):
-                table = np.einsum("mwd,md->mw", codebooks, v.reshape(m, width))
-                s = v @ centres[cell] + table[np.arange(m), codes].sum(1)
-                best = np.argpartition(-s, min(k, len(s)) - 1)[:k]
-                yield pa.RecordBatch.from_arrays([pa.array([q] * len(best), pa.string()), pa.array([names[i] for i in best], pa.string()), pa.array(s[best])], ["query", "token", "sim"])
-
-    none = F.lit(None)
-    asked = probed.select("cell", F.lit(0).alias("own"), "token", "v", none.cast("binary").alias("code"))
-    both = asked.unionByName(index.table.select("cell", F.lit(1).alias("own"), "token", none.cast("array<double>").alias("v"), "code"))
+            centre = centres[int(t["home"][0].as_py())]
+            for lo in range(0, cut, 256):
+                part = x[lo : lo + 256]
+                s = np.repeat((part @ centre)[:, None], len(names), 1)
+                for i in range(m):
+                    s += (part[:, i * width : (i + 1) * width] @ codebooks[i].T)[:, codes[:, i]]
+                n = min(k, s.shape[1])
+                best = np.argpartition(-s, n - 1, axis=1)[:, :n]
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(queries[lo : lo + 256], n), pa.string()), pa.array(names[best.reshape(-1)], pa.string()), pa.array(np.take_along_axis(s, best, 1).reshape(-1))], ["query", "token", "sim"])
+
+    counts = stage(index.table.groupBy("cell").agg(F.ceil(F.count("*") / (16 * BLOCK)).cast("long").alias("blocks")), "cells")
+    asked = probed.join(counts, "cell").withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    rows = index.table.join(counts, "cell").withColumn("block", F.pmod(F.xxhash64("token"), F.col("blocks")))
+    key, none = F.xxhash64("cell", "block").alias("cell"), F.lit(None)
+    asked = asked.select(key, F.col("cell").alias("home"), F.lit(0).alias("own"), "token", "v", none.cast("binary").alias("code"))
+    both = asked.unionByName(rows.select(key, F.col("cell").alias("home"), F.lit(1).alias("own"), "token", none.cast("array<double>").alias("v"), "code"))
     found = both.repartition("cell").sortWithinPartitions("cell", "own").mapInArrow(run, "query string, token string, sim double")
     rank = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("sim"), "token"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k)
@@ -176,6 +227,32 @@ def rerank(found: DataFrame, queries: DataFrame, vectors: DataFrame, k: int) ->
     return sims.withColumn("rank", rank).where(F.col("rank") <= k)
 
 
+def wide_nlist(n: int) -> int:
+    """Cells for searches of all rows against all: about the root of the rows, between 256 and 4,096, so that a cell stays small."""
+    return max(256, min(4096, math.isqrt(n)))
+
+
+def make_store(vectors: DataFrame, backend: str = "auto", **options) -> Index:
+    """The store that ``choose_strategy`` names for so many rows: searched exactly, or indexed."""
+    if choose_strategy(vectors.count(), backend) == "index":
+        return build_index(vectors, **options)
+    held = stage(vectors.select("token", "v"), "vectors")
+    return Index(held, {"index_type": "exact", "n": held.count()})
+
+
+def search_saved(spark, path: str, vector: list[float], k: int, nprobe: int | None = None) -> DataFrame:
+    """token, sim: the k rows of a saved index most similar to one unit vector; only the files of the probed cells are read."""
+    info = {r.key: r.value for r in spark.read.parquet(f"{path}/info").collect()}  # a handful of rows
+    rows, q = spark.read.parquet(f"{path}/cells"), np.asarray(vector, np.float64)
+    if info["index_type"] != "exact":
+        centres = spark.read.parquet(f"{path}/centres").orderBy("cell").toArrow()
+        score = _matrix(centres["v"]) @ q
+        best = np.argsort(-score, kind="stable")[: nprobe or int(info["nprobe"])]
+        rows = rows.where(F.col("cell").isin([int(centres["cell"][int(i)].as_py()) for i in best]))
+    sim = F.round(dot(F.col("v"), F.array(*(F.lit(float(x)) for x in q))), 10)
+    return rows.select("token", sim.alias("sim")).orderBy(F.desc("sim"), "token").limit(k)
+
+
 def build_index(vectors: DataFrame, flavor: str = "auto", nlist: int | None = None, m: int | None = None, nprobe: int = 16, pq_threshold_mb: int = PQ_THRESHOLD_MB, centres: np.ndarray | None = None, seed: int = 0) -> Index:
     """An index over rows (token, v) of unit vectors; too few rows for the cells are searched exactly."""
     if flavor not in FLAVORS:
@@ -187,8 +264,9 @@ def build_index(vectors: DataFrame, flavor: str = "auto", nlist: int | None = No
     nlist, m = nlist or own_nlist, m or own_m
     if n < max(256, 4 * nlist) and centres is None:
         return Index(vectors, {"index_type": "exact", "n": n})
-    one_in = max(1, n // SAMPLE_ROWS)
-    sample = vectors.where(F.pmod(F.xxhash64(F.lit(seed), "token"), F.lit(one_in)) == 0).orderBy("token").limit(2 * SAMPLE_ROWS).select("v").toArrow()
+    most = max(SAMPLE_ROWS, 32 * nlist)
+    one_in = max(1, n // most)
+    sample = vectors.where(F.pmod(F.xxhash64(F.lit(seed), "token"), F.lit(one_in)) == 0).orderBy("token").limit(2 * most).select("v").toArrow()
     x = _matrix(sample["v"])
     centres = kmeans(x, nlist, seed=seed) if centres is None else centres
     table = assign(vectors, centres)
