@@ -36,7 +36,7 @@ def corpus(spark: SparkSession, n: int, dim: int, seed: int = 0, noise: float =
 
 
 def perturbed(vectors: DataFrame, n: int, number: int, seed: int = 0, noise: float = 0.05) -> DataFrame:
-    """About ``number`` rows of the corpus, chosen by hash, slightly moved: realistic queries."""
+    """About ``number`` rows of the corpus, chosen by hash, each moved a little, as queries that have an answer nearby but aren't rows."""
 
     def move(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -62,18 +62,22 @@ def best_of(run: Callable[[], DataFrame], repeats: int = 3) -> float:
 
 
 def run_benchmark(spark: SparkSession, sizes: tuple[int, ...] = (1_000, 5_000, 10_000), dim: int = 384, n_queries: int = 200, k: int = 10, seed: int = 0, repeats: int = 3) -> list[dict]:
-    """A point a size: milliseconds a query of both searches, their ratio, recall, index type and parameters. A size that fails is logged and left out."""
+    """A point a size: milliseconds a query of both searches, their ratio, recall, index type and parameters. The build is
+    timed apart. A size that fails is logged and comes out as a point with its ``error``."""
     points = []
     for n in sizes:
         try:
             rows = stage(corpus(spark, n, dim, seed), "corpus")
             asked = stage(perturbed(rows, n, n_queries, seed), "queries")
             number = asked.count()
+            began = time.perf_counter()
             built = build_index(rows, "auto", seed=seed)
+            build = time.perf_counter() - began
             slow, fast = (1000 * best_of(f, repeats) / max(1, number) for f in (lambda: top_k(asked, rows, k), lambda: built.search(asked, k)))
             recall = recall_at_k(top_k(asked, rows, k), built.search(asked, k)).first()[0]
             params = {p: v for p, v in built.info.items() if p in ("nlist", "m", "nbits", "nprobe")}
-            points.append({"n": n, "dim": dim, "k": k, "n_queries": number, "exact_ms_per_query": round(slow, 3), "index_ms_per_query": round(fast, 3), "speedup": round(slow / max(1e-6, fast), 2), "recall_at_k": recall, "index": built.info["index_type"], "params": params})
-        except Exception:  # noqa: BLE001
+            points.append({"n": n, "dim": dim, "k": k, "n_queries": number, "exact_ms_per_query": round(slow, 3), "index_ms_per_query": round(fast, 3), "speedup": round(slow / max(1e-6, fast), 2), "recall_at_k": recall, "index": built.info["index_type"], "params": params, "build_s": round(build, 3)})
+        except Exception as e:  # noqa: BLE001
             log.warning("no point at n=%d", n, exc_info=True)
+            points.append({"n": n, "dim": dim, "k": k, "error": str(e)[:500]})
     return points

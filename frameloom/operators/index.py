@@ -86,7 +86,7 @@ class Index:
             return cell_search(probed, self.table, k)
         return rerank(pq_search(self, probed, SHORTLIST * k), queries, self.vectors, k)
 
-    def pairs_above(self, threshold: float, nprobe: int = 4) -> DataFrame:
+    def pairs_above(self, threshold: float, nprobe: int = 8) -> DataFrame:
         """a, b, sim: pairs a < b of indexed rows with a cosine of at least ``threshold`` that share one of ``nprobe`` best cells."""
         if self.centres is None:
             return pairs_above(self.vectors, threshold)

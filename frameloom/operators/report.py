@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import platform
 import subprocess
 from datetime import datetime, timezone
@@ -17,14 +18,23 @@ from frameloom.schema import LINEAGE
 HEADLINE = "Curated %d raw frames → %d high-value training samples; flagged %s%% near-duplicates; surfaced %d failure-mode clusters."
 
 
-def summary(samples: DataFrame, groups: DataFrame, outliers: DataFrame, clusters: DataFrame, kept: DataFrame, **fixed: object) -> DataFrame:
-    """The counts of a run in one row, with its headline. ``fixed`` adds constants: source, backends, threshold, target."""
+def _struct(values: dict) -> F.Column:
+    return F.struct(*(F.lit(v).alias(k) for k, v in values.items()))
+
+
+def summary(samples: DataFrame, groups: DataFrame, outliers: DataFrame, clusters: DataFrame, kept: DataFrame, vector_index: dict | None = None, benchmark: list[dict] | None = None, **fixed: object) -> DataFrame:
+    """The counts of a run in one row, with its headline. ``fixed`` adds constants: source, backends, threshold, target;
+    ``vector_index`` what the index is, as a struct, and ``benchmark`` its points, as an array of structs."""
     n = samples.agg(F.count("*").alias("n"), F.countDistinct("scene_name").alias("s"))
     g = groups.agg(F.count("*").alias("g"), F.coalesce(F.sum(F.size("members")), F.lit(0)).alias("m"))
     rows = n.join(g).join(outliers.agg(F.count("*").alias("o"))).join(clusters.agg(F.count("*").alias("c"))).join(kept.agg(F.count("*").alias("k")))
     rate = F.lit(100.0) * F.col("m") / F.greatest(F.lit(1), F.col("n"))
+    extra = [_struct(vector_index).alias("vector_index")] if vector_index else []
+    if benchmark is not None:
+        shape = "array<struct<n: int, dim: int, k: int, n_queries: int, exact_ms_per_query: double, index_ms_per_query: double, speedup: double, recall_at_k: double, index: string, params: map<string, int>, build_s: double, error: string>>"
+        extra.append(F.from_json(F.lit(json.dumps(benchmark)), shape).alias("ann_benchmark"))
     return rows.select(
-        *(F.lit(v).alias(k) for k, v in fixed.items()), F.col("n").alias("n_input_samples"), F.col("s").alias("n_scenes"), F.col("g").alias("n_duplicate_groups"),
+        *(F.lit(v).alias(k) for k, v in fixed.items()), *extra, F.col("n").alias("n_input_samples"), F.col("s").alias("n_scenes"), F.col("g").alias("n_duplicate_groups"),
         F.col("m").alias("n_samples_in_duplicate_groups"), F.round(rate, 2).alias("duplicate_rate_pct"), F.col("o").alias("n_outliers"), F.col("c").alias("n_clusters"),
         F.col("k").alias("n_curated"), F.format_string(HEADLINE, F.col("n"), F.col("k"), F.round(rate, 1).cast("string"), F.col("c")).alias("headline_metric"),
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -23,3 +23,13 @@ def json_document(frame: DataFrame, order: list[str], most: int = 100_000) -> st
     if len(rows) > most:
         raise ValueError(f"more than {most} rows; write them as lines")
     return "[" + ",".join(r.j for r in rows) + "]"
+
+
+def write_document(spark: SparkSession, text: str, path: str) -> None:
+    """One small document as one file of that name."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = jpath.getFileSystem(spark._jsc.hadoopConfiguration()).create(jpath, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()

@@ -47,8 +47,8 @@ def synthetic_samples(spark: SparkSession, n: int = 400, n_scenes: int = 24, dup
     return rows.select(*(values.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name) for f in SAMPLES))
 
 
-#: Base colour of each template. Fixed values.
-COLOURS = {"urban_intersection": (60, 90, 130), "highway_merge": (40, 60, 80), "tunnel": (15, 15, 25), "construction_zone": (180, 140, 60), "residential": (90, 130, 90), "parking_lot": (120, 120, 120)}
+#: Base colour of each template in generated pictures.
+COLOURS = {"urban_intersection": (90, 110, 100), "highway_merge": (70, 95, 120), "tunnel": (35, 30, 25), "construction_zone": (200, 120, 30), "residential": (110, 140, 70), "parking_lot": (140, 140, 150)}
 
 
 def synthetic_features(samples: DataFrame, side: int = 8) -> DataFrame:
@@ -69,7 +69,7 @@ def synthetic_features(samples: DataFrame, side: int = 8) -> DataFrame:
         for _ in range(3):
             y, x = rng.integers(side // 2, side), rng.integers(0, side)
             picture[y, max(0, x - 1) : x + 1] = rng.random(3)
-        picture = picture * {"night": 0.35, "dusk": 0.7}.get(time, 1.0)
+        picture = picture * {"night": 0.3, "dusk": 0.65}.get(time, 1.0)
         if weather in ("rain", "fog"):
             picture = picture * 0.6 + (0.2 if weather == "rain" else 0.35)
         return np.clip(picture + rng.normal(0, 0.03, picture.shape), 0, 1)
@@ -126,10 +126,18 @@ def first_rows(samples: DataFrame) -> DataFrame:
 
 
 def read_artifact(spark: SparkSession, path: str, schema: str, required: bool = True) -> DataFrame:
-    """A JSON artifact; a missing one raises, or with required=False is an empty table of its schema."""
+    """A JSON artifact, one document however it is indented, or lines of them; a missing one raises, or with required=False is an empty
+    table of its schema. A document that is a list gives a row an item."""
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
     if not jpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jpath):
         if required:
             raise FileNotFoundError(path)
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).json(path)
+    status = jpath.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(jpath)
+    # a folder holds lines, as Spark writes them; a file is one document, unless every line of it is one
+    lines = spark.read.schema(schema).option("mode", "FAILFAST")
+    if status.isDirectory():
+        return lines.json(path)
+    start = spark.read.text(path).where("trim(value) <> ''").limit(1).collect()
+    whole = not start or not start[0].value.strip().startswith("{") or not start[0].value.strip().endswith("}")
+    return lines.option("multiLine", whole).json(path)
