@@ -161,18 +161,30 @@ class SentenceClassifier:
         return np.linalg.solve(gram + strength * np.eye(len(gram)), cross)
 
 
-class _Scores(dict):
-    """Word to its scores by the word and by the character classifier, worked out when first met; bounded by starting anew."""
+class _Scores:
+    """Words' scores by the word and by the character classifier, worked out when first met; bounded by starting anew."""
 
-    def __init__(self, weights: tuple[np.ndarray, np.ndarray]):
-        self.weights = weights
+    MOST = 300_000
 
-    def __missing__(self, word: str) -> np.ndarray:
-        if len(self) > 300_000:
-            self.clear()
-        value = np.concatenate([w[_pieces(word, chars)].mean(0) for w, chars in zip(self.weights, (False, True))])
-        self[word] = value
-        return value
+    def __init__(self, weights: tuple[np.ndarray, np.ndarray]):
+        self.weights, self.at, self.rows = weights, {}, np.zeros((1024, 10), np.float32)
+
+    def _add(self, word: str) -> int:
+        n = len(self.at)
+        if n == len(self.rows):
+            self.rows = np.concatenate((self.rows, np.zeros_like(self.rows)))
+        for i, (w, chars) in enumerate(zip(self.weights, (False, True))):
+            self.rows[n, 5 * i : 5 * i + 5] = w[_pieces(word, chars)].mean(0)
+        self.at[word] = n
+        return n
+
+    def sums(self, doc: list[list[str]]) -> np.ndarray:
+        """A row a sentence: the sum of its words' scores."""
+        if len(self.at) > self.MOST:
+            self.at = {}
+        known = self.at
+        where = [known[w] if w in known else self._add(w) for s in doc for w in s]
+        return np.add.reduceat(self.rows[where], np.cumsum([0, *(len(s) for s in doc[:-1])]), axis=0).astype(np.float64)
 
 
 def _ridge(x: np.ndarray, y: np.ndarray, strengths: tuple[float, ...]) -> tuple[np.ndarray, float, np.ndarray]:
@@ -232,7 +244,7 @@ class ReadingModel:
         """Mean scores by both classifiers and their levels, the mean distribution of the sentences over the bands, and how long
         sentences and words are."""
         size = np.array([len(s) for s in doc], float)
-        each = np.array([sum(scores[w] for w in s) for s in doc]) / size[:, None] + self.starts
+        each = scores.sums(doc) / size[:, None] + self.starts
         mean = (each * size[:, None]).sum(0) / size.sum()
         commas, letters = sum(s.count(",") for s in doc), sum(len(w) for s in doc for w in s)
         words = size.sum() - commas
@@ -254,22 +266,22 @@ class ReadingModel:
 
 
 def learn_english(documents: DataFrame, most: int = 4000) -> English:
-    """Fitted on at most ``most`` documents that have a text and a language, chosen by a hash of doc_id; where none has a language, on
-    texts that all count as English."""
+    """Fitted on about ``most`` documents that have a text and a language (all, if there are no more), chosen by a hash of doc_id; where
+    none has a language, on texts that all count as English."""
     lang = F.lower(F.trim(F.regexp_extract(F.col("lang").cast("string"), "^[^-_]*", 0))) if "lang" in documents.columns else F.lit("").cast("string")
-    rows = documents.where("text is not null").select(F.xxhash64("doc_id").alias("at"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), lang.alias("lang"))
-    known = rows.where("lang not in ('', 'und')")
+    rows = documents.where("text is not null").select(F.col("text").cast("string").alias("text"), lang.alias("lang"), (F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / (1 << 30)).alias("at"))
+    known = F.col("lang").isNotNull() & ~F.col("lang").isin("", "und")
+    n = rows.agg(F.count(F.when(known, 1)).alias("known"), F.count("*").alias("all")).first()
+    some, whole = (rows.where(known), n.known) if n.known else (rows, n["all"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             found = [Counter(w for p in paragraphs(t) for w in TOKEN.findall(p)) for t in b.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array([list(c) for c in found], pa.list_(pa.string())), pa.array([list(c.values()) for c in found], pa.list_(pa.int32())), b.column(1)], ["words", "n", "lang"])
 
-    for some in (known, rows):
-        got = some.orderBy("at", "doc_id", "lang", "text").limit(most).select("text", "lang").mapInArrow(count, "words array<string>, n array<int>, lang string").collect()
-        if got:
-            break
-    return English([dict(zip(r.words, r.n)) for r in got], [r.lang in ("en", "") or some is rows for r in got])
+    # the share that is taken bounds what comes to the driver
+    got = some.where(F.col("at") < most / max(1, whole)).select("text", "lang").mapInArrow(count, "words array<string>, n array<int>, lang string").collect()
+    return English([dict(zip(r.words, r.n)) for r in got], [r.lang == "en" or not n.known for r in got])
 
 
 def labelled_prose(documents: DataFrame, labels: DataFrame, english: English, most: int = 1500, least_words: int = 20) -> tuple[list, np.ndarray]:
