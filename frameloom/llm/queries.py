@@ -124,7 +124,17 @@ _CLEAN = "nullif(lower(regexp_replace({0}, " + _BLANK + ", '', 'g')), '')"
 def oracle_sql() -> dict[str, str]:
     """Where a plain SQL statement over whole tables gives the exact result."""
     unit = "SELECT sample_token AS token, any_value(dinov2)::DOUBLE[] AS v FROM encoded_batch WHERE sample_token IS NOT NULL AND len(dinov2) = 64 AND list_aggregate(list_transform(dinov2, lambda x: abs(x)), 'max') > 0 GROUP BY sample_token"
+    spaces = " UNION ALL ".join(f"SELECT '{c}' AS space, sample_token AS token, any_value({c})::DOUBLE[] AS v FROM encoded_batch WHERE sample_token IS NOT NULL AND len({c}) = 64 AND list_aggregate(list_transform({c}, lambda x: abs(x)), 'max') > 0 GROUP BY sample_token" for c in ("dinov2", "clip_image"))
     return {
+        "p2_groups": f"""WITH RECURSIVE u AS ({unit}),
+            b AS MATERIALIZED (SELECT a.token AS s, b.token AS d FROM u a JOIN u b ON a.token <> b.token WHERE list_cosine_similarity(a.v, b.v) >= 0.97),
+            cc AS (SELECT s AS node, s AS root FROM b UNION SELECT b.d, cc.root FROM cc JOIN b ON b.s = cc.node),
+            n AS (SELECT s, count(*) AS n_links FROM b GROUP BY s)
+            SELECT node AS sample_token, min(root) AS group_token, any_value(n_links) AS n_links FROM cc JOIN n ON n.s = cc.node GROUP BY node""",
+        "p4_found": f"""WITH u AS ({spaces}),
+            c AS (SELECT a.space, a.token AS t, b.token AS o, round(list_cosine_similarity(a.v, b.v), 6) AS sim FROM u a JOIN u b ON a.space = b.space AND a.token <> b.token WHERE list_cosine_similarity(a.v, b.v) >= 0.8999),
+            r AS (SELECT *, row_number() OVER (PARTITION BY space, t ORDER BY sim DESC, o) AS k FROM c)
+            SELECT DISTINCT space, least(t, o) AS token_a, greatest(t, o) AS token_b FROM r WHERE k <= 5 AND sim >= 0.9""",
         "p2_found": f"WITH u AS ({unit}) SELECT a.token AS token_a, b.token AS token_b FROM u a JOIN u b ON a.token < b.token WHERE list_cosine_similarity(a.v, b.v) >= 0.97",
         "p5_found": f"""WITH RECURSIVE e AS (
               SELECT {_CLEAN.format("src_token")} AS s, {_CLEAN.format("dst_token")} AS d FROM match_pairs WHERE is_match
