@@ -23,8 +23,8 @@ from frameloom.llm import hashing as H
 from frameloom.session import Stage, stage
 
 SLICES = 8
-#: Cells that the start may have: a row of each comes to the driver.
-MOST_CELLS = 1 << 14
+#: Cells that the start may have: a row of each comes to the driver. At 64 dimensions a space there are no more.
+MOST_CELLS = 1 << 16
 #: Sums are kept in steps of this.
 UNIT = float(1 << 30)
 
@@ -83,13 +83,14 @@ def mini_batch_kmeans(classes: Stage, features: Callable[[pa.RecordBatch], np.nd
             count[found["own"].to_numpy()], total[found["own"].to_numpy()] = found["n"].to_numpy(), H.matrix(found["sums"]) / UNIT
         return count, total
 
-    # one class of every cell; of very many cells those of the smallest hashes, which stand for the rest
-    cells = classes.frame.groupBy("cell").agg(F.count("*").alias("n"), F.min_by(F.struct("class", "x", "y"), "class").alias("r"))
-    first = cells.orderBy(F.xxhash64(F.lit(seed), "cell"), "cell").limit(MOST_CELLS).select("n", "r.*").toArrow()
+    # the smallest class of every cell; of more cells than MOST_CELLS those of the smallest hashes
+    cells = classes.frame.groupBy("cell").agg(F.count("*").alias("n"), F.min("class").alias("class"))
+    some = F.broadcast(stage(cells.orderBy(F.xxhash64(F.lit(seed), "cell"), "cell").limit(MOST_CELLS).select("class", "n"), "cells"))
+    first = classes.frame.join(some, "class").select("class", "x", "y", "n").toArrow().sort_by("class")
     if not first.num_rows:
         return np.zeros((0, 0), np.float32)
-    x = features(first.combine_chunks().to_batches()[0]).astype(np.float64)
-    c = _start(x, first["n"].to_numpy().astype(np.float64), k, rng)
+    x = features(first.combine_chunks().to_batches()[0])
+    c = _start(x, first["n"].to_numpy().astype(np.float64), k, rng).astype(np.float64)
     seen = np.zeros(len(c))
     for part in range(SLICES):
         count, total = sums(classes.frame.where(F.col("slice") == part), c.astype(np.float32))
@@ -148,15 +149,28 @@ def varied_subset(batch: DataFrame, target: int, spaces: tuple[str, str] = ("cli
         parts = [H.matrix(b.column(c)).astype(np.float32) for c in ("x", "y")]
         return np.concatenate([p / np.maximum(np.linalg.norm(p, axis=1, keepdims=True), 1e-12) for p in parts], 1)
 
+    kind = "class long, x array<float>, y array<float>, cell long"
+
     def celled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()  # copies that a partition holds are merged before the shuffle
         for b in batches:
+            fresh = [not (c in seen or seen.add(c)) for c in b.column("class").to_pylist()]
+            b = b.filter(pa.array(fresh, pa.bool_()))
             x = features(b) if b.num_rows else np.zeros((0, 2 * dim), np.float32)
             cell = H.mix(7, *(H.tokens(x, H.rotation(2 * dim, seed, t), 1)[:, 0] for t in range(2)))
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(cell.astype(np.int64))], [*b.schema.names, "cell"])
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("class", "x", "y")), pa.array(cell.astype(np.int64))], ["class", "x", "y", "cell"])
 
-    once = rows.groupBy("class").agg(F.min("token").alias("token"), F.min_by(F.struct("x", "y"), "token").alias("v")).select("class", "v.x", "v.y")
-    classes = once.mapInArrow(celled, "class long, x array<float>, y array<float>, cell long")
-    classes = Stage(classes.withColumn("slice", F.pmod(F.xxhash64(F.lit(seed + 1), "class"), F.lit(SLICES)).cast("int")), "classes", by="slice")
+    def first_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
+        for b in batches:
+            if b.num_rows:
+                c = b.column("class").to_numpy()
+                fresh = np.r_[c[0] != last, c[1:] != c[:-1]]
+                last = c[-1]
+                yield b.filter(pa.array(fresh))
+
+    once = rows.select("class", "x", "y").mapInArrow(celled, kind).repartition("class").sortWithinPartitions("class").mapInArrow(first_of, kind)
+    classes = Stage(once.withColumn("slice", F.pmod(F.xxhash64(F.lit(seed + 1), "class"), F.lit(SLICES)).cast("int")), "classes", by="slice")
     centres = mini_batch_kmeans(classes, features, k, seed)
     if not len(centres):
         empty = rows.sparkSession.createDataFrame
