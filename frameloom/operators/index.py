@@ -17,11 +17,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from frameloom.functions.vectors import dot
-from frameloom.operators.blocks import BLOCK, _matrix, best_of_cells, cells, pairs_above, top_k
+from frameloom.operators.blocks import BLOCK, _best, _matrix, best_of_cells, cells, pairs_above, top_k
 from frameloom.session import stage
 
 SAMPLE_ROWS = 20_000
 SHORTLIST = 16
+#: Queries, and bytes of them, that are sent to the rows instead of shuffled to their cells.
+FEW_QUERIES, FEW_BYTES = 4096, 16 << 20
 PQ_THRESHOLD_MB = 200
 FLAVORS = ("auto", "ivfflat", "ivfpq")
 
@@ -81,6 +83,10 @@ class Index:
         """query, token, sim, rank of each query row (token, v). IVF can return fewer than k; IVF-PQ ranks its shortlist again by the exact cosine."""
         if self.table is None:
             return top_k(queries, self.vectors, k)
+        if self.codebooks is None:
+            few = queries.select("token", "v").limit(FEW_QUERIES + 1).toArrow()
+            if few.num_rows <= FEW_QUERIES and few.nbytes <= FEW_BYTES:
+                return few_search(few, self.table, self.centres, self.info["nprobe"], k)
         probed = probe(queries, self.centres, self.info["nprobe"])
         if self.codebooks is None:
             return cell_search(probed, self.table, k)
@@ -141,6 +147,48 @@ def cell_search(probed: DataFrame, table: DataFrame, k: int) -> DataFrame:
     return best_of_cells(both, k)
 
 
+def few_search(few: pa.Table, table: DataFrame, centres: np.ndarray, nprobe: int, k: int) -> DataFrame:
+    """``cell_search`` for few queries (token, v): they go to all tasks, which read the index as it is stored; only each task's k best
+    of a query are shuffled."""
+    asked = np.array(few["token"].to_pylist(), str)
+    if not len(asked):
+        return table.sparkSession.createDataFrame([], "query string, token string, sim double, rank int")
+    q = _matrix(few["v"])
+    best = np.argsort(-(q @ centres.T), axis=1, kind="stable")[:, :nprobe]
+    order = np.argsort(best.reshape(-1), kind="stable")
+    found, starts = np.unique(best.reshape(-1)[order], return_index=True)
+    by_cell = dict(zip(found.tolist(), np.split(order // best.shape[1], starts[1:])))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, names, sims = [], [], []
+        for b in batches:
+            if not b.num_rows:
+                continue
+            token, cell, x = np.array(b.column(0).to_pylist(), str), b.column(2).to_numpy(), _matrix(pa.chunked_array([b.column(1)]))
+            by = np.argsort(cell, kind="stable")
+            for rows in np.split(by, np.flatnonzero(np.diff(cell[by])) + 1):
+                own = by_cell.get(int(cell[rows[0]]))
+                if own is None:
+                    continue
+                rows = rows[np.argsort(token[rows], kind="stable")]
+                s = np.round(q[own] @ x[rows].T, 10)
+                some = _best(s, min(k, s.shape[1]))
+                at.append(np.repeat(own, some.shape[1]))
+                names.append(token[rows][some.reshape(-1)])
+                sims.append(np.take_along_axis(s, some, 1).reshape(-1))
+        if at:
+            a, n, s = np.concatenate(at), np.concatenate(names), np.concatenate(sims)
+            by = np.lexsort((n, -s, a))
+            first = np.flatnonzero(np.r_[True, a[by][1:] != a[by][:-1]])
+            place = np.arange(len(by)) - np.repeat(first, np.diff(np.r_[first, len(by)]))
+            by = by[place < k]
+            yield pa.RecordBatch.from_arrays([pa.array(asked[a[by]], pa.string()), pa.array(n[by], pa.string()), pa.array(s[by])], ["query", "token", "sim"])
+
+    hits = table.select("token", "v", "cell").mapInArrow(run, "query string, token string, sim double")
+    rank = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("sim"), "token"))
+    return hits.withColumn("rank", rank).where(F.col("rank") <= k)
+
+
 def cell_pairs(probed: DataFrame, table: DataFrame, threshold: float) -> DataFrame:
     """a, b, sim of rows that meet in a cell with a cosine of at least ``threshold``, in blocks as in ``cell_search``."""
     counts = stage(table.groupBy("cell").agg(F.ceil(F.count("*") / (4 * BLOCK)).cast("long").alias("blocks")), "cells")
@@ -272,7 +320,7 @@ def build_index(vectors: DataFrame, flavor: str = "auto", nlist: int | None = No
     table = assign(vectors, centres)
     info = {"index_type": "ivfflat", "n": n, "nlist": len(centres), "nprobe": nprobe}
     if pick_flavor(n, dim, flavor, pq_threshold_mb) == "ivfflat":
-        return Index(vectors, info, centres, None, stage(table, "index"))
+        return Index(vectors, info, centres, None, stage(table.repartition("cell").sortWithinPartitions("cell"), "index"))
     rest = (x - centres[(x @ centres.T).argmax(1)]).reshape(len(x), m, dim // m)
     codebooks = np.stack([kmeans(rest[:, i], 2**nbits, 10, seed + i) for i in range(m)])
     return Index(vectors, info | {"index_type": "ivfpq", "m": m, "nbits": nbits}, centres, codebooks, stage(pq_encode(table, centres, codebooks), "index"))

@@ -142,6 +142,17 @@ def test_ivf_recall_and_pq(spark):
     assert index.recall_at_k(truth.limit(0), truth).first()[0] == 1.0
 
 
+def test_few_queries_find_what_many_do(spark, monkeypatch):
+    x = gaussian(2000, 32, centres=20, seed=1)
+    x[100:140] = x[100]  # ties
+    df = frame(spark, x)
+    built, asked = index.build_index(df, "ivfflat"), df.where("token < 's00120'")
+    few = {(r.query, r.token, r["rank"], r.sim) for r in built.search(asked, 10).collect()}
+    assert built.search(asked.limit(0), 10).count() == 0
+    monkeypatch.setattr(index, "FEW_QUERIES", 0)
+    assert {(r.query, r.token, r["rank"], r.sim) for r in built.search(asked, 10).collect()} == few and len(few) == 1200
+
+
 def test_pq_cells_are_cut_without_loss(spark, monkeypatch):
     df = frame(spark, gaussian(2000, 32, centres=20, seed=1))
     built, asked = index.build_index(df, "ivfpq", m=8), df.limit(20)
