@@ -60,8 +60,11 @@ class Layout:
                 at, key, level = at[more], key[more], level + 1
         return tuple(np.concatenate(p) for p in zip(*out))
 
-    def cells(self, x: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Row number and cell of each entry; an entry of a dense key is in each cell of its block."""
+    def cells(self, x: np.ndarray, classes: np.ndarray, side: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Row number and cell of each entry; an entry of a dense key is in each cell of its block.
+
+        With a ``side``, rows are searched (1), each in the cell of its block, or ask (0) in the cells of all blocks.
+        """
         at, key, _ = self.keys(x)
         if not self.blocks:
             return at, key
@@ -71,9 +74,10 @@ class Layout:
             own = at[key == k]
             g = self.blocks[int(k)]
             block = (H.mix(11, classes[own]) % np.uint64(g)).astype(np.int64)
-            for other in range(g):
+            for other in range(g if side != 1 else 1):
+                p, q = (np.minimum(block, other), np.maximum(block, other)) if side is None else (block if side else np.full(len(own), other),) * 2
                 rows.append(own)
-                cell.append((H.mix(k, np.minimum(block, other), np.maximum(block, other)) & ~np.uint64(63)) | (k & np.uint64(63)))
+                cell.append((H.mix(k, p, q) & ~np.uint64(63)) | (k & np.uint64(63)))
         return np.concatenate(rows), np.concatenate(cell)
 
 
@@ -142,6 +146,29 @@ def in_cells(rows: DataFrame, plan: Layout) -> DataFrame:
     return placed.repartition("cell").sortWithinPartitions("cell")
 
 
+def asked_cells(asking: DataFrame, rows: DataFrame, plan: Layout, probes: int) -> DataFrame:
+    """cell, side, class, code, sorted by cell and side: classes that ask (side 0) in ``probes`` buckets a root, and all (side 1) in those of the plan."""
+
+    def placed(frame: DataFrame, own: Layout, side: int) -> DataFrame:
+        def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            seen: set[int] = set()
+            for b in batches:
+                classes = b.column(0).to_numpy(zero_copy_only=False)
+                fresh = np.fromiter((not (c in seen or seen.add(c)) for c in classes.tolist()), bool, len(classes))
+                b, classes = b.filter(pa.array(fresh)), classes[fresh]
+                for lo in range(0, len(classes), 1024):
+                    codes = H.encode(H.matrix(b.column(1).slice(lo, 1024)))
+                    at, cell = own.cells(H.decode(codes), classes[lo : lo + 1024], side)
+                    for p in range(0, len(at), 8192):
+                        t = at[p : p + 8192]
+                        yield pa.RecordBatch.from_arrays([pa.array(cell[p : p + 8192].astype(np.int64)), pa.array(np.full(len(t), side, np.int32)), pa.array(classes[lo : lo + 1024][t]), H.bytes_column(codes[t])], ["cell", "side", "class", "code"])
+
+        return frame.select("class", "vector").mapInArrow(entries, "cell long, side int, class long, code binary")
+
+    wide = Layout(plan.seed, plan.roots, probes, plan.split, plan.blocks, plan.depth)
+    return placed(asking, wide, 0).unionByName(placed(rows, plan, 1)).repartition("cell").sortWithinPartitions("cell", "side")
+
+
 def cell_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Cell, its different classes in order, and their codes."""
     for cell, table in H.grouped(batches, "cell"):
@@ -239,6 +266,15 @@ def nearest(x: np.ndarray, k: int, floor: float, turn: float, step: int = 2048)
     return np.concatenate(i), np.concatenate(j), np.concatenate(sims)
 
 
+def best_columns(s: np.ndarray, k: int, turn: float, dim: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and columns of cosines that can be among their row's k largest, as in ``nearest``."""
+    if s.shape[1] <= k:
+        return np.nonzero(s > -9)
+    last = np.partition(s, -k, axis=1)[:, -k].astype(np.float64)
+    cut = np.cos(np.minimum(np.pi, np.arccos(np.clip(last, -1, 1)) + 4 * turn * likely(dim))) - 3e-6
+    return np.nonzero(s >= np.maximum(cut, -1.5)[:, None])
+
+
 def still_best(i: np.ndarray, sims: np.ndarray, k: int, turn: float, dim: int) -> np.ndarray:
     """Which entries of row numbers ``i`` (in order) and cosines can be among the k most similar of their row, as in ``nearest``."""
     turn *= likely(dim)

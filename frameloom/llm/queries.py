@@ -63,6 +63,16 @@ def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     return close_neighbour_pairs(_read(spark, folder, "encoded_batch"))
 
 
+def p4_nearest(spark: SparkSession, folder: str) -> DataFrame:
+    """The 10 most similar samples, in either space, of each whose token's number is divisible by 100."""
+    from frameloom.functions.text import token_seed
+    from frameloom.llm.polytope import nearest_of
+
+    batch, asked = _read(spark, folder, "encoded_batch"), token_seed(F.col("token")) % 100 == 0
+    dino, clip = (nearest_of(batch, asked, c).select(F.lit(c).alias("space"), "sample_token", "rank", "neighbour", "sim") for c in ("dinov2", "clip_image"))
+    return dino.unionByName(clip)
+
+
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     from frameloom.llm.components import consolidated_groups
 
@@ -100,6 +110,13 @@ def p7_decoded(spark: SparkSession, folder: str) -> DataFrame:
     return decode_documents(p7_ids(spark, folder))
 
 
+def p7_offsets(spark: SparkSession, folder: str) -> DataFrame:
+    """The ids with the characters of the text that each covers."""
+    from frameloom.llm.encoding import encode_with_offsets
+
+    return encode_with_offsets(_read(spark, folder, "documents"))
+
+
 def p8_containers(spark: SparkSession, folder: str) -> DataFrame:
     from frameloom.llm.packing import pack
 
@@ -113,7 +130,7 @@ def p9_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    names = (p1_kept, p1_clusters, p2_found, p2_groups, p3_found, p3_splits, p4_found, p5_found, p5_groups, p6_found, p6_clusters, p7_ids, p7_decoded, p8_containers, p9_found)
+    names = (p1_kept, p1_clusters, p2_found, p2_groups, p3_found, p3_splits, p4_found, p4_nearest, p5_found, p5_groups, p6_found, p6_clusters, p7_ids, p7_decoded, p7_offsets, p8_containers, p9_found)
     return {f.__name__: f for f in names}
 
 

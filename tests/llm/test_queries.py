@@ -58,6 +58,14 @@ def test_kept_list_has_its_size_and_counts(rows, duck):
     assert all(r.per_cluster_kept == clusters[r.cluster_id].kept for r in kept)
 
 
+def test_nearest_are_found(rows, duck):
+    spaces = " UNION ALL ".join(f"SELECT '{c}' AS space, sample_token AS token, any_value({c})::DOUBLE[] AS v FROM encoded_batch WHERE sample_token IS NOT NULL AND len({c}) = 64 AND list_max(list_transform({c}, lambda x: abs(x))) > 0 GROUP BY 2" for c in ("dinov2", "clip_image"))
+    want = duck.execute(f"""WITH u AS ({spaces}), c AS (SELECT a.space, a.token AS t, b.token AS o, round(list_cosine_similarity(a.v, b.v), 6) AS sim FROM u a JOIN u b ON a.space = b.space AND a.token <> b.token
+        WHERE ('0x' || substr(md5(a.token), 1, 8))::BIGINT % 100 = 0), r AS (SELECT *, row_number() OVER (PARTITION BY space, t ORDER BY sim DESC, o) AS k FROM c) SELECT space, t, o FROM r WHERE k <= 10""").fetchall()
+    got = {(r.space, r.sample_token, r.neighbour) for r in rows("p4_nearest")}
+    assert want and len(got & set(want)) >= 0.9 * len(want) and {g[:2] for g in got} == {w[:2] for w in want}
+
+
 def test_scene_pairs_agree_with_plain_spelling(rows, duck):
     """Names that differ in case and separators only are one scene; names with other numbers never are."""
     names = [n for (n,) in duck.execute("SELECT DISTINCT scene_name FROM samples WHERE scene_name <> ''").fetchall()]
@@ -99,6 +107,14 @@ def test_cluster_sizes_add_up(rows, duck):
     assert all(own[m] == r.prompt_id for r in clusters for m in r.members)
 
 
+def test_offsets_cover_the_texts(rows, duck):
+    ids, texts = {r.doc_id: r.ids for r in rows("p7_ids")}, dict(duck.execute("SELECT doc_id, coalesce(text, '') FROM documents").fetchall())
+    for r in rows("p7_offsets"):
+        assert r.ids == ids[r.doc_id] and len(r.starts) == len(r.ends) == len(r.ids)
+        assert not r.ids or (r.starts[0], r.ends[-1]) == (0, len(texts[r.doc_id]))
+        assert all(s <= e and t >= e - 1 for s, e, t in zip(r.starts, r.ends, r.starts[1:]))
+
+
 def test_containers_hold_all_tokens(rows, duck):
     ids = {r.doc_id: len(r.ids) for r in rows("p7_ids")}
     room = dict(duck.execute("SELECT target_id, capacity_tokens FROM pack_targets").fetchall())

@@ -216,6 +216,24 @@ def test_recall_of_the_nearest_at_all(spark):
     assert len(got & want) / len(want) >= 0.9
 
 
+@pytest.mark.parametrize("dense", [10**9, 40])
+def test_nearest_of_some_among_all(spark, monkeypatch, dense):
+    """Recall of the nearest of unrelated vectors, and of those in a dense group that is cut into blocks."""
+    if dense < 10**9:
+        small_limits(monkeypatch, dense, 0)
+    rng = np.random.default_rng(7)
+    x = np.concatenate((rng.normal(size=(1500, 64)), rng.normal(size=(1, 64)) + rng.normal(size=(300, 64)) * 0.1)).astype(np.float32)
+    x[11] = x[10]
+    df = batch_of(spark, [(f"t{i:04d}", floats(v), None) for i, v in enumerate(x)] + [("t0010", floats(x[10]), None), ("null", None, None), ("zero", [0.0] * 64, None)])
+    got = polytope.nearest_of(df, F.col("token").rlike("0$"), "dinov2", 10).collect()
+    best = brute_nearest(x, 10)
+    want = {(f"t{i:04d}", f"t{j:04d}") for i in range(0, len(x), 10) for j in best[i]}
+    found = {(r.sample_token, r.neighbour) for r in got}
+    assert len(found & want) >= 0.9 * len(want) and {r.sample_token for r in got} == {a for a, _ in want}
+    assert {(r.neighbour, r.sim) for r in got if r.sample_token == "t0010" and r["rank"] == 1} == {("t0011", 1.0)}
+    assert len(got) == len(found) == len(want) and polytope.nearest_of(df.limit(0), F.lit(True), "dinov2").count() == 0
+
+
 def test_copies_offer_their_smallest_tokens(spark):
     df = batch_of(spark, [(f"t{i:02d}", floats(np.eye(64)[0]), None) for i in range(9)] + [("lone", floats(np.eye(64)[1]), None)])
     got = polytope.nearest_samples(df, "dinov2", 3, 0.9).collect()
