@@ -270,6 +270,40 @@ def test_planted_clusters_are_found(spark):
     assert empty.prompt_id is None
 
 
+@pytest.mark.parametrize("heavy", [10**9, 64])
+def test_clusters_of_other_vectors_and_threshold(spark, monkeypatch, heavy):
+    """Tight clusters on a common direction, far above the default threshold, with and without cutting heavy buckets."""
+    monkeypatch.setattr(linkage, "HEAVY", heavy)
+    monkeypatch.setattr(linkage, "block_size", lambda count: 256)
+    rng = np.random.default_rng(14)
+    common = rng.normal(size=(1, 32)) * 1.5
+    centres = unit(common + rng.normal(size=(9, 32)))
+    sizes = (500, 200, 90, 60, 60, 40, 30, 20, 10)
+    x = np.concatenate([unit(c + rng.normal(size=(n, 32)) * 0.05) for c, n in zip(centres, sizes)])
+    own = np.repeat(np.arange(9), sizes)
+    across = centres @ centres.T
+    np.fill_diagonal(across, -1)
+    assert across.max() < 0.9  # within a cluster it is about 0.92
+    rows = [(f"t{i:04d}", None, floats(v)) for i, v in enumerate(x)]
+    labels, clusters, _ = linkage.similarity_clusters(batch_of(spark, rows), threshold=0.89, dim=32)
+    got = {r.token: r.cid for r in labels.collect()}
+    groups = {}
+    for i, c in enumerate(own):
+        groups.setdefault(got[f"t{i:04d}"], []).append(c)
+    most = sum(max(map(g.count, set(g))) for g in groups.values())
+    assert most >= 0.995 * len(x) and sum(len(g) >= 5 for g in groups.values()) == 9
+    assert {r.cid: r.n for r in clusters.collect()} == {c: len(g) for c, g in groups.items()}
+
+
+def test_nothing_is_left_to_merge(spark):
+    x = unit(np.random.default_rng(1).normal(size=(700, 8))).astype(np.float32)
+    labels, clusters, _ = linkage.similarity_clusters(batch_of(spark, [(f"t{i:03d}", None, floats(v)) for i, v in enumerate(x)]), threshold=0.5, dim=8)
+    m = np.array([r["mean"] for r in clusters.collect()])
+    s = m @ m.T
+    np.fill_diagonal(s, -1)
+    assert s.max() < 0.5 and sum(r.n for r in clusters.collect()) == 700
+
+
 def test_quotas():
     q = variety.quotas({0: 10_000, 1: 100, 2: 1, 3: 0}, 112)
     assert sum(q.values()) == 112 and q[2] == 1 and q[3] == 0 and 5 < q[0] / q[1] < 15
