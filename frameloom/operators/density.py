@@ -1,7 +1,9 @@
 """Density clusters of 2-D points: hierarchical density-based clustering after Campello et al. (2013).
 
-The tree of densities is built over all points, whatever their number. One task holds it: two coordinates and a few numbers a
-point. Up to ``DENSE_POINTS`` the spanning tree comes from whole rows of distances, above it from Borůvka rounds over a k-d
+The tree of densities is built over all points. One task holds it: two coordinates and a few numbers a
+point. Up to ``MOST_POINTS`` each point is a leaf; of more, those of one cell of a fine grid are one leaf, at their mean and with their number
+as its weight, so that the task is bounded by the cells. A cell is a thousandth of the plane wide, far less than the distance below which
+clusters aren't split. Up to ``DENSE_POINTS`` the spanning tree comes from whole rows of distances, above it from Borůvka rounds over a k-d
 tree. Both give a minimum spanning tree, so the clusters don't depend on the way taken, but for the order of edges of equal length.
 """
 
@@ -15,6 +17,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DENSE_POINTS = 5_000
+#: Points up to which each is a leaf of the tree, and cells of the grid along an axis beyond.
+MOST_POINTS, GRID = 500_000, 1024
 LEAF = 16
 
 
@@ -162,13 +166,16 @@ def spanning_tree(points: np.ndarray, min_samples: int = 1, dense_points: int =
     return np.array(sorted(edges, key=lambda e: e[2])) if edges else np.zeros((0, 3))
 
 
-def density_labels(points: np.ndarray, min_cluster_size: int = 5, min_samples: int = 1, epsilon: float = 0.3, dense_points: int = DENSE_POINTS) -> np.ndarray:
-    """Cluster of each point, -1 for noise: the clusters of the condensed tree with the greatest stability, none split below ``epsilon``."""
+def density_labels(points: np.ndarray, min_cluster_size: int = 5, min_samples: int = 1, epsilon: float = 0.3, dense_points: int = DENSE_POINTS, weights: np.ndarray | None = None) -> np.ndarray:
+    """Cluster of each point, -1 for noise: the clusters of the condensed tree with the greatest stability, none split below ``epsilon``.
+
+    A point of a weight counts as so many.
+    """
     n = len(points)
-    if n < max(2, min_cluster_size):
+    if n < 2 or (n if weights is None else weights.sum()) < min_cluster_size:
         return np.full(n, -1)
     # single-linkage tree: node n + e joins two nodes at the length of edge e
-    parent, size, top, left, right, length = list(range(2 * n - 1)), [1] * n + [0] * (n - 1), list(range(2 * n - 1)), {}, {}, {}
+    parent, size, left, right, length = list(range(2 * n - 1)), ([1] * n if weights is None else weights.tolist()) + [0] * (n - 1), {}, {}, {}
 
     def find(i: int) -> int:
         while parent[i] != i:
@@ -240,7 +247,7 @@ def density_labels(points: np.ndarray, min_cluster_size: int = 5, min_samples: i
 def density_clusters(points: DataFrame, min_cluster_size: int = 5, min_samples: int = 1, epsilon: float = 0.3, sample_points: int = DENSE_POINTS) -> DataFrame:
     """sample_token, cluster_id (-1 for noise) of points (sample_token, x, y); null, NaN and infinite coordinates are noise.
 
-    ``sample_points`` is the number of points up to which the spanning tree is made from whole rows of distances; no point
+    ``sample_points`` is the number of leaves up to which the spanning tree is made from whole rows of distances; no point
     is left out above it.
     """
     sound = F.coalesce((F.abs("x") < F.lit(float("inf"))) & (F.abs("y") < F.lit(float("inf"))), F.lit(False))
@@ -254,8 +261,25 @@ def density_clusters(points: DataFrame, min_cluster_size: int = 5, min_samples:
             yield from pa.table([t["sample_token"], pa.array(labels.astype(np.int32))], ["sample_token", "cluster_id"]).combine_chunks().to_batches(max_chunksize=10_000)
 
     rows = points.select("sample_token", "x", "y")
-    whole = rows.where(sound).repartition(1).sortWithinPartitions("sample_token").mapInArrow(run, "sample_token string, cluster_id int")
-    return whole.unionByName(rows.where(~sound).select("sample_token", F.lit(-1).alias("cluster_id")))
+    noise = rows.where(~sound).select("sample_token", F.lit(-1).alias("cluster_id"))
+    rows = rows.where(sound)
+    box = rows.agg(F.count("*").alias("n"), *(f(c).alias(f"{name}_{c}") for c in ("x", "y") for name, f in (("low", F.min), ("high", F.max)))).first()
+    if box.n > MOST_POINTS:
+        place = lambda c: F.least(F.lit(GRID - 1), F.floor((F.col(c) - box[f"low_{c}"]) / max(box[f"high_{c}"] - box[f"low_{c}"], 1e-12) * GRID)).cast("int")
+        rows = rows.withColumn("cell", place("x") * GRID + place("y"))
+        leaves = rows.groupBy("cell").agg(F.avg("x").alias("x"), F.avg("y").alias("y"), F.count("*").alias("n"), F.min("sample_token").alias("sample_token"))
+
+        def weighed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held = [b for b in batches if b.num_rows]
+            if held:
+                t = pa.Table.from_batches(held)
+                xy = np.column_stack([t[c].to_numpy() for c in ("x", "y")])
+                labels = density_labels(xy, min_cluster_size, min_samples, epsilon, sample_points, t["n"].to_numpy())
+                yield from pa.table([t["cell"], pa.array(labels.astype(np.int32))], ["cell", "cluster_id"]).combine_chunks().to_batches(max_chunksize=10_000)
+
+        found = leaves.repartition(1).sortWithinPartitions("sample_token").mapInArrow(weighed, "cell int, cluster_id int")  # at most GRID² leaves
+        return rows.join(found, "cell").select("sample_token", "cluster_id").unionByName(noise)
+    return rows.repartition(1).sortWithinPartitions("sample_token").mapInArrow(run, "sample_token string, cluster_id int").unionByName(noise)
 
 
 def failure_modes(points: DataFrame, vectors: DataFrame, min_cluster_size: int = 5, n_init: int = 10, seed: int = 42) -> DataFrame:

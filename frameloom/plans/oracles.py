@@ -106,7 +106,7 @@ def oracle_sql() -> dict[str, str]:
         "cluster_sample_2d": f"WITH {_C}, {_P}, {_M} SELECT cluster_id, sample_token, (row_number() OVER (PARTITION BY cluster_id ORDER BY sample_token))::INT AS idx, round(v[1], 6) AS x, round(v[2], 6) AS y FROM m JOIN clip ON token = sample_token QUALIFY idx <= 25",
         "noise_filter": f"WITH {_C}, {_P}, {_M} SELECT sample_token, cluster_id FROM m WHERE round(sim, 6) >= 0.2",
         "token_to_cluster": "SELECT DISTINCT run_id, cluster_id, unnest(members) AS sample_token FROM clusters",
-        "cluster_series": "WITH c AS (SELECT cluster_id, unnest(sample_2d) AS p FROM clusters WHERE run_id = (SELECT max(run_id) FROM clusters)) SELECT cluster_id, count(*) AS n, round(avg(p.x), 6) AS x, round(avg(p.y), 6) AS y FROM c GROUP BY 1",
+        "cluster_series": "WITH c AS (SELECT cluster_id, unnest(sample_2d) AS p FROM clusters WHERE run_id = (SELECT max(run_id) FROM clusters)) SELECT cluster_id, p.sample_token AS sample_token, round(p.x, 6) AS x, round(p.y, 6) AS y, count(*) OVER w AS n, round(avg(p.x) OVER w, 6) AS mean_x, round(avg(p.y) OVER w, 6) AS mean_y FROM c WINDOW w AS (PARTITION BY cluster_id)",
         "stratified_take": f"WITH RECURSIVE {_ALL} SELECT cluster_id, cluster_rank, sample_token, member_idx FROM taken",
         "boosted_outliers": f"WITH RECURSIVE {_ALL} SELECT sample_token, rank FROM boosted",
         "per_cluster_kept": f"WITH RECURSIVE {_ALL} SELECT cluster_id, (SELECT count(*) FROM taken t WHERE t.cluster_id = sizes.cluster_id) AS kept FROM sizes",

@@ -344,10 +344,11 @@ def token_to_cluster(spark, d):
 
 @query
 def cluster_series(spark, d):
-    """Points of the latest run's clusters, with the number of points of their series."""
+    """The series of the latest run's clusters: their points, with the number of points and the mean of the series."""
     last = _read(spark, d, "clusters").agg(F.max("run_id").alias("run_id"))
     points = _read(spark, d, "clusters").join(F.broadcast(last), "run_id").select("cluster_id", F.explode("sample_2d").alias("p")).select("cluster_id", "p.*")
-    return points.groupBy("cluster_id").agg(F.count("*").alias("n"), F.round(F.avg("x"), 6).alias("x"), F.round(F.avg("y"), 6).alias("y"))
+    means = points.groupBy("cluster_id").agg(F.count("*").alias("n"), F.round(F.avg("x"), 6).alias("mean_x"), F.round(F.avg("y"), 6).alias("mean_y"))
+    return points.join(means, "cluster_id").select("cluster_id", "sample_token", F.round("x", 6).alias("x"), F.round("y", 6).alias("y"), "n", "mean_x", "mean_y")
 
 
 @query

@@ -377,6 +377,37 @@ def test_density_clusters_are_of_all_points(spark):
         assert len(rows) == len(boxes) == len(some) - 1 and np.allclose(rows[:, 2], boxes[:, 2])
 
 
+def test_points_of_a_grid_cell_are_one_leaf(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    xy = np.concatenate([rng.normal(size=(n, 2)) * 0.1 + c for n, c in ((900, (0, 0)), (500, (3, 0)), (60, (0, 3)))] + [rng.uniform(-9, 9, size=(6, 2))])
+    df = spark.createDataFrame([(f"s{i:05d}", float(a), float(b)) for i, (a, b) in enumerate(xy)] + [("bad", None, 1.0)], "sample_token string, x double, y double")
+    whole = {r.sample_token: r.cluster_id for r in density.density_clusters(df).collect()}
+    monkeypatch.setattr(density, "MOST_POINTS", 100)
+    cells = {r.sample_token: r.cluster_id for r in density.density_clusters(df).collect()}
+    assert len(whole) == len(cells) == len(xy) + 1 and cells["bad"] == -1
+    assert sum(whole[t] == cells[t] for t in whole) >= 0.99 * len(whole) and {0, 1, 2} <= set(cells.values())
+
+
+def test_devkit_folder(spark, tmp_path):
+    import json
+
+    files = [("s1", True, "samples/CAM_FRONT/a.jpg"), ("s1", True, "samples/LIDAR_TOP/a.bin"), ("s2", True, "samples/CAM_FRONT/gone.jpg"), ("s2", True, "samples/LIDAR_TOP/b.bin"), ("s3", False, "samples/CAM_FRONT/c.jpg")]
+    tables = {
+        "sample": [{"token": t, "scene_token": "c1", "timestamp": n} for n, t in enumerate(("s1", "s2", "s3"))],
+        "sample_data": [{"sample_token": t, "is_key_frame": k, "filename": f} for t, k, f in files],
+        "scene": [{"token": "c1", "name": "scene-0061", "description": "Foggy dusk", "log_token": "l1"}],
+        "log": [{"token": "l1", "location": "harbour"}],
+    }
+    for name, rows in tables.items():
+        (tmp_path / "v1.0-mini").mkdir(exist_ok=True)
+        (tmp_path / "v1.0-mini" / f"{name}.json").write_text(json.dumps(rows, indent=1))
+    (tmp_path / "samples" / "CAM_FRONT").mkdir(parents=True)
+    (tmp_path / "samples" / "CAM_FRONT" / "a.jpg").write_bytes(b"x")
+    got = S.nuscenes_samples(spark, str(tmp_path), max_samples=5).collect()
+    assert [(r.sample_token, r.scene_name, r.weather, r.time_of_day, r.location, r.cam_path) for r in got] == [("s1", "scene-0061", "fog", "dusk", "harbour", "samples/CAM_FRONT/a.jpg")]
+    assert S.read_images(spark, f"{tmp_path}/samples").count() == 1
+
+
 def test_weak_density_falls_back_to_kmeans(spark):
     x = gaussian(40, 4, centres=2, seed=2)
     points = spark.createDataFrame([(f"s{i:05d}", float(i % 2) * 1e-9, 0.0) for i in range(40)], "sample_token string, x double, y double")
