@@ -53,6 +53,9 @@ def main(argv: list[str] | None = None) -> None:
     prompts = spark.createDataFrame([(i, r.value, [float(x) for x in encoder.encode_text(r.value, dim)]) for i, r in enumerate(texts)], "prompt_id int, prompt string, clip_text array<float>")
     sizes = tuple(int(x) for x in a.benchmark_sizes.split(",") if x.strip()) if a.benchmark else ()
     config = CurationConfig(source=a.source, encoder=encoder.backend, vector_backend=a.vector_backend, dup_threshold=a.dup_threshold, target_size=a.target_size, dim=dim, benchmark_sizes=sizes)
+    if a.source != "table":  # pictures that can be decoded have thumbnails; the others have none
+        files = S.synthetic_pictures(samples, 96) if a.source == "synthetic" else S.read_images(spark, f"{a.dataroot}/samples/CAM_FRONT").select(F.regexp_extract("path", r"(samples/CAM_FRONT/.*)$", 1).alias("cam_path"), "content").join(samples.select("cam_path", "sample_token"), "cam_path")
+        S.decode_images(files, "sample_token").where("thumb is not null").select("sample_token", "thumb").write.mode("overwrite").parquet(f"{a.out}/thumbnails")
     line = CurationPipeline(config).run(samples, batch, prompts, a.out, sha=git_sha("."))
     print(line.select("headline_metric").first()[0])
 

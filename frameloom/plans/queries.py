@@ -464,6 +464,13 @@ def synthetic_vectors(spark, d):
     return encode.encode_features(rows, "sample_token", "features", "dinov2", 192)
 
 
+@query
+def synthetic_images(spark, d):
+    """Generated frames as PNG files, decoded again, resized, and as thumbnails."""
+    out = S.decode_images(S.synthetic_pictures(S.synthetic_samples(spark, 200)), "sample_token", size=64, thumb=32)
+    return out.select("sample_token", "height", "width", F.length("pixels").alias("n_bytes"), F.size("features").alias("n_features"), "thumb_base64")
+
+
 # encoders
 @query
 def random_projection(spark, d):

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from frameloom.functions import images
 from frameloom.functions.text import infer_time_of_day, infer_weather
 from frameloom.schema import SAMPLES
 
@@ -51,38 +56,48 @@ def synthetic_samples(spark: SparkSession, n: int = 400, n_scenes: int = 24, dup
 COLOURS = {"urban_intersection": (90, 110, 100), "highway_merge": (70, 95, 120), "tunnel": (35, 30, 25), "construction_zone": (200, 120, 30), "residential": (110, 140, 70), "parking_lot": (140, 140, 150)}
 
 
-def synthetic_features(samples: DataFrame, side: int = 8) -> DataFrame:
-    """sample_token, features: a small deterministic picture of each generated frame, as side x side x 3 values from 0 to 1.
+def frame_picture(token: str, scene: str | None, weather: str | None, time: str | None, side: int) -> np.ndarray:
+    """A small deterministic picture of a generated frame, side x side x 3 values from 0 to 1.
 
     Sky over road in the template's colour, darker at night and dusk, greyer in rain and fog, with shapes and noise seeded by
     the frame; a copy has its original's picture, a little blurred.
     """
-    import hashlib
-
-    import numpy as np
-    import pyarrow as pa
-
-    def draw(token: str, template: str, weather: str, time: str) -> np.ndarray:
-        rng = np.random.default_rng(int(hashlib.md5(token.encode()).hexdigest()[:8], 16))
-        height = np.linspace(1.2, 0.6, side)[:, None, None]
-        picture = np.ones((side, side, 3)) * np.array(COLOURS.get(template, (100, 100, 100))) / 255 * height
-        for _ in range(3):
-            y, x = rng.integers(side // 2, side), rng.integers(0, side)
-            picture[y, max(0, x - 1) : x + 1] = rng.random(3)
-        picture = picture * {"night": 0.3, "dusk": 0.65}.get(time, 1.0)
-        if weather in ("rain", "fog"):
-            picture = picture * 0.6 + (0.2 if weather == "rain" else 0.35)
-        return np.clip(picture + rng.normal(0, 0.03, picture.shape), 0, 1)
+    original, _, copied = token.partition("_dup_")
+    source, template = f"sample_{copied[-5:]}" if copied else original, (scene or "").split("-")[-1]
+    rng = np.random.default_rng(int(hashlib.md5(source.encode()).hexdigest()[:8], 16))
+    height = np.linspace(1.2, 0.6, side)[:, None, None]
+    picture = np.ones((side, side, 3)) * np.array(COLOURS.get(template, (100, 100, 100))) / 255 * height
+    unit = max(1, side // 8)
+    for _ in range(3):
+        y, x = unit * rng.integers(side // 2 // unit, side // unit), unit * rng.integers(0, side // unit)
+        picture[y : y + unit, max(0, x - unit) : x + unit] = rng.random(3)
+    picture = picture * {"night": 0.3, "dusk": 0.65}.get(time, 1.0)
+    if weather in ("rain", "fog"):
+        picture = picture * 0.6 + (0.2 if weather == "rain" else 0.35)
+    picture = np.clip(picture + rng.normal(0, 0.03, picture.shape), 0, 1)
+    return 0.94 * picture + 0.06 * np.roll(picture, unit, 1) if copied else picture
+
+
+def synthetic_pictures(samples: DataFrame, side: int = 224) -> DataFrame:
+    """sample_token, content: each generated frame as a PNG of side x side pixels."""
 
+    def run(batches):
+        for b in batches:
+            for lo in range(0, b.num_rows, 64):
+                part = b.slice(lo, 64)
+                found = [images.png_bytes(np.rint(255 * frame_picture(*row, side)).astype(np.uint8)) for row in zip(*(part.column(i).to_pylist() for i in range(4)))]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found, pa.binary())], ["sample_token", "content"])
+
+    return samples.select("sample_token", "scene_name", "weather", "time_of_day").mapInArrow(run, "sample_token string, content binary")
+
+
+def synthetic_features(samples: DataFrame, side: int = 8) -> DataFrame:
+    """sample_token, features: the picture of each generated frame, as side x side x 3 values from 0 to 1."""
     def run(batches):
         for b in batches:
             out = []
             for token, scene, weather, time in zip(*(b.column(i).to_pylist() for i in range(4))):
-                original, _, copied = token.partition("_dup_")
-                picture = draw(f"sample_{copied[-5:]}" if copied else original, (scene or "").split("-")[-1], weather, time)
-                if copied:
-                    picture = 0.94 * picture + 0.06 * np.roll(picture, 1, 1)
-                out.append(picture.astype(np.float32).reshape(-1))
+                out.append(frame_picture(token, scene, weather, time, side).astype(np.float32).reshape(-1))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.list_(pa.float32()))], ["sample_token", "features"])
 
     return samples.select("sample_token", "scene_name", "weather", "time_of_day").mapInArrow(run, "sample_token string, features array<float>")
@@ -117,6 +132,32 @@ def read_images(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "content")
 
 
+def decode_images(files: DataFrame, key: str = "path", column: str = "content", size: int | None = 224, thumb: int = 192) -> DataFrame:
+    """key, height, width (of the file), pixels (RGB bytes at size x size, or at the file's size for None), features (8 x 8 x 3
+    from 0 to 1), thumb (a PNG within ``thumb`` x ``thumb``) and thumb_base64 of PNG and PPM files.
+
+    Null, broken and other files (there is no library for JPEG here) have nulls.
+    """
+    names = [key, "height", "width", "pixels", "features", "thumb", "thumb_base64"]
+    types = [pa.int32(), pa.int32(), pa.binary(), pa.list_(pa.float32()), pa.binary(), pa.string()]
+
+    def one(data: bytes | None) -> tuple:
+        rgb = images.read_picture(data)
+        if rgb is None:
+            return (None,) * 6
+        fit, small = rgb if size is None else images.resize(rgb, size, size), images.thumbnail(rgb, thumb)
+        return *rgb.shape[:2], fit.tobytes(), images.features(rgb), images.png_bytes(small), images.as_text(small)
+
+    def run(batches):
+        for b in batches:
+            for lo in range(0, b.num_rows, 64):
+                part = b.slice(lo, 64)
+                found = list(zip(*map(one, part.column(1).to_pylist())))
+                yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(c, t) for c, t in zip(found, types))], names)
+
+    return files.select(key, column).mapInArrow(run, f"{key} {files.schema[key].dataType.simpleString()}, height int, width int, pixels binary, features array<float>, thumb binary, thumb_base64 string")
+
+
 def first_rows(samples: DataFrame) -> DataFrame:
     """One row a token: of repeated ones the latest ingested, of those the smallest by its other columns. Null tokens are left out."""
     others = [F.col(c) for c in SAMPLES.fieldNames()[1:]]

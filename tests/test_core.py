@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from frameloom.functions import images
 from frameloom.functions import text as T
 from frameloom.functions.vectors import cosine, l2_normalize, search_cosine
 from frameloom.operators import benchmark, blocks, curate, density, encode, graph, index, order, project, report
@@ -408,6 +409,42 @@ def test_devkit_folder(spark, tmp_path):
     assert S.read_images(spark, f"{tmp_path}/samples").count() == 1
 
 
+def chunked(kind, width, height, rows, palette=b""):
+    """A PNG of given filtered rows."""
+    import struct
+    import zlib
+
+    head = images._chunk(b"IHDR", struct.pack(">IIBBBBB", width, height, 8, kind, 0, 0, 0))
+    return images.SIGNATURE + head + (images._chunk(b"PLTE", palette) if palette else b"") + images._chunk(b"IDAT", zlib.compress(rows)) + images._chunk(b"IEND", b"")
+
+
+def test_pictures_in_and_out():
+    rng = np.random.default_rng(0)
+    x = rng.integers(0, 256, (13, 17, 3)).astype(np.uint8)
+    assert np.array_equal(images.read_picture(images.png_bytes(x)), x)
+    assert np.array_equal(images.read_picture(b"P6\n17 13\n255\n" + x.tobytes()), x)
+    filtered = bytes([1, 10, 5, 5]) + bytes([3, 10, 2, 1]) + bytes([4, 1, 1, 1]) + bytes([0, 9, 8, 7])  # left, mean, Paeth, none
+    grey = images.read_picture(chunked(0, 3, 4, filtered))
+    assert grey[:, :, 0].tolist() == [[10, 15, 20], [15, 17, 19], [16, 18, 20], [9, 8, 7]]
+    assert images.read_picture(chunked(3, 2, 1, bytes([0, 1, 0]), bytes([1, 2, 3, 4, 5, 6]))).tolist() == [[[4, 5, 6], [1, 2, 3]]]
+    assert images.read_picture(chunked(6, 1, 1, bytes([0, 100, 200, 50, 51]))).tolist() == [[[20, 40, 10]]]
+    for broken in (None, b"", b"jpeg", images.png_bytes(x)[:60], chunked(3, 2, 1, bytes([0, 1, 0])), chunked(0, 3, 4, filtered[:-1]), b"P6 x"):
+        assert images.read_picture(broken) is None
+    assert np.array_equal(images.resize(x, 13, 17), x) and images.resize(np.full((30, 20, 3), 7, np.uint8), 8, 8).tolist() == np.full((8, 8, 3), 7).tolist()
+    assert images.resize(np.array([[[0] * 3, [100] * 3]], np.uint8), 1, 1).tolist() == [[[50] * 3]] and images.thumbnail(np.zeros((400, 100, 3), np.uint8), 40).shape == (40, 10, 3)
+    assert images.thumbnail(x, 40) is x and images.features(x).shape == (192,)
+
+
+def test_pictures_are_decoded_in_batches(spark):
+    made = S.synthetic_pictures(S.synthetic_samples(spark, 30), 32)
+    files = made.unionByName(spark.createDataFrame([("none", None), ("bad", bytearray(b"x"))], "sample_token string, content binary"))
+    got = {r.sample_token: r for r in S.decode_images(files, "sample_token", size=16, thumb=8).collect()}
+    assert len(got) == 32 and got["none"].height is None and got["bad"].thumb is None
+    one = next(r for t, r in got.items() if t.startswith("sample"))
+    assert (one.height, one.width, len(one.pixels), len(one.features)) == (32, 32, 16 * 16 * 3, 192)
+    assert images.read_picture(bytes(one.thumb)).shape == (8, 8, 3) and one.thumb_base64.startswith("iVBOR")
+
+
 def test_weak_density_falls_back_to_kmeans(spark):
     x = gaussian(40, 4, centres=2, seed=2)
     points = spark.createDataFrame([(f"s{i:05d}", float(i % 2) * 1e-9, 0.0) for i in range(40)], "sample_token string, x double, y double")
