@@ -20,6 +20,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--dataroot", default="./data/nuscenes", help="devkit folder, or a folder of samples.parquet and encoded_batch.parquet")
     p.add_argument("--encoder", choices=["auto", "torch", "projection"], default="auto")
     p.add_argument("--vector-backend", choices=["auto", "exact", "index"], default="auto")
+    p.add_argument("--projection", choices=["axes", "neighbours"], default="axes", help="plane of the points: principal axes, or the layout of the neighbour graph")
     p.add_argument("--benchmark", action="store_true", help="add the index benchmark to the summary")
     p.add_argument("--benchmark-sizes", default="1000,5000,10000")
     p.add_argument("--dup-threshold", type=float, default=0.97)
@@ -52,7 +53,7 @@ def main(argv: list[str] | None = None) -> None:
         raise SystemExit("more than 10,000 prompts")
     prompts = spark.createDataFrame([(i, r.value, [float(x) for x in encoder.encode_text(r.value, dim)]) for i, r in enumerate(texts)], "prompt_id int, prompt string, clip_text array<float>")
     sizes = tuple(int(x) for x in a.benchmark_sizes.split(",") if x.strip()) if a.benchmark else ()
-    config = CurationConfig(source=a.source, encoder=encoder.backend, vector_backend=a.vector_backend, dup_threshold=a.dup_threshold, target_size=a.target_size, dim=dim, benchmark_sizes=sizes)
+    config = CurationConfig(source=a.source, encoder=encoder.backend, vector_backend=a.vector_backend, dup_threshold=a.dup_threshold, target_size=a.target_size, dim=dim, projection=a.projection, benchmark_sizes=sizes)
     if a.source != "table":  # pictures that can be decoded have thumbnails; the others have none
         files = S.synthetic_pictures(samples, 96) if a.source == "synthetic" else S.read_images(spark, f"{a.dataroot}/samples/CAM_FRONT").select(F.regexp_extract("path", r"(samples/CAM_FRONT/.*)$", 1).alias("cam_path"), "content").join(samples.select("cam_path", "sample_token"), "cam_path")
         S.decode_images(files, "sample_token").where("thumb is not null").select("sample_token", "thumb").write.mode("overwrite").parquet(f"{a.out}/thumbnails")

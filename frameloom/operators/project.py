@@ -8,10 +8,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from frameloom.operators.blocks import _matrix
+from frameloom.operators.blocks import _matrix, top_k
+from frameloom.operators.index import Index
+from frameloom.session import Stage, stage
 
 
 def pca(vectors: DataFrame, components: int = 2) -> tuple[np.ndarray, np.ndarray]:
@@ -51,6 +53,57 @@ def project_2d(vectors: DataFrame) -> DataFrame:
     return vectors.select("token", "v").mapInArrow(run, "sample_token string, x double, y double")
 
 
+def neighbour_graph(vectors: DataFrame, k: int = 15, index: Index | None = None) -> DataFrame:
+    """i, j, w: the fuzzy graph of each row's ``k`` nearest others, both ways (McInnes et al., 2018).
+
+    A row's nearest neighbour has the weight 1; the others fall off with their distance beyond it, at the row's own scale, the mean of those
+    distances. Weights a and b of both directions make a + b - a b. Neighbours are exact, or those that an ``index`` finds.
+    """
+    if index:
+        near = index.search(vectors, k + 1).where("query <> token")
+        near = near.withColumn("rank", F.row_number().over(Window.partitionBy("query").orderBy(F.desc("sim"), "token"))).where(F.col("rank") <= k)
+    else:
+        near = top_k(vectors, vectors, k, exclude_self=True)
+    near = near.select(F.col("query").alias("i"), F.col("token").alias("j"), F.greatest(F.lit(0.0), 1 - F.col("sim")).alias("d"))
+    beyond = F.col("d") - F.min("d").over(Window.partitionBy("i"))
+    near = near.withColumn("beyond", beyond).withColumn("scale", F.avg("beyond").over(Window.partitionBy("i")))
+    own = near.select("i", "j", F.exp(-F.col("beyond") / F.greatest(F.col("scale"), F.lit(1e-9))).alias("w"))
+    both = own.unionByName(own.select(F.col("j").alias("i"), F.col("i").alias("j"), "w"))
+    return both.groupBy("i", "j").agg((1 - F.product(1 - F.col("w"))).alias("w"))
+
+
+def neighbour_projection(vectors: DataFrame, k: int = 15, rounds: int = 30, index: Index | None = None) -> DataFrame:
+    """sample_token, x, y: the layout of the neighbour graph by its two smoothest functions, started from the principal axes.
+
+    Each round moves every row towards the weighted mean of its neighbours (half way, so that nothing oscillates), and the two
+    coordinates are made of mean 0, variance 1 and uncorrelated again, all weighted by degree: subspace iteration for the graph's
+    spectral layout. Rounds are joins and sums; only five sums a round come to the driver. Rows without coordinates have no neighbours:
+    there are none with k rows or more. Fewer than three rows fall back to the principal axes.
+    """
+    start = stage(project_2d(vectors), "axes")
+    if start.limit(3).count() < 3:
+        return start
+    edges = stage(neighbour_graph(vectors, k, index), "graph")
+    degree = edges.groupBy("i").agg(F.sum("w").alias("deg"))
+    held = Stage(degree.join(start.withColumnRenamed("sample_token", "i"), "i").select("i", "deg", "x", "y"), "layout")
+    for turn in range(rounds + 1):
+        now = held.frame
+        m = now.agg(F.sum("deg").alias("n"), *(F.sum(F.col("deg") * e).alias(a) for a, e in (("x", F.col("x")), ("y", F.col("y")), ("xx", F.col("x") ** 2), ("xy", F.col("x") * F.col("y")), ("yy", F.col("y") ** 2)))).first()
+        mx, my = m.x / m.n, m.y / m.n
+        sx = max(m.xx / m.n - mx * mx, 1e-18) ** 0.5
+        slope = (m.xy / m.n - mx * my) / sx**2
+        sy = max(m.yy / m.n - my * my - slope**2 * sx**2, 1e-18) ** 0.5
+        x = (F.col("x") - mx) / sx
+        flat = now.select("i", "deg", x.alias("x"), ((F.col("y") - my - slope * (F.col("x") - mx)) / sy).alias("y"))
+        if turn == rounds:
+            return flat.select(F.col("i").alias("sample_token"), "x", "y")
+        moved = edges.join(flat.select(F.col("i").alias("j"), "x", "y"), "j").groupBy("i").agg(F.sum(F.col("w") * F.col("x")).alias("ax"), F.sum(F.col("w") * F.col("y")).alias("ay"))
+        step = flat.join(moved, "i").select("i", "deg", ((F.col("x") + F.col("ax") / F.col("deg")) / 2).alias("x"), ((F.col("y") + F.col("ay") / F.col("deg")) / 2).alias("y"))
+        after = Stage(step, "layout")
+        held.drop()
+        held = after
+
+
 def default_k(n: int, min_cluster_size: int = 5) -> int:
     return min(8, max(2, n // max(1, min_cluster_size)))
 

@@ -32,6 +32,7 @@ class CurationConfig:
     min_cluster_size: int = 5
     n_init: int = 10
     dim: int = 64
+    projection: str = "axes"
     benchmark_sizes: tuple[int, ...] = ()
     exact_rows: int = EXACT_ROWS
 
@@ -63,7 +64,7 @@ class CurationPipeline:
         wide = [build_index(x, "ivfflat", nlist=wide_nlist(large)) if large > c.exact_rows else None for x in (dino, clip)]
         groups = keep(curate.find_near_duplicates(dino, c.dup_threshold, wide[0]), "duplicates")
         outliers = keep(curate.find_outliers(clip, c.knn, c.outlier_share, wide[1]), "outliers")
-        xy = keep(project.project_2d(clip), "points")
+        xy = keep(project.neighbour_projection(clip, index=wide[1]) if c.projection == "neighbours" else project.project_2d(clip), "points")
         members = keep(density.failure_modes(xy, clip, c.min_cluster_size, c.n_init), "members")
         texts = prompts.where(usable(F.col("clip_text").cast("array<double>"), c.dim)).select("prompt_id", "prompt", l2_normalize(F.col("clip_text").cast("array<double>")).alias("v"))
         labels = curate.label_clusters(curate.centroids(members.where("cluster_id >= 0"), clip), texts)

@@ -376,6 +376,11 @@ def project_2d(spark, d):
     return project.project_2d(stage(_vectors(spark, d, "clip_image"), "clip"))
 
 
+@query
+def neighbour_projection(spark, d):
+    return project.neighbour_projection(stage(_vectors(spark, d, "clip_image"), "clip"))
+
+
 # assembly
 def _assembly(spark, d) -> dict[str, DataFrame]:
     clip = stage(_vectors(spark, d, "clip_image"), "clip")

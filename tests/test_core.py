@@ -210,6 +210,24 @@ def test_projection_and_kmeans(spark):
     assert project.project_2d(df.limit(0)).count() == 0
 
 
+def test_neighbour_projection_keeps_clusters_together(spark):
+    x = gaussian(300, 16, centres=5, noise=0.6, seed=6)
+    df = frame(spark, x)
+    graph_rows = project.neighbour_graph(df, 8).collect()
+    weight = {(r.i, r.j): r.w for r in graph_rows}
+    assert all(weight[j, i] == pytest.approx(w) and 0 < w <= 1 and i != j for (i, j), w in weight.items())
+    best = np.argsort(-(x @ x.T - 2 * np.eye(300)), axis=1)[:, 0]
+    assert all(weight[f"s{i:05d}", f"s{b:05d}"] == pytest.approx(1) for i, b in enumerate(best))
+    got = {r.sample_token: (r.x, r.y) for r in project.neighbour_projection(df, 8, rounds=20).collect()}
+    xy = np.array([got[f"s{i:05d}"] for i in range(300)])
+    own = (x @ x.T).argsort(1)[:, -9:-1]
+    assert len(got) == 300 and np.isfinite(xy).all()
+    # neighbours stay close: far less apart than rows at large
+    apart = np.linalg.norm(xy[:, None] - xy[own], axis=2).mean()
+    assert apart < 0.3 * np.linalg.norm(xy[:, None] - xy[None], axis=2).mean()
+    assert project.neighbour_projection(df.limit(2)).count() == 2 and project.neighbour_projection(df.limit(0)).count() == 0
+
+
 def test_encoders(spark):
     df = spark.createDataFrame([(1, [1.0, 0.0, 2.0]), (2, None)], "id int, f array<float>")
     got = {r.id: r.dinov2 for r in encode.encode_features(df, "id", "f", "dinov2", 3).collect()}
@@ -322,7 +340,7 @@ def test_command_line(spark, tmp_path, capsys):
 
     a = parser().parse_args(["--out", "x", "--source", "nuscenes", "--dataroot", "y", "--max-samples", "7", "--benchmark"])
     assert (a.source, a.dataroot, a.max_samples, a.benchmark, a.target_size, a.dup_threshold) == ("nuscenes", "y", 7, True, 120, 0.97)
-    main(["--out", f"file://{tmp_path}/cli", "--n", "60", "--target-size", "12"])
+    main(["--out", f"file://{tmp_path}/cli", "--n", "60", "--target-size", "12", "--projection", "neighbours"])
     assert "Curated 60 raw frames → 1" in capsys.readouterr().out
 
 
