@@ -44,6 +44,10 @@ class Layout:
     blocks: dict[int, int] = field(default_factory=dict)
     depth: int = 1
 
+    def __post_init__(self) -> None:
+        if len(self.roots) > 62:
+            raise ValueError("more than 62 runs or tables would be needed: the cosine is too low for this recall")
+
     def keys(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Row number, key and parent's key of each entry of unit rows. The low six bits of a key are its root."""
         out = []
@@ -225,9 +229,14 @@ def exact(pairs: DataFrame, rows: DataFrame, dim: int) -> DataFrame:
     return joined.mapInArrow(cosines, "a long, b long, sim double")
 
 
-def close_pairs(x: np.ndarray, least: float, step: int = 2048) -> tuple[np.ndarray, np.ndarray]:
+def _step(rows: int) -> int:
+    """Rows that are compared at once with so many: their cosines take 32 MB at most."""
+    return max(64, min(2048, (8 << 20) // max(1, rows)))
+
+
+def close_pairs(x: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
     """Row numbers i < j of unit rows with a cosine of at least ``least``."""
-    i, j = [], []
+    i, j, step = [], [], _step(len(x))
     for lo in range(0, len(x), step):
         at = np.flatnonzero(x[lo : lo + step] @ x[lo:].T >= least)
         p, q = np.divmod(at, len(x) - lo)
@@ -242,14 +251,14 @@ def likely(dim: int) -> float:
     return min(1.0, 3.5 / dim**0.5)
 
 
-def nearest(x: np.ndarray, k: int, floor: float, turn: float, step: int = 2048) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def nearest(x: np.ndarray, k: int, floor: float, turn: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Row numbers of each row and of the rows that can be among its k most similar, and their cosines of at least ``floor``.
 
     x: unit rows that are off by ``turn`` at most. Besides the k best those come out that the codes don't tell from the k-th.
     """
     turn *= likely(x.shape[1])
     i, j, sims = [], [], []
-    k = min(k, len(x) - 1)
+    k, step = min(k, len(x) - 1), _step(len(x))
     for lo in range(0, len(x), step):
         s = x[lo : lo + step] @ x.T
         s[np.arange(len(s)), np.arange(lo, lo + len(s))] = -9

@@ -269,7 +269,7 @@ def learn_english(documents: DataFrame, most: int = 4000) -> English:
     """Fitted on about ``most`` documents that have a text and a language (all, if there are no more), chosen by a hash of doc_id; where
     none has a language, on texts that all count as English."""
     lang = F.lower(F.trim(F.regexp_extract(F.col("lang").cast("string"), "^[^-_]*", 0))) if "lang" in documents.columns else F.lit("").cast("string")
-    rows = documents.where("text is not null").select(F.col("text").cast("string").alias("text"), lang.alias("lang"), (F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / (1 << 30)).alias("at"))
+    rows = documents.where("text is not null and doc_id is not null").select(F.col("text").cast("string").alias("text"), lang.alias("lang"), (F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / (1 << 30)).alias("at"))
     known = F.col("lang").isNotNull() & ~F.col("lang").isin("", "und")
     n = rows.agg(F.count(F.when(known, 1)).alias("known"), F.count("*").alias("all")).first()
     some, whole = (rows.where(known), n.known) if n.known else (rows, n["all"])
@@ -279,8 +279,8 @@ def learn_english(documents: DataFrame, most: int = 4000) -> English:
             found = [Counter(w for p in paragraphs(t) for w in TOKEN.findall(p)) for t in b.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array([list(c) for c in found], pa.list_(pa.string())), pa.array([list(c.values()) for c in found], pa.list_(pa.int32())), b.column(1)], ["words", "n", "lang"])
 
-    # the share that is taken bounds what comes to the driver
-    got = some.where(F.col("at") < most / max(1, whole)).select("text", "lang").mapInArrow(count, "words array<string>, n array<int>, lang string").collect()
+    # the share that is taken bounds what comes to the driver; the limit only matters where one doc_id has very many rows
+    got = some.where(F.col("at") < most / max(1, whole)).select("text", "lang").mapInArrow(count, "words array<string>, n array<int>, lang string").limit(2 * most + 100).collect()
     return English([dict(zip(r.words, r.n)) for r in got], [r.lang == "en" or not n.known for r in got])
 
 
@@ -296,6 +296,7 @@ def labelled_prose(documents: DataFrame, labels: DataFrame, english: English, mo
             yield pa.RecordBatch.from_arrays([b.column(0).filter(pa.array(ok, pa.bool_())), b.column(2).filter(pa.array(ok, pa.bool_())), pa.array([x for x, y in zip(found, ok) if y], pa.list_(pa.list_(pa.string())))], ["doc_id", "level", "prose"])
 
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(chosen, "doc_id")
+    rows = rows.groupBy("doc_id").agg(F.min("text").alias("text"), F.min("level").alias("level"))  # of a repeated doc_id one text
     got = sorted(rows.mapInArrow(read, "doc_id long, level double, prose array<array<string>>").toLocalIterator(), key=lambda r: (r.doc_id, r.level))
     return [r.prose for r in got], np.array([r.level for r in got])
 

@@ -190,6 +190,11 @@ def test_runs_are_repeated_until_the_recall_is_reached(spark, dirty, groups, mon
     assert chosen_path.missed_share(0, 50, 1000, 3) == 0 and chosen_path.missed_share(100, 50, 1000, 3) > 0.05
 
 
+def test_a_cosine_too_low_is_refused(spark, dirty):
+    with pytest.raises(ValueError):
+        chosen_path.near_duplicate_pairs(dirty, threshold=0.3)
+
+
 def test_exact_pairs_without_broadcast(spark, dirty, groups, monkeypatch):
     monkeypatch.setattr(C, "BROADCAST_ROWS", 0)
     monkeypatch.setattr(C, "BROADCAST_BYTES", 0)
