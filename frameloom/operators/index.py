@@ -103,12 +103,17 @@ class Index:
         """Writes the rows kept by cell, the centres and what the index is, so that a service reads only the cells that it probes."""
         spark = self.vectors.sparkSession
         rows = assign(self.vectors, self.centres) if self.centres is not None else self.vectors.withColumn("cell", F.lit(0).cast("long"))
-        rows.repartition("cell").write.mode("overwrite").partitionBy("cell").parquet(f"{path}/cells")
+        by_cell(rows).write.mode("overwrite").partitionBy("cell").parquet(f"{path}/cells")
         centres = self.centres if self.centres is not None else np.zeros((1, 1))
         spark.createDataFrame([(i, [float(v) for v in c]) for i, c in enumerate(centres)], "cell long, v array<double>").coalesce(1).write.mode("overwrite").parquet(f"{path}/centres")
         spark.createDataFrame([(k, str(v)) for k, v in self.info.items()], "key string, value string").coalesce(1).write.mode("overwrite").parquet(f"{path}/info")
 
 
+def by_cell(rows: DataFrame, pieces: int = 16) -> DataFrame:
+    """Rows of a cell in few partitions, but in several, so that a cell that holds a third of all rows isn't one task."""
+    return rows.repartition(F.col("cell"), F.pmod(F.xxhash64("token"), F.lit(pieces)))
+
+
 def assign(vectors: DataFrame, centres: np.ndarray) -> DataFrame:
     """token, v, cell: the cell whose centre has the largest inner product."""
 
@@ -320,7 +325,7 @@ def build_index(vectors: DataFrame, flavor: str = "auto", nlist: int | None = No
     table = assign(vectors, centres)
     info = {"index_type": "ivfflat", "n": n, "nlist": len(centres), "nprobe": nprobe}
     if pick_flavor(n, dim, flavor, pq_threshold_mb) == "ivfflat":
-        return Index(vectors, info, centres, None, stage(table.repartition("cell").sortWithinPartitions("cell"), "index"))
+        return Index(vectors, info, centres, None, stage(by_cell(table).sortWithinPartitions("cell"), "index"))
     rest = (x - centres[(x @ centres.T).argmax(1)]).reshape(len(x), m, dim // m)
     codebooks = np.stack([kmeans(rest[:, i], 2**nbits, 10, seed + i) for i in range(m)])
     return Index(vectors, info | {"index_type": "ivfpq", "m": m, "nbits": nbits}, centres, codebooks, stage(pq_encode(table, centres, codebooks), "index"))
