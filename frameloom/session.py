@@ -55,11 +55,11 @@ _STAGES: list[Stage] = []
 @contextmanager
 def scratch() -> Iterator[None]:
     """Removes at its end all stages that were made inside. Results must have been written by then."""
-    before = len(_STAGES)
+    before = set(_STAGES)
     try:
         yield
     finally:
-        for s in _STAGES[before:]:
+        for s in [s for s in _STAGES if s not in before]:
             s.drop()
 
 
