@@ -1,30 +1,35 @@
 """Dense similarity in blocks: exact pairs and exact top-k as matrix products in Arrow batches.
 
-Rows are hashed into blocks of bounded size; each pair of blocks is a cell that one task multiplies. No task holds more
-than two blocks, and only pairs over the threshold, or each row's best, leave it. The work is quadratic, as the exact
+Rows are written once, in files of bounded size; a task holds one file and reads the others one after another, so nothing is sent
+as often as it is compared. Only pairs over the threshold, or each row's best, leave a task. The work is quadratic, as the exact
 results are by definition; an IVF index (``operators.index``) is the way for larger collections.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+import pyarrow.parquet as pq
+from pyarrow import fs
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from frameloom.functions.vectors import l2_normalize, usable
+from frameloom.session import stage
 
+#: Rows of a stretch that a task reads, rows that are multiplied with it at once, and rows of a file.
 BLOCK = 4096
+TILE = 512
+FILE_ROWS = 16_384
 
 
 def unit_vectors(batch: DataFrame, column: str, dim: int = 64, token: str = "sample_token") -> DataFrame:
     """token, v: one normalised double vector a token; of several vectors of a token the smallest counts. Unusable ones are left out."""
-    vector = F.col(column).cast("array<double>")
-    rows = batch.select(F.col(token).alias("token"), vector.alias("v")).where(F.col("token").isNotNull() & usable(F.col("v"), dim))
-    return rows.groupBy("token").agg(F.min("v").alias("v")).select("token", l2_normalize(F.col("v")).alias("v"))
+    rows = batch.select(F.col(token).alias("token"), F.col(column).alias("v")).where(F.col("token").isNotNull() & usable(F.col("v").cast("array<double>"), dim))
+    return rows.groupBy("token").agg(F.min("v").alias("v")).select("token", l2_normalize(F.col("v").cast("array<double>")).alias("v"))
 
 
 def _matrix(column: pa.ChunkedArray) -> np.ndarray:
@@ -51,65 +56,209 @@ def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def _in_cells(vectors: DataFrame, rows: int) -> DataFrame:
-    blocks = max(1, math.ceil(rows / BLOCK))
-    own = F.pmod(F.xxhash64("token"), F.lit(blocks)).cast("int")
-    spread = vectors.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    cell = F.least("own", "other") * F.lit(blocks).cast("long") + F.greatest("own", "other")
-    placed = spread.select(cell.alias("cell"), "own", "token", "v").repartition("cell")
-    return placed.sortWithinPartitions("cell", "own")
+def shelf(vectors: DataFrame, name: str = "vectors") -> DataFrame:
+    """token, v (unit) as a stage of files of at most ``FILE_ROWS`` rows, which tasks of ``pairs_above`` and ``top_k`` read by themselves.
+
+    So rows are written once, not sent to each task that compares them. A frame that is on a shelf stays as it is. The shared
+    folder has to be one that pyarrow can read: local, hdfs, s3 or gs.
+    """
+    if getattr(vectors, "_shelved", None) is not None:
+        return vectors
+    out = stage(vectors.select("token", "v"), name, FILE_ROWS)
+    out._shelved = sorted(out.inputFiles())
+    return out
+
+
+def _stretches(files: list[str], rows: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Tokens and vectors of files, about ``rows`` at a time."""
+    held, n = [], 0
+    for uri in files:
+        system, path = fs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
+        with system.open_input_file(path) as source:
+            for b in pq.ParquetFile(source).iter_batches(rows, columns=["token", "v"]):
+                held.append(b)
+                n += b.num_rows
+                if n >= rows:
+                    yield _stretch(held)
+                    held, n = [], 0
+    if n:
+        yield _stretch(held)
+
+
+def _stretch(held: list[pa.RecordBatch]) -> tuple[np.ndarray, np.ndarray]:
+    t = pa.Table.from_batches(held)
+    return np.array(t["token"].to_pylist(), object), _matrix(t["v"])
+
+
+def _slack(dim: int) -> float:
+    """What the cosine of unit rows in single floats is off at most, twice: rounding of the rows, their products and the sum."""
+    return (dim + 8) * 2.0**-23
+
+
+def _own_task(spark: SparkSession, number: int) -> DataFrame:
+    return spark.range(0, number, 1, max(1, number))
 
 
-def pairs_above(vectors: DataFrame, threshold: float, rows: int | None = None) -> DataFrame:
-    """a, b, sim: all pairs a < b of unit vectors with a cosine of at least ``threshold``."""
+def pairs_above(vectors: DataFrame, threshold: float) -> DataFrame:
+    """a, b, sim: all pairs a < b of unit vectors with a cosine of at least ``threshold``.
+
+    A task holds a file of the shelf and reads the files from there on. Products of single floats, first of some rotated dimensions,
+    tell which pairs can reach the threshold; those are multiplied in double.
+    """
+    vectors = shelf(vectors)
+    files = vectors._shelved
 
     def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in cells(batches):
-            tokens, own, x = np.array(t["token"].to_pylist(), object), t["own"].to_numpy(), _matrix(t["v"])
-            cut = int(np.searchsorted(own, own[0], "right"))
-            # a cell of one block holds its own pairs; a cell of two holds those across
-            left, right = (slice(0, cut), slice(cut, None)) if cut < len(own) else (slice(None), slice(None))
-            same = cut == len(own)
-            n = int(t["cell"][0].as_py())
-            if same and not _diagonal(n, int(own[0])):
-                continue  # the other block of the cell has no rows
-            for lo in range(0, len(tokens[left]), 1024):
-                s = x[left][lo : lo + 1024] @ x[right].T
-                i, j = np.nonzero(s >= threshold)
-                sim = s[i, j]
-                a, b = tokens[left][lo + i], tokens[right][j]
-                if same:
-                    keep = a < b
-                    a, b, sim = a[keep], b[keep], sim[keep]
-                low = a < b
-                yield pa.RecordBatch.from_arrays([pa.array(np.where(low, a, b), pa.string()), pa.array(np.where(low, b, a), pa.string()), pa.array(sim)], ["a", "b", "sim"])
-
-    rows = vectors.count() if rows is None else rows
-    blocks = max(1, math.ceil(rows / BLOCK))
-
-    def _diagonal(cell: int, block: int) -> bool:
-        return cell == block * blocks + block
-
-    return _in_cells(vectors, rows).mapInArrow(multiply, "a string, b string, sim double")
+        for at in (n for b in batches for n in b.column(0).to_pylist()):
+            for tokens, x in _stretches(files[at : at + 1], FILE_ROWS):
+                seen = _screen(x)
+                yield from _pairs(tokens, x, tokens, x, threshold, True, seen)
+                for others, y in _stretches(files[at + 1 :], BLOCK):
+                    yield from _pairs(tokens, x, others, y, threshold, False, seen)
+
+    return _own_task(vectors.sparkSession, len(files)).mapInArrow(multiply, "a string, b string, sim double")
+
+
+@lru_cache(maxsize=4)
+def _turn(dim: int) -> np.ndarray:
+    return np.linalg.qr(np.random.default_rng(17).standard_normal((dim, dim)))[0]
+
+
+def _screen(x: np.ndarray) -> np.ndarray:
+    """Fewer dimensions, whose products are never below those of x: a quarter of the rotated ones and the length of the rest."""
+    dim = x.shape[1]
+    if dim < 32:
+        return x.astype(np.float32)
+    y = x @ _turn(dim)
+    return np.concatenate((y[:, : dim // 4], np.linalg.norm(y[:, dim // 4 :], axis=1, keepdims=True)), 1).astype(np.float32)
+
+
+def _pairs(tokens: np.ndarray, x: np.ndarray, others: np.ndarray, y: np.ndarray, threshold: float, same: bool, seen: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Pairs of rows x and y; ``seen`` is the screen of x."""
+    y_seen, least = seen if same else _screen(y), threshold - _slack(x.shape[1])
+    for lo in range(0, len(x), TILE):
+        for c in range(0, len(y), BLOCK):
+            rows, columns = slice(lo, lo + TILE), slice(c, c + BLOCK)
+            near = seen[rows] @ y_seen[columns].T >= least
+            close = np.flatnonzero(near)
+            if len(close) > near.size // 64:  # the screen tells little here
+                close = np.flatnonzero(x[rows].astype(np.float32) @ y[columns].astype(np.float32).T >= least)
+            if not len(close):
+                continue
+            i, j = np.divmod(close, len(y[columns]))
+            i, j = i + lo, j + c
+            if same:
+                keep = tokens[i] < others[j]
+                i, j = i[keep], j[keep]
+            sim = _products(x, y, i, j)
+            keep = sim >= threshold
+            i, j, sim = i[keep], j[keep], sim[keep]
+            a, b = tokens[i], others[j]
+            low = a < b
+            for p in range(0, len(i), 65536):
+                q = slice(p, p + 65536)
+                yield pa.RecordBatch.from_arrays([pa.array(np.where(low[q], a[q], b[q]), pa.string()), pa.array(np.where(low[q], b[q], a[q]), pa.string()), pa.array(sim[q])], ["a", "b", "sim"])
+
+
+def _products(x: np.ndarray, y: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Products of rows i of x and j of y, a bounded number at a time."""
+    out = np.empty(len(i))
+    for lo in range(0, len(i), 65536):
+        at = slice(lo, lo + 65536)
+        out[at] = np.einsum("ij,ij->i", x[i[at]], y[j[at]])
+    return out
 
 
 def top_k(queries: DataFrame, corpus: DataFrame, k: int, exclude_self: bool = False) -> DataFrame:
     """query, token, sim, rank (from 1): the k most similar corpus rows of each query, ties by token.
 
-    queries and corpus: token, v (unit). Queries are cut into blocks; each meets every block of the corpus once, and sends on
-    its k best of it. The order is that of similarities rounded to 10 decimals, so equal vectors tie.
+    queries and corpus: token, v (unit). A task holds a stretch of queries, reads the files of the corpus one after another, and keeps
+    each query's k best, so only answers leave it. The order is that of similarities rounded to 10 decimals, so equal vectors tie.
     """
-    n_queries, n_corpus = queries.count(), corpus.count()
-    q_blocks, c_blocks = (max(1, math.ceil(n / BLOCK)) for n in (n_queries, n_corpus))
-
-    def side(frame: DataFrame, own: int, others: int, mark: int) -> DataFrame:
-        mine = F.pmod(F.xxhash64("token"), F.lit(own)).cast("long")
-        other = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(others - 1).cast("long")))
-        cell = F.col("mine") * others + F.col("other") if not mark else F.col("other") * own + F.col("mine")
-        return frame.withColumn("mine", mine).withColumn("other", other).select(cell.alias("cell"), F.lit(mark).alias("own"), "token", "v")
-
-    both = side(queries, q_blocks, c_blocks, 0).unionByName(side(corpus, c_blocks, q_blocks, 1))
-    return best_of_cells(both, k, exclude_self)
+    queries, corpus = (shelf(corpus),) * 2 if queries is corpus else (queries, shelf(corpus))
+    files, mine = corpus._shelved, getattr(queries, "_shelved", None)
+
+    def answers(tokens: np.ndarray, x: np.ndarray) -> Iterator[pa.RecordBatch]:
+        best = _Best(tokens, x, k, exclude_self)
+        for others, y in _stretches(files, BLOCK):
+            best.meet(others, y)
+        yield from best.batches()
+
+    def of_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for at in (n for b in batches for n in b.column(0).to_pylist()):
+            for tokens, x in _stretches(mine[at : at + 1], FILE_ROWS):
+                yield from answers(tokens, x)
+
+    def of_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for b in batches:
+            held.append(b)
+            if sum(h.num_rows for h in held) >= FILE_ROWS:
+                yield from answers(*_stretch(held))
+                held = []
+        if sum(h.num_rows for h in held):
+            yield from answers(*_stretch(held))
+
+    schema = "query string, token string, sim double, rank int"
+    if mine is not None:
+        return _own_task(corpus.sparkSession, len(mine)).mapInArrow(of_files, schema)
+    return queries.select("token", "v").mapInArrow(of_rows, schema)
+
+
+class _Best:
+    """The k best of queries (tokens, unit rows x) among stretches of a corpus that come one after another."""
+
+    def __init__(self, tokens: np.ndarray, x: np.ndarray, k: int, exclude_self: bool):
+        self.tokens, self.x, self.x4, self.k, self.exclude = tokens, x, x.astype(np.float32), k, exclude_self
+        self.names, self.sims = np.full((len(x), k), "", object), np.full((len(x), k), -9.0)
+
+    def meet(self, others: np.ndarray, y: np.ndarray) -> None:
+        order = np.argsort(others, kind="stable")
+        others, y = others[order], y[order]
+        y4 = y.astype(np.float32)
+        # what ties with the last after rounding counts too
+        least = (self.sims[:, -1] - _slack(y.shape[1]) - 1e-9).astype(np.float32)
+        at = {t: n for n, t in enumerate(others.tolist())} if self.exclude else {}
+        own = np.array([at.get(t, -1) for t in self.tokens.tolist()]) if self.exclude else np.full(len(self.x), -1)
+        for lo in range(0, len(self.x), TILE):
+            hi = min(lo + TILE, len(self.x))
+            s = self.x4[lo:hi] @ y4.T
+            close = np.flatnonzero(s >= least[lo:hi, None])
+            if not len(close):
+                continue
+            if len(close) > s.size // 16:  # the first stretch, or a dense one: as well all in double
+                whole = np.round(self.x[lo:hi] @ y.T, 10)
+                there = np.flatnonzero(own[lo:hi] >= 0)
+                whole[there, own[lo:hi][there]] = -9
+                j = _best(whole, min(self.k, len(y)))
+                i = np.repeat(np.arange(hi - lo), j.shape[1])
+                j = j.reshape(-1)
+                sim = whole[i, j]
+                keep = sim > -9
+            else:
+                i, j = np.divmod(close, len(y))
+                sim = np.round(_products(self.x[lo:hi], y, i, j), 10)
+                keep = (own[lo:hi][i] != j) & (sim >= self.sims[lo:hi, -1][i])
+            self._add(i[keep] + lo, others[j[keep]], sim[keep])
+
+    def _add(self, i: np.ndarray, names: np.ndarray, sims: np.ndarray) -> None:
+        rows, i = np.unique(i, return_inverse=True)
+        i = np.concatenate((np.repeat(np.arange(len(rows)), self.k), i))
+        names, sims = np.concatenate((self.names[rows].reshape(-1), names)), np.concatenate((self.sims[rows].reshape(-1), sims))
+        order = np.lexsort((-sims, i))
+        tied = (i[order][1:] == i[order][:-1]) & (sims[order][1:] == sims[order][:-1]) & (sims[order][1:] > -9)
+        if tied.any():
+            by_name = np.argsort(names, kind="stable")
+            order = by_name[np.lexsort((-sims[by_name], i[by_name]))]
+        first = np.searchsorted(i[order], np.arange(len(rows)))
+        kept = order[(first[:, None] + np.arange(self.k)).reshape(-1)].reshape(len(rows), self.k)
+        self.names[rows], self.sims[rows] = names[kept], sims[kept]
+
+    def batches(self) -> Iterator[pa.RecordBatch]:
+        for lo in range(0, len(self.x), 1024):
+            names, sims = self.names[lo : lo + 1024], self.sims[lo : lo + 1024]
+            i, j = np.nonzero(sims > -9)
+            yield pa.RecordBatch.from_arrays([pa.array(self.tokens[lo : lo + 1024][i], pa.string()), pa.array(names[i, j], pa.string()), pa.array(sims[i, j]), pa.array(j.astype(np.int32) + 1)], ["query", "token", "sim", "rank"])
 
 
 def best_of_cells(rows: DataFrame, k: int, exclude_self: bool = False) -> DataFrame:

@@ -53,7 +53,7 @@ def _members(spark: SparkSession, d: str, clip: DataFrame | None = None) -> Data
 
 
 def _groups(spark: SparkSession, d: str) -> DataFrame:
-    return stage(curate.find_near_duplicates(stage(_vectors(spark, d, "dinov2"), "dino"), TAU), "groups")
+    return stage(curate.find_near_duplicates(blocks.shelf(_vectors(spark, d, "dinov2"), "dino"), TAU), "groups")
 
 
 def _joined(column: str) -> F.Column:
@@ -156,12 +156,12 @@ def manifest_hash(spark, d):
 # near-duplicates
 @query
 def near_dup_pairs(spark, d):
-    return blocks.pairs_above(stage(_vectors(spark, d, "dinov2"), "dino"), TAU).select("a", "b", F.round("sim", 6).alias("sim"))
+    return blocks.pairs_above(blocks.shelf(_vectors(spark, d, "dinov2"), "dino"), TAU).select("a", "b", F.round("sim", 6).alias("sim"))
 
 
 @query
 def near_dup_components(spark, d):
-    return graph.components(stage(blocks.pairs_above(stage(_vectors(spark, d, "dinov2"), "dino"), TAU), "links"))
+    return graph.components(stage(blocks.pairs_above(blocks.shelf(_vectors(spark, d, "dinov2"), "dino"), TAU), "links"))
 
 
 @query
@@ -200,11 +200,11 @@ def dup_gallery(spark, d):
 # outliers and search
 @query
 def knn_distance(spark, d):
-    return curate.knn_distance(stage(_vectors(spark, d, "clip_image"), "clip"), 10).select("sample_token", F.round("knn_distance", 6).alias("knn_distance"))
+    return curate.knn_distance(blocks.shelf(_vectors(spark, d, "clip_image"), "clip"), 10).select("sample_token", F.round("knn_distance", 6).alias("knn_distance"))
 
 
 def _outliers(spark, d, clip: DataFrame | None = None) -> DataFrame:
-    return curate.find_outliers(stage(_vectors(spark, d, "clip_image"), "clip") if clip is None else clip)
+    return curate.find_outliers(blocks.shelf(_vectors(spark, d, "clip_image"), "clip") if clip is None else clip)
 
 
 @query
@@ -225,13 +225,13 @@ def outlier_gallery(spark, d):
 
 @query
 def exact_topk(spark, d):
-    clip = stage(_vectors(spark, d, "clip_image"), "clip")
+    clip = blocks.shelf(_vectors(spark, d, "clip_image"), "clip")
     return blocks.top_k(clip.orderBy("token").limit(1), clip, 10).select("query", "token", "rank", F.round("sim", 6).alias("sim"))
 
 
 @query
 def exact_topk_batch(spark, d):
-    clip = stage(_vectors(spark, d, "clip_image"), "clip")
+    clip = blocks.shelf(_vectors(spark, d, "clip_image"), "clip")
     return blocks.top_k(_queries_of(clip), clip, 10).select("query", "token", "rank", F.round("sim", 6).alias("sim"))
 
 
@@ -254,33 +254,33 @@ def _prompt_index(spark, d, clip):
 
 @query
 def ivf_topk(spark, d):
-    clip = stage(_vectors(spark, d, "clip_image"), "clip")
+    clip = blocks.shelf(_vectors(spark, d, "clip_image"), "clip")
     return _prompt_index(spark, d, clip).search(_queries_of(clip), 10).select("query", "token", "rank", F.round("sim", 6).alias("sim"))
 
 
 @query
 def recall_at_k(spark, d):
-    clip = stage(_vectors(spark, d, "clip_image"), "clip")
+    clip = blocks.shelf(_vectors(spark, d, "clip_image"), "clip")
     asked = stage(_queries_of(clip), "queries")
     return index.recall_at_k(blocks.top_k(asked, clip, 10), _prompt_index(spark, d, clip).search(asked, 10))
 
 
 @query
 def ivf_kmeans_topk(spark, d):
-    clip = stage(_vectors(spark, d, "clip_image"), "clip")
+    clip = blocks.shelf(_vectors(spark, d, "clip_image"), "clip")
     return index.build_index(clip, "ivfflat").search(_queries_of(clip), 10)
 
 
 @query
 def ivfpq_topk(spark, d):
-    clip = stage(_vectors(spark, d, "clip_image"), "clip")
+    clip = blocks.shelf(_vectors(spark, d, "clip_image"), "clip")
     return index.build_index(clip, "ivfpq").search(_queries_of(clip), 10)
 
 
 @query
 def ann_benchmark(spark, d):
     """Recall of the k-means index against exact search over the stated query set."""
-    clip = stage(_vectors(spark, d, "clip_image"), "clip")
+    clip = blocks.shelf(_vectors(spark, d, "clip_image"), "clip")
     asked = stage(_queries_of(clip), "queries")
     built = index.build_index(clip, "ivfflat")
     info = [F.lit(v).alias(k) for k, v in built.info.items()]
@@ -295,7 +295,7 @@ def cluster_sizes(spark, d):
 
 @query
 def cluster_centroids(spark, d):
-    clip = stage(_vectors(spark, d, "clip_image"), "clip")
+    clip = blocks.shelf(_vectors(spark, d, "clip_image"), "clip")
     return curate.centroids(_members(spark, d, clip), clip).select("cluster_id", F.posexplode("v").alias("pos", "x")).select("cluster_id", "pos", F.round("x", 6).alias("x"))
 
 
@@ -305,13 +305,13 @@ def _xy(clip: DataFrame) -> DataFrame:
 
 @query
 def cluster_centroid_2d(spark, d):
-    clip = stage(_vectors(spark, d, "clip_image"), "clip")
+    clip = blocks.shelf(_vectors(spark, d, "clip_image"), "clip")
     return _members(spark, d, clip).join(_xy(clip), "sample_token").groupBy("cluster_id").agg(F.round(F.avg("x"), 6).alias("x"), F.round(F.avg("y"), 6).alias("y"))
 
 
 @query
 def label_clusters(spark, d):
-    clip = stage(_vectors(spark, d, "clip_image"), "clip")
+    clip = blocks.shelf(_vectors(spark, d, "clip_image"), "clip")
     return curate.label_clusters(curate.centroids(_members(spark, d, clip), clip), _prompts(spark, d)).select("cluster_id", "prompt_id", "label", F.round("score", 6).alias("score"))
 
 
@@ -323,7 +323,7 @@ def clusters_ranked(spark, d):
 
 @query
 def cluster_sample_2d(spark, d):
-    clip = stage(_vectors(spark, d, "clip_image"), "clip")
+    clip = blocks.shelf(_vectors(spark, d, "clip_image"), "clip")
     rows = _members(spark, d, clip).join(_xy(clip), "sample_token")
     idx = F.row_number().over(Window.partitionBy("cluster_id").orderBy("sample_token"))
     return rows.withColumn("idx", idx).where(F.col("idx") <= 25).select("cluster_id", "sample_token", "idx", F.round("x", 6).alias("x"), F.round("y", 6).alias("y"))
@@ -354,7 +354,7 @@ def cluster_series(spark, d):
 @query
 def clusters(spark, d):
     """Cluster records of density clusters on the principal axes, or of k-means where they are weak."""
-    clip = stage(_vectors(spark, d, "clip_image"), "clip")
+    clip = blocks.shelf(_vectors(spark, d, "clip_image"), "clip")
     xy = stage(project.project_2d(clip), "points")
     members = stage(density.failure_modes(xy, clip), "members")
     labels = curate.label_clusters(curate.centroids(members.where("cluster_id >= 0"), clip), _prompts(spark, d))
@@ -363,27 +363,27 @@ def clusters(spark, d):
 
 @query
 def density_clusters(spark, d):
-    return density.density_clusters(stage(project.project_2d(stage(_vectors(spark, d, "clip_image"), "clip")), "points"))
+    return density.density_clusters(stage(project.project_2d(blocks.shelf(_vectors(spark, d, "clip_image"), "clip")), "points"))
 
 
 @query
 def kmeans_clusters(spark, d):
-    return project.kmeans_clusters(stage(_vectors(spark, d, "clip_image"), "clip"))
+    return project.kmeans_clusters(blocks.shelf(_vectors(spark, d, "clip_image"), "clip"))
 
 
 @query
 def project_2d(spark, d):
-    return project.project_2d(stage(_vectors(spark, d, "clip_image"), "clip"))
+    return project.project_2d(blocks.shelf(_vectors(spark, d, "clip_image"), "clip"))
 
 
 @query
 def neighbour_projection(spark, d):
-    return project.neighbour_projection(stage(_vectors(spark, d, "clip_image"), "clip"))
+    return project.neighbour_projection(blocks.shelf(_vectors(spark, d, "clip_image"), "clip"))
 
 
 # assembly
 def _assembly(spark, d) -> dict[str, DataFrame]:
-    clip = stage(_vectors(spark, d, "clip_image"), "clip")
+    clip = blocks.shelf(_vectors(spark, d, "clip_image"), "clip")
     members = stage(_members(spark, d, clip), "members")
     return curate.assemble(_samples(spark, d).select("sample_token"), _groups(spark, d), stage(_outliers(spark, d, clip), "outliers"), members, TARGET)
 

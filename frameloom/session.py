@@ -67,14 +67,14 @@ class Stage:
     """A table written to the shared folder and read again, which cuts the lineage.
 
     The files outlive any executor. ``drop`` removes a stage that nothing reads any more; ``scratch`` removes all of a stretch of
-    work. ``by`` is a column by whose values the table is kept, so that a read of one value skips the rest.
+    work. ``by`` is a column by whose values the table is kept, so that a read of one value skips the rest; ``rows`` are the most of a file.
     """
 
-    def __init__(self, frame: DataFrame, name: str = "stage", by: str | None = None):
+    def __init__(self, frame: DataFrame, name: str = "stage", by: str | None = None, rows: int = 0):
         self.spark = frame.sparkSession
         self.path = f"{shared_folder(self.spark)}/frameloom-stages/{name}-{uuid.uuid4().hex}"
         schema = frame.schema
-        (frame.write.partitionBy(by) if by else frame.write).parquet(self.path)
+        (frame.write.partitionBy(by) if by else frame.write).option("maxRecordsPerFile", rows).parquet(self.path)
         _STAGES.append(self)
         self.frame = self.spark.read.schema(schema).parquet(self.path)
 
@@ -86,5 +86,5 @@ class Stage:
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def stage(frame: DataFrame, name: str = "stage") -> DataFrame:
-    return Stage(frame, name).frame
+def stage(frame: DataFrame, name: str = "stage", rows: int = 0) -> DataFrame:
+    return Stage(frame, name, rows=rows).frame
