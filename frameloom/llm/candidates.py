@@ -31,6 +31,8 @@ TURNS = 3
 #: Class numbers that are sent to all tasks at most (8 bytes each), and bytes of vectors. More are shuffled.
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 32 << 20
+#: Bytes of unit rows up to which a cell is decoded as a whole, not again for each part.
+WHOLE_BYTES = 64 << 20
 
 
 @dataclass
@@ -197,9 +199,10 @@ def leaves(codes: np.ndarray, path: int, seed: int, probes: int = 2, small: int
             for turn, t in enumerate(H.code_tokens(codes[at], [H.rotation(dim, seed, n) for n in numbers], probes)):
                 order = np.argsort(t.reshape(-1), kind="stable")
                 value, starts = np.unique(t.reshape(-1)[order], return_index=True)
-                for v, c in zip(value.tolist(), np.split(order // probes, starts[1:])):
+                paths = H.mix(path, turn, value).tolist()
+                for child, c in zip(paths, np.split(order // probes, starts[1:])):
                     if len(c) > 1:
-                        children.append((at[c], int(H.mix(path, turn, v)), depth + 1))
+                        children.append((at[c], child, depth + 1))
                         work += float(len(c)) ** 2
             # a split costs about as much as comparing each row with ``small`` others
             if work + small * (len(at) + 4.0 * len(children)) < float(len(at)) ** 2:
@@ -208,6 +211,14 @@ def leaves(codes: np.ndarray, path: int, seed: int, probes: int = 2, small: int
         yield at
 
 
+def unit_parts(codes: np.ndarray) -> Callable[[np.ndarray], np.ndarray]:
+    """Gives the unit rows of parts of a cell, whose parts hold a row many times."""
+    if len(codes) * H.width(codes) * 4 > WHOLE_BYTES:
+        return lambda at: H.decode(codes[at])
+    x = H.decode(codes)
+    return lambda at: x[at]
+
+
 def exact(pairs: DataFrame, rows: DataFrame, dim: int) -> DataFrame:
     """a, b, sim: the cosine of each pair in double from the stored floats."""
     ends = stage(pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct(), "ends")
@@ -261,17 +272,20 @@ def nearest(x: np.ndarray, k: int, floor: float, turn: float) -> tuple[np.ndarra
     k, step = min(k, len(x) - 1), _step(len(x))
     for lo in range(0, len(x), step):
         s = x[lo : lo + step] @ x.T
-        s[np.arange(len(s)), np.arange(lo, lo + len(s))] = -9
-        close = s >= floor
-        full = np.flatnonzero(close.sum(1) > k)
+        np.fill_diagonal(s[:, lo:], -9)
+        at = np.flatnonzero(s >= floor)
+        p, q = np.divmod(at, len(x))
+        own = s.reshape(-1)[at]
+        full = np.flatnonzero(np.bincount(p, minlength=len(s)) > k)
         if len(full):
             last = np.partition(s[full], -k, axis=1)[:, -k]
-            cut = np.cos(np.minimum(np.pi, np.arccos(np.clip(last, -1, 1)) + 4 * turn)) - 3e-6
-            close[full] &= s[full] >= cut[:, None]
-        p, q = np.nonzero(close)
+            cut = np.full(len(s), -9, s.dtype)
+            cut[full] = np.cos(np.minimum(np.pi, np.arccos(np.clip(last, -1, 1)) + 4 * turn)) - 3e-6
+            keep = own >= cut[p]
+            p, q, own = p[keep], q[keep], own[keep]
         i.append(p + lo)
         j.append(q)
-        sims.append(s[p, q])
+        sims.append(own)
     return np.concatenate(i), np.concatenate(j), np.concatenate(sims)
 
 

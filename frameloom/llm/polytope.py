@@ -45,10 +45,10 @@ def class_neighbours(rows: DataFrame, k: int, least: float | None, plan: C.Layou
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for cell, classes, codes in C.cell_rows(batches):
-            off, found, sims = H.turns(codes), [], []
+            off, unit, found, sims = H.turns(codes), C.unit_parts(codes), [], []
             for at in C.leaves(codes, cell, plan.seed, plan.probes):
                 turn = float(off[at].max())
-                p, q, s = C.nearest(H.decode(codes[at]), k, H.loosest(least, turn) if least is not None else -2.0, turn)
+                p, q, s = C.nearest(unit(at), k, H.loosest(least, turn) if least is not None else -2.0, turn)
                 found.append(at[p] * len(classes) + at[q])
                 sims.append(s)
             both, first = np.unique(np.concatenate(found), return_index=True)

@@ -361,3 +361,33 @@ def test_centres_are_fitted_on_all_records(spark):
     got = {r.sample_token: r.cluster_id for r in kept.collect()}
     own = [got.get(f"t{42_000 + i}") for i in range(8)]
     assert None not in own and len(set(own)) == 8  # a cluster and a slot of its own for each rare kind
+
+
+def test_cells_are_decoded_once(monkeypatch):
+    x = unit(np.random.default_rng(4).normal(size=(300, 16)))
+    codes, decoded, decode = hashing.encode(x), [], hashing.decode
+    monkeypatch.setattr(hashing, "decode", lambda c: decoded.append(len(c)) or decode(c))
+    part = C.unit_parts(codes)
+    assert all(np.array_equal(part(at), decode(codes[at])) for at in (np.arange(300), np.array([5, 2, 5])))
+    assert decoded == [300]
+    monkeypatch.setattr(C, "WHOLE_BYTES", 0)
+    assert np.array_equal(C.unit_parts(codes)(np.array([7])), decode(codes[[7]]))
+    p, q, s = C.nearest(x.astype(np.float32), 3, -2.0, 0.0)
+    exact = x @ x.T
+    np.fill_diagonal(exact, -9)
+    best = np.argsort(-exact, axis=1)[:, :3]
+    assert all(set(best[n]) <= set(q[p == n]) for n in range(300)) and np.allclose(s, exact[p, q], atol=1e-5)
+
+
+@pytest.mark.parametrize("count", [100, 32_768, 32_769, 10**9])
+def test_blocks_of_a_round_are_as_large_at_any_size(count):
+    assert linkage.block_size(count) == linkage.block_size(10**6)
+
+
+def test_few_nodes_are_one_block(spark):
+    x = unit(np.random.default_rng(5).normal(size=(400, 8)) + 1.0)
+    nodes = spark.createDataFrame([(i, 1, floats(v)) for i, v in enumerate(x)], "cid long, n long, mean array<float>")
+    left = linkage._round(nodes, 0.5, 0, 400).where("mean is not null")
+    keys = linkage._hashed(nodes, 0, 0, 71, {}).select("key").distinct().count()
+    assert keys == 1 and left.count() < 400
+    assert left.select(F.spark_partition_id().alias("p")).distinct().count() == 1
