@@ -114,14 +114,15 @@ def _hashed(nodes: DataFrame, number: int, turns: int, seed: int, pieces: dict[i
 
 
 def block_size(count: int) -> int:
-    """Nodes of a block: more of them once few nodes are left, which then meet in fewer rounds."""
-    return 1024 if count > 32_768 else 4096
+    """Nodes of a block, the same however many there are."""
+    return 4096
 
 
 def _round(nodes: DataFrame, threshold: float, number: int, count: int, seed: int = 71) -> DataFrame:
     """One hashed round. Buckets are cut into blocks in the order of another rotation, so block mates are as similar as can be."""
     block = block_size(count)
-    turns = max(1, math.ceil(math.log(max(2, count) / (64 * 1024)) / math.log(128)))
+    # as many as fit in a block are one bucket, so they are one block
+    turns = 0 if count <= block else max(1, math.ceil(math.log(max(2, count) / (64 * 1024)) / math.log(128)))
     pieces: dict[int, int] = {}
     if count > HEAVY:  # else no bucket is heavy; only heavy ones come to the driver, at most count / HEAVY
         some = nodes.where(F.pmod(F.xxhash64(F.lit(9), "cid"), F.lit(64)) == 0)
