@@ -7,6 +7,7 @@ from frameloom.operators import blocks
 from frameloom.plans import queries as core
 from tests.test_core import frame, gaussian
 
+QUERIES = ["near_dup_pairs", "near_dup_groups"]
 SMOKE = "/root/testdata/sf0.001"
 
 
@@ -26,14 +27,14 @@ def shuffled(spark, run):
     return written() - before
 
 
-@pytest.mark.parametrize("name", ["near_dup_pairs"])
+@pytest.mark.parametrize("name", QUERIES)
 def test_query_sends_no_copies_for_blocks(spark, monkeypatch, name):
     def run():
         core.queries()[name](spark, SMOKE).write.format("noop").mode("overwrite").save()
 
     wide = shuffled(spark, run)
     monkeypatch.setattr(blocks, "BLOCK", 16)
-    monkeypatch.setattr(blocks, "FILE_ROWS", 16, raising=False)
+    monkeypatch.setattr(blocks, "FILE_ROWS", 64, raising=False)
     assert shuffled(spark, run) < 1.2 * wide + 50_000
 
 
