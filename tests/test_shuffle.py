@@ -7,7 +7,7 @@ from frameloom.operators import blocks
 from frameloom.plans import queries as core
 from tests.test_core import frame, gaussian
 
-QUERIES = ["near_dup_pairs", "near_dup_groups", "near_dup_components", "duplicates_json"]
+QUERIES = ["near_dup_pairs", "near_dup_groups", "near_dup_components", "duplicates_json", "dropped_duplicates"]
 SMOKE = "/root/testdata/sf0.001"
 
 
