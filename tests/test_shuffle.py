@@ -7,7 +7,7 @@ from frameloom.operators import blocks
 from frameloom.plans import queries as core
 from tests.test_core import frame, gaussian
 
-QUERIES = ["near_dup_pairs", "near_dup_groups", "near_dup_components", "duplicates_json", "dropped_duplicates", "surviving_samples", "curation_set_unclustered", "knn_distance", "outliers", "api_outliers", "outlier_gallery", "curation_set", "stratified_take", "boosted_outliers", "per_cluster_kept"]
+QUERIES = ["near_dup_pairs", "near_dup_groups", "near_dup_components", "duplicates_json", "dropped_duplicates", "surviving_samples", "curation_set_unclustered", "knn_distance", "outliers", "api_outliers", "outlier_gallery", "curation_set", "stratified_take", "boosted_outliers", "per_cluster_kept", "neighbour_projection"]
 SMOKE = "/root/testdata/sf0.001"
 
 
