@@ -3,11 +3,11 @@
 import numpy as np
 import pytest
 
-from frameloom.operators import blocks
+from frameloom.operators import blocks, project
 from frameloom.plans import queries as core
 from tests.test_core import frame, gaussian
 
-QUERIES = ["near_dup_pairs", "near_dup_groups", "near_dup_components", "duplicates_json", "dropped_duplicates", "surviving_samples", "curation_set_unclustered", "knn_distance", "outliers", "api_outliers", "outlier_gallery", "curation_set", "stratified_take", "boosted_outliers", "per_cluster_kept", "neighbour_projection"]
+QUERIES = ["near_dup_pairs", "near_dup_groups", "near_dup_components", "duplicates_json", "dropped_duplicates", "surviving_samples", "curation_set_unclustered", "knn_distance", "outliers", "api_outliers", "outlier_gallery", "curation_set", "stratified_take", "boosted_outliers", "per_cluster_kept"]
 SMOKE = "/root/testdata/sf0.001"
 
 
@@ -38,6 +38,18 @@ def test_query_sends_no_copies_for_blocks(spark, monkeypatch, name):
     assert shuffled(spark, run) < 1.2 * wide + 50_000
 
 
+def test_neighbour_graph_sends_no_copies(spark, monkeypatch):
+    df = frame(spark, gaussian(300, 64))
+
+    def run():
+        project.neighbour_graph(df, 5).write.format("noop").mode("overwrite").save()
+
+    wide = shuffled(spark, run)
+    monkeypatch.setattr(blocks, "BLOCK", 16)
+    monkeypatch.setattr(blocks, "FILE_ROWS", 64, raising=False)
+    assert shuffled(spark, run) < 1.2 * wide + 50_000
+
+
 def test_pairs_over_several_files(spark, monkeypatch):
     monkeypatch.setattr(blocks, "FILE_ROWS", 32, raising=False)
     x = gaussian(300, 64, noise=0.1)
