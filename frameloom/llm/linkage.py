@@ -32,39 +32,62 @@ HEAVY = 65_536
 DRY = 3
 
 
-def merge_block(mean: np.ndarray, n: np.ndarray, level: float) -> np.ndarray:
-    """The group of each node, by the row number of the group's first node, after merging mutual best pairs down to ``level``."""
+def merge_block(mean: np.ndarray, n: np.ndarray, level: float, s: np.ndarray | None = None) -> np.ndarray:
+    """The group of each node, by the row number of the group's first node, after merging mutual best pairs down to ``level``.
+
+    ``s``: the similarities as ``block_similarities`` has them, which are overwritten. Only rows whose best is gone look for another:
+    a mean of two values is never above both, so the other rows keep theirs.
+    """
     root, at, w = np.arange(len(n)), np.arange(len(n)), n.astype(np.float32)
-    s = mean.astype(np.float32) @ mean.astype(np.float32).T
-    np.fill_diagonal(s, -9)
-    alive = np.ones(len(at), bool)
+    s = block_similarities(mean) if s is None else s
+    alive, best = np.ones(len(at), bool), s.argmax(1) if len(at) else np.zeros(0, np.int64)
+    top = s[np.arange(len(at)), best]
     while len(at) > 1:
-        best, k = s.argmax(1), np.arange(len(at))
-        i = np.flatnonzero((best[best] == k) & (k < best) & (s[k, best] >= level))
+        k = np.arange(len(at))
+        i = np.flatnonzero((best[best] == k) & (k < best) & (top >= level))
         if not len(i):
             break
         j = best[i]
         root[at[j]] = at[i]
         p, q = (w[i] / (w[i] + w[j]))[:, None], (w[j] / (w[i] + w[j]))[:, None]
-        s[i] = p * s[i] + q * s[j]
-        s[:, i] = s[:, i] * p.T + s[:, j] * q.T
+        rows = p * s[i] + q * s[j]
+        rows[:, i] = rows[:, i] * p.T + rows[:, j] * q.T
+        rows[:, j] = -9
+        rows[np.arange(len(i)), i] = -9
+        s[:, i], s[:, j] = rows.T, -9
+        s[i], s[j] = rows, -9
         w[i] += w[j]
-        s[j], s[:, j], s[i, i], alive[j] = -9, -9, -9, False
+        alive[j] = False
+        gone = np.zeros(len(at), bool)
+        gone[i] = gone[j] = True
         if alive.mean() < 0.7:
-            s, at, w = s[alive][:, alive], at[alive], w[alive]
+            near = np.cumsum(alive) - 1
+            gone = gone[best][alive] | gone[alive]
+            s, at, w, best, top = s[np.ix_(alive, alive)], at[alive], w[alive], near[best[alive]], top[alive]
             alive = np.ones(len(at), bool)
+        else:
+            gone = gone[best] | gone
+        new = np.flatnonzero(gone)
+        best[new] = s[new].argmax(1)
+        top[new] = s[new, best[new]]
     while not np.array_equal(root, root[root]):
         root = root[root]
     return root
 
 
-def block_level(mean: np.ndarray, threshold: float) -> float:
+def block_similarities(mean: np.ndarray) -> np.ndarray:
+    """Products of all means, with nothing on the diagonal."""
+    x = mean.astype(np.float32)
+    s = x @ x.T
+    np.fill_diagonal(s, -9)
+    return s
+
+
+def block_level(mean: np.ndarray, threshold: float, s: np.ndarray | None = None) -> float:
     """The first quartile of the nodes' best similarities within the block, and ``threshold`` at least."""
     if len(mean) < 2:
         return threshold
-    s = mean.astype(np.float32) @ mean.astype(np.float32).T
-    np.fill_diagonal(s, -9)
-    best = s.max(1)
+    best = (block_similarities(mean) if s is None else s).max(1)
     best = best[best >= threshold]
     return max(threshold, float(np.quantile(best, 0.25))) if len(best) > 16 else threshold
 
@@ -76,8 +99,9 @@ def _rows(cid: np.ndarray, target: np.ndarray, n: np.ndarray, mean: list | None,
 
 def _merged(table: pa.Table, threshold: float) -> Iterator[pa.RecordBatch]:
     cid, n, mean = table["cid"].to_numpy(), table["n"].to_numpy(), H.matrix(table["mean"])
-    level = block_level(mean, threshold)
-    root = merge_block(mean, n, level)
+    s = block_similarities(mean)
+    level = block_level(mean, threshold, s)
+    root = merge_block(mean, n, level, s)
     heads, group = np.unique(root, return_inverse=True)
     total = np.bincount(group, n).astype(np.int64)
     sums = np.zeros((len(heads), mean.shape[1]))

@@ -391,3 +391,37 @@ def test_few_nodes_are_one_block(spark):
     keys = linkage._hashed(nodes, 0, 0, 71, {}).select("key").distinct().count()
     assert keys == 1 and left.count() < 400
     assert left.select(F.spark_partition_id().alias("p")).distinct().count() == 1
+
+
+def test_linkage_looks_again_only_where_the_best_is_gone():
+    """The groups are those of a search of all rows after each step; the rows searched are fewer."""
+    searched = []
+
+    class Counted(np.ndarray):
+        def argmax(self, *args, **kwargs):
+            searched.append(len(self))
+            return np.asarray(self).argmax(*args, **kwargs)
+
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(30, 16))[rng.integers(0, 30, 600)] + 0.6 * rng.normal(size=(600, 16))
+    x = (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
+    n = rng.integers(1, 4, 600)
+    got = linkage.merge_block(x, n, 0.4, linkage.block_similarities(x).view(Counted))
+    # the mean of a group stands for it, so the mutual best of all means merge
+    root, groups, all_rows = np.arange(600), {i: (x[i].astype(np.float64), int(n[i])) for i in range(600)}, 0
+    while True:
+        at = sorted(groups)
+        m = np.array([groups[i][0] for i in at])
+        s = m @ m.T
+        np.fill_diagonal(s, -9)
+        best = s.argmax(1)
+        all_rows += len(at)
+        pairs = [(k, int(best[k])) for k in range(len(at)) if best[best[k]] == k < best[k] and s[k, best[k]] >= 0.4]
+        if not pairs:
+            break
+        for a, b in pairs:
+            (u, p), (v, q) = groups[at[a]], groups.pop(at[b])
+            groups[at[a]] = ((p * u + q * v) / (p + q), p + q)
+            root[root == at[b]] = at[a]
+    assert np.array_equal(got, root) and 1 < len(groups) < 300
+    assert sum(searched) < all_rows
