@@ -18,7 +18,8 @@ def norm(a: Column) -> Column:
 
 def l2_normalize(a: Column) -> Column:
     """Each value over the norm plus epsilon: a zero vector stays zero."""
-    return F.transform(a, lambda x: x / (norm(a) + EPSILON))
+    # the length is that of the only element of an array, so it isn't summed again for each value
+    return F.flatten(F.transform(F.array(norm(a) + EPSILON), lambda n: F.transform(a, lambda x: x / n)))
 
 
 def cosine(a: Column, b: Column) -> Column:

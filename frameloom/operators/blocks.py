@@ -169,6 +169,37 @@ def _products(x: np.ndarray, y: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.
     return out
 
 
+def group_sums(members: DataFrame, vectors: DataFrame) -> DataFrame:
+    """root, tokens, own, v: of each group of members (token, root) and file of the shelf the tokens, and the sums of squares and of vectors.
+
+    Members go to the files, so vectors aren't shuffled.
+    """
+    vectors = shelf(vectors)
+    files, spark = vectors._shelved, vectors.sparkSession
+    numbers = spark.createDataFrame([(f.rpartition("/")[2], n) for n, f in enumerate(files)], "file string, cell long")
+    at = vectors.select("token", F.element_at(F.split("_metadata.file_path", "/"), -1).alias("file")).join(F.broadcast(numbers), "file").select("token", "cell")
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in cells(batches):
+            n = t["cell"][0].as_py()
+            for tokens, x in _stretches(files[n : n + 1], FILE_ROWS):
+                row = {token: i for i, token in enumerate(tokens.tolist())}
+                names = np.array(t["token"].to_pylist(), object)
+                found = np.array([row.get(token, -1) for token in names.tolist()])
+                roots, part = np.unique(np.array(t["root"].to_pylist(), object)[found >= 0], return_inverse=True)
+                order = np.argsort(part, kind="stable")
+                names, y = names[found >= 0][order], x[found[found >= 0][order]]
+                cuts = np.searchsorted(part[order], np.arange(len(roots) + 1))
+                for lo in range(0, len(roots), 1024):
+                    hi = min(lo + 1024, len(roots))
+                    own, sums = (np.add.reduceat(z[: cuts[hi]], cuts[lo:hi], axis=0) for z in ((y * y).sum(1), y))
+                    lists = pa.ListArray.from_arrays(pa.array((cuts[lo : hi + 1] - cuts[lo]).astype(np.int32)), pa.array(names[cuts[lo] : cuts[hi]], pa.string()))
+                    yield pa.RecordBatch.from_arrays([pa.array(roots[lo:hi], pa.string()), lists, pa.array(own), pa.array(list(sums), pa.list_(pa.float64()))], ["root", "tokens", "own", "v"])
+
+    placed = members.select("token", "root").join(at, "token").repartition(max(1, len(files)), "cell").sortWithinPartitions("cell")
+    return placed.mapInArrow(add, "root string, tokens array<string>, own double, v array<double>")
+
+
 def top_k(queries: DataFrame, corpus: DataFrame, k: int, exclude_self: bool = False) -> DataFrame:
     """query, token, sim, rank (from 1): the k most similar corpus rows of each query, ties by token.
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from frameloom.functions.vectors import dot, l2_normalize
-from frameloom.operators.blocks import pairs_above, top_k
+from frameloom.operators.blocks import group_sums, pairs_above, shelf, top_k
 from frameloom.operators.graph import components
 from frameloom.operators.index import Index
 from frameloom.operators.order import ranked
@@ -26,18 +26,15 @@ def find_near_duplicates(vectors: DataFrame, threshold: float = 0.97, index: Ind
     mean_pairwise_similarity is the mean of the pairs. Both come from the sum of the group's vectors, so pairs below the
     threshold count without being listed.
     """
-    links = stage(index.pairs_above(threshold) if index else pairs_above(vectors, threshold), "links")
-    roots = components(links)
-    with_v = roots.join(vectors, "token")
-    length = F.sum(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)).alias("own")
-    groups = with_v.groupBy("root").agg(F.count("*").alias("n"), length)
-    sums = with_v.select("root", F.posexplode("v").alias("pos", "x")).groupBy("root", "pos").agg(F.sum("x").alias("x"))
-    total = sums.groupBy("root").agg(F.sum(F.col("x") * F.col("x")).alias("whole"))
-    members = roots.groupBy("root").agg(F.array_sort(F.collect_list("token")).alias("members"))
+    vectors = shelf(vectors)
+    roots = components(index.pairs_above(threshold) if index else pairs_above(vectors, threshold))
+    parts = group_sums(roots, vectors).groupBy("root").agg(F.flatten(F.collect_list("tokens")).alias("members"), F.sum("own").alias("own"), F.collect_list("v").alias("each"))
+    total = F.aggregate(F.slice("each", 2, F.size("each")), F.element_at("each", 1), lambda s, v: F.zip_with(s, v, lambda x, y: x + y))
+    sums = parts.select("root", F.array_sort("members").alias("members"), "own", total.alias("v"))
+    out = sums.select("root", "members", "own", F.size("members").alias("n"), dot(F.col("v"), F.col("v")).alias("whole"))
     off = F.col("whole") - F.col("own")
-    out = groups.join(total, "root").join(members, "root")
     return out.select(
-        F.col("root").alias("representative"), "members", F.col("n").cast("int").alias("n_members"),
+        F.col("root").alias("representative"), "members", F.col("n").alias("n_members"),
         (off / (F.col("n") * F.col("n"))).alias("mean_similarity"), (off / (F.col("n") * (F.col("n") - 1))).alias("mean_pairwise_similarity"),
     )
 

@@ -74,3 +74,25 @@ def test_top_k_over_several_files_with_ties(spark, monkeypatch):
     np.fill_diagonal(s, -9)
     got = {(r.query, r["rank"]): r.token for r in found.collect()}
     assert got == {(f"s{i:05d}", n + 1): f"s{j:05d}" for i in range(300) for n, j in enumerate(np.lexsort((np.arange(300), -s[i]))[:5])}
+
+
+GROUPED = ["near_dup_groups"]
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    """Joins are shuffled, as those of larger tables are."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+@pytest.mark.parametrize("name", GROUPED)
+def test_groups_are_summed_where_their_vectors_are(spark, no_broadcast, name):
+    """Beside the two spaces' vectors as they are read, and tables of tokens, less than one copy of the vectors is sent."""
+    read = core._vectors(spark, SMOKE, "dinov2")
+    vectors = read.count() * 64 * 8
+    once = shuffled(spark, lambda: [core._vectors(spark, SMOKE, c).write.format("noop").mode("overwrite").save() for c in ("dinov2", "clip_image")])
+    sent = shuffled(spark, lambda: core.queries()[name](spark, SMOKE).write.format("noop").mode("overwrite").save())
+    assert sent < once + vectors
