@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from frameloom.operators import blocks, project
+from frameloom.operators import blocks, graph, project
 from frameloom.plans import queries as core
 from tests.test_core import frame, gaussian
 
@@ -96,3 +96,15 @@ def test_groups_are_summed_where_their_vectors_are(spark, no_broadcast, name):
     once = shuffled(spark, lambda: [core._vectors(spark, SMOKE, c).write.format("noop").mode("overwrite").save() for c in ("dinov2", "clip_image")])
     sent = shuffled(spark, lambda: core.queries()[name](spark, SMOKE).write.format("noop").mode("overwrite").save())
     assert sent < once + vectors
+
+
+def test_components_drop_edges_inside_a_part(spark, no_broadcast):
+    """Edges are sent for the first round, not for each."""
+    rng = np.random.default_rng(3)
+    parts = [[f"n{i:06d}" for i in rng.permutation(1_000_000)[:24]] for _ in range(40)]
+    pairs = [(a, b) for part in parts for k, a in enumerate(part) for b in part[k + 1 :]]
+    pairs += [(f"c{i:03d}", f"c{i + 1:03d}") for i in range(100)]
+    edges = spark.createDataFrame(pairs, "a string, b string").repartition(4)
+    once = shuffled(spark, lambda: edges.unionByName(edges.selectExpr("b as a", "a as b")).repartition("a").write.format("noop").mode("overwrite").save())
+    sent = shuffled(spark, lambda: graph.components(edges).write.format("noop").mode("overwrite").save())
+    assert sent < 3 * once
