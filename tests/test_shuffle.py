@@ -76,7 +76,7 @@ def test_top_k_over_several_files_with_ties(spark, monkeypatch):
     assert got == {(f"s{i:05d}", n + 1): f"s{j:05d}" for i in range(300) for n, j in enumerate(np.lexsort((np.arange(300), -s[i]))[:5])}
 
 
-GROUPED = ["near_dup_groups", "duplicates_json", "dropped_duplicates", "surviving_samples", "curation_set_unclustered", "stratified_take", "curation_set", "boosted_outliers"]
+GROUPED = ["near_dup_groups", "duplicates_json", "dropped_duplicates", "surviving_samples", "curation_set_unclustered", "stratified_take", "curation_set", "boosted_outliers", "per_cluster_kept"]
 
 
 @pytest.fixture
