@@ -60,7 +60,7 @@ def knn_distance(vectors: DataFrame, k: int = 10, index: Index | None = None) ->
 def find_outliers(vectors: DataFrame, k: int = 10, top_pct: float = 0.05, index: Index | None = None) -> DataFrame:
     """sample_token, knn_distance, rank (from 0) of the share of rows with the largest distance, at least one; ties by token."""
     n_top = max(1, int(vectors.count() * top_pct))
-    far = knn_distance(vectors, k, index).withColumn("knn_distance", F.round("knn_distance", 6))
+    far = stage(knn_distance(vectors, k, index).withColumn("knn_distance", F.round("knn_distance", 6)), "far")  # the sort by ranges reads it twice
     return ranked(far, [F.desc("knn_distance"), F.asc("sample_token")]).where(F.col("rank") < n_top)
 
 

@@ -3,7 +3,8 @@
 import numpy as np
 import pytest
 
-from frameloom.operators import blocks, graph, project
+from frameloom.operators import blocks, curate, graph, project
+from frameloom.operators.order import ranked
 from frameloom.plans import queries as core
 from tests.test_core import frame, gaussian
 
@@ -108,3 +109,11 @@ def test_components_drop_edges_inside_a_part(spark, no_broadcast):
     once = shuffled(spark, lambda: edges.unionByName(edges.selectExpr("b as a", "a as b")).repartition("a").write.format("noop").mode("overwrite").save())
     sent = shuffled(spark, lambda: graph.components(edges).write.format("noop").mode("overwrite").save())
     assert sent < 3 * once
+
+
+def test_outliers_are_compared_once(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(curate, "ranked", lambda far, order, name="rank": seen.append(far) or ranked(far, order, name))
+    found = curate.find_outliers(frame(spark, gaussian(60, 16)), 5, 0.1)
+    assert found.count() == 6
+    assert "MapInArrow" not in seen[0]._jdf.queryExecution().executedPlan().toString()
