@@ -16,8 +16,9 @@ import pyarrow.parquet as pq
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, FloatType
 
-from frameloom.functions.vectors import l2_normalize, usable
+from frameloom.functions.vectors import EPSILON, l2_normalize, usable
 from frameloom.session import stage
 
 #: Rows of a stretch that a task reads, rows that are multiplied with it at once, and rows of a file.
@@ -29,7 +30,15 @@ FILE_ROWS = 16_384
 def unit_vectors(batch: DataFrame, column: str, dim: int = 64, token: str = "sample_token") -> DataFrame:
     """token, v: one normalised double vector a token; of several vectors of a token the smallest counts. Unusable ones are left out."""
     rows = batch.select(F.col(token).alias("token"), F.col(column).alias("v")).where(F.col("token").isNotNull() & usable(F.col("v").cast("array<double>"), dim))
-    return rows.groupBy("token").agg(F.min("v").alias("v")).select("token", l2_normalize(F.col("v").cast("array<double>")).alias("v"))
+    raw = rows.groupBy("token").agg(F.min("v").alias("v"))
+    out = _normalised(raw)
+    if raw.schema["v"].dataType == ArrayType(FloatType()):
+        out._raw = raw
+    return out
+
+
+def _normalised(raw: DataFrame) -> DataFrame:
+    return raw.select("token", l2_normalize(F.col("v").cast("array<double>")).alias("v"))
 
 
 def _matrix(column: pa.ChunkedArray) -> np.ndarray:
@@ -59,13 +68,16 @@ def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
 def shelf(vectors: DataFrame, name: str = "vectors") -> DataFrame:
     """token, v (unit) as a stage of files of at most ``FILE_ROWS`` rows, which tasks of ``pairs_above`` and ``top_k`` read by themselves.
 
-    So rows are written once, not sent to each task that compares them. A frame that is on a shelf stays as it is. The shared
-    folder has to be one that pyarrow can read: local, hdfs, s3 or gs.
+    So rows are written once, not sent to each task that compares them. Single floats of ``unit_vectors`` are written as they are, half
+    as large, and normalised when they are read. A frame that is on a shelf stays as it is. The shared folder has to be one that
+    pyarrow can read: local, hdfs, s3 or gs.
     """
     if getattr(vectors, "_shelved", None) is not None:
         return vectors
-    out = stage(vectors.select("token", "v"), name, FILE_ROWS)
-    out._shelved = sorted(out.inputFiles())
+    raw = getattr(vectors, "_raw", None)
+    held = stage((vectors if raw is None else raw).select("token", "v"), name, FILE_ROWS)
+    out = held if raw is None else _normalised(held)
+    out._shelved = sorted(held.inputFiles())
     return out
 
 
@@ -87,7 +99,17 @@ def _stretches(files: list[str], rows: int) -> Iterator[tuple[np.ndarray, np.nda
 
 def _stretch(held: list[pa.RecordBatch]) -> tuple[np.ndarray, np.ndarray]:
     t = pa.Table.from_batches(held)
-    return np.array(t["token"].to_pylist(), object), _matrix(t["v"])
+    x = _matrix(t["v"])
+    return np.array(t["token"].to_pylist(), object), _unit(x) if x.dtype == np.float32 else x
+
+
+def _unit(x: np.ndarray) -> np.ndarray:
+    """Rows as ``l2_normalize`` makes them, to the last bit: squares are added one after another."""
+    x = x.astype(np.float64)
+    total = np.zeros(len(x))
+    for c in range(x.shape[1]):
+        total += x[:, c] * x[:, c]
+    return x / (np.sqrt(total) + EPSILON)[:, None]
 
 
 def _slack(dim: int) -> float:
@@ -119,6 +141,58 @@ def pairs_above(vectors: DataFrame, threshold: float) -> DataFrame:
     return _own_task(vectors.sparkSession, len(files)).mapInArrow(multiply, "a string, b string, sim double")
 
 
+def links_above(vectors: DataFrame, threshold: float) -> DataFrame:
+    """a, b: pairs of ``pairs_above`` that have the same components. All are compared, but a task sends what joins parts only.
+
+    That is one pair for each row outside its file that is close to one inside, and fewer than the file has rows besides, so
+    frames at a standstill don't make a pair for each two of them.
+    """
+    vectors = shelf(vectors)
+    files = vectors._shelved
+
+    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for at in (n for b in batches for n in b.column(0).to_pylist()):
+            for tokens, x in _stretches(files[at : at + 1], FILE_ROWS):
+                seen, parts = _screen(x), np.arange(len(x))
+                for i, j, _ in _close(tokens, x, tokens, x, threshold, True, seen):
+                    parts, new = _joined(parts, i, j)
+                    yield _ordered(tokens[i[new]], tokens[j[new]])
+                for others, y in _stretches(files[at + 1 :], BLOCK):
+                    by = np.full(len(y), -1)  # the first row that is close to each of these
+                    for i, j, _ in _close(tokens, x, others, y, threshold, False, seen):
+                        rows, first = np.unique(j, return_index=True)
+                        first = first[by[rows] < 0]
+                        by[j[first]] = i[first]
+                        parts, new = _joined(parts, i, by[j])
+                        new = np.concatenate((first, new))
+                        yield _ordered(tokens[i[new]], others[j[new]])
+
+    return _own_task(vectors.sparkSession, len(files)).mapInArrow(link, "a string, b string")
+
+
+def _joined(parts: np.ndarray, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Parts (the smallest row of each row's part) after joining those of rows i and j, and the places of joins that sufficed."""
+    used, left = [], np.arange(len(i))
+    while True:
+        p, q = parts[i[left]], parts[j[left]]
+        apart = p != q
+        left, p, q = left[apart], p[apart], q[apart]
+        if not len(left):
+            return parts, np.concatenate(used) if used else left
+        high, first = np.unique(np.maximum(p, q), return_index=True)  # each goes to a smaller one, so there is no circle
+        used.append(left[first])
+        to = np.arange(len(parts))
+        to[high] = np.minimum(p, q)[first]
+        while (further := to[to]).tobytes() != to.tobytes():
+            to = further
+        parts = to[parts]
+
+
+def _ordered(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+    low = a < b
+    return pa.RecordBatch.from_arrays([pa.array(np.where(low, a, b), pa.string()), pa.array(np.where(low, b, a), pa.string())], ["a", "b"])
+
+
 @lru_cache(maxsize=4)
 def _turn(dim: int) -> np.ndarray:
     return np.linalg.qr(np.random.default_rng(17).standard_normal((dim, dim)))[0]
@@ -134,7 +208,14 @@ def _screen(x: np.ndarray) -> np.ndarray:
 
 
 def _pairs(tokens: np.ndarray, x: np.ndarray, others: np.ndarray, y: np.ndarray, threshold: float, same: bool, seen: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Pairs of rows x and y; ``seen`` is the screen of x."""
+    for i, j, sim in _close(tokens, x, others, y, threshold, same, seen):
+        for p in range(0, len(i), 65536):
+            q = slice(p, p + 65536)
+            yield _ordered(tokens[i[q]], others[j[q]]).append_column("sim", pa.array(sim[q]))
+
+
+def _close(tokens: np.ndarray, x: np.ndarray, others: np.ndarray, y: np.ndarray, threshold: float, same: bool, seen: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Pairs of rows i of x and j of y, and their cosines; ``seen`` is the screen of x."""
     y_seen, least = seen if same else _screen(y), threshold - _slack(x.shape[1])
     for lo in range(0, len(x), TILE):
         for c in range(0, len(y), BLOCK):
@@ -152,12 +233,8 @@ def _pairs(tokens: np.ndarray, x: np.ndarray, others: np.ndarray, y: np.ndarray,
                 i, j = i[keep], j[keep]
             sim = _products(x, y, i, j)
             keep = sim >= threshold
-            i, j, sim = i[keep], j[keep], sim[keep]
-            a, b = tokens[i], others[j]
-            low = a < b
-            for p in range(0, len(i), 65536):
-                q = slice(p, p + 65536)
-                yield pa.RecordBatch.from_arrays([pa.array(np.where(low[q], a[q], b[q]), pa.string()), pa.array(np.where(low[q], b[q], a[q]), pa.string()), pa.array(sim[q])], ["a", "b", "sim"])
+            if keep.any():
+                yield i[keep], j[keep], sim[keep]
 
 
 def _products(x: np.ndarray, y: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from frameloom.functions.vectors import dot, l2_normalize
-from frameloom.operators.blocks import group_sums, pairs_above, shelf, top_k
+from frameloom.operators.blocks import group_sums, links_above, shelf, top_k
 from frameloom.operators.graph import components
 from frameloom.operators.index import Index
 from frameloom.operators.order import ranked
@@ -27,7 +27,7 @@ def find_near_duplicates(vectors: DataFrame, threshold: float = 0.97, index: Ind
     threshold count without being listed.
     """
     vectors = shelf(vectors)
-    roots = components(index.pairs_above(threshold) if index else pairs_above(vectors, threshold))
+    roots = components(index.pairs_above(threshold) if index else links_above(vectors, threshold))
     parts = group_sums(roots, vectors).groupBy("root").agg(F.flatten(F.collect_list("tokens")).alias("members"), F.sum("own").alias("own"), F.collect_list("v").alias("each"))
     total = F.aggregate(F.slice("each", 2, F.size("each")), F.element_at("each", 1), lambda s, v: F.zip_with(s, v, lambda x, y: x + y))
     sums = parts.select("root", F.array_sort("members").alias("members"), "own", total.alias("v"))

@@ -161,7 +161,7 @@ def near_dup_pairs(spark, d):
 
 @query
 def near_dup_components(spark, d):
-    return graph.components(blocks.pairs_above(blocks.shelf(_vectors(spark, d, "dinov2"), "dino"), TAU))
+    return graph.components(blocks.links_above(blocks.shelf(_vectors(spark, d, "dinov2"), "dino"), TAU))
 
 
 @query

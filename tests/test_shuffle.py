@@ -6,6 +6,7 @@ import pytest
 from frameloom.operators import blocks, curate, graph, project
 from frameloom.operators.order import ranked
 from frameloom.plans import queries as core
+from frameloom.session import stage
 from tests.test_core import frame, gaussian
 
 QUERIES = ["near_dup_pairs", "near_dup_groups", "near_dup_components", "duplicates_json", "dropped_duplicates", "surviving_samples", "curation_set_unclustered", "knn_distance", "outliers", "api_outliers", "outlier_gallery", "curation_set", "stratified_take", "boosted_outliers", "per_cluster_kept"]
@@ -117,3 +118,52 @@ def test_outliers_are_compared_once(spark, monkeypatch):
     found = curate.find_outliers(frame(spark, gaussian(60, 16)), 5, 0.1)
     assert found.count() == 6
     assert "MapInArrow" not in seen[0]._jdf.queryExecution().executedPlan().toString()
+
+
+def test_links_have_the_components_of_all_pairs(spark, monkeypatch):
+    monkeypatch.setattr(blocks, "FILE_ROWS", 64, raising=False)
+    monkeypatch.setattr(blocks, "BLOCK", 16)
+    monkeypatch.setattr(blocks, "TILE", 8)
+    x = gaussian(400, 64, noise=0.1)
+    x[20:400:3] = x[7]  # a standstill in every file
+    df = blocks.shelf(frame(spark, x))
+    pairs = blocks.pairs_above(df, 0.97).collect()
+    links = [(r.a, r.b) for r in blocks.links_above(df, 0.97).collect()]
+    assert len(pairs) > 127 * 126 // 2 and set(links) <= {(r.a, r.b) for r in pairs}
+    files = len(df._shelved)
+    assert files > 3 and len(links) == len(set(links)) < files * 400 + 400 and len(links) < len(pairs) // 4
+
+    def labels(edges):
+        return {(r.token, r.root) for r in graph.components(spark.createDataFrame(edges, "a string, b string")).collect()}
+
+    assert labels(links) == labels([(r.a, r.b) for r in pairs])
+
+
+def test_shelf_keeps_single_floats(spark):
+    rows = core._vectors(spark, SMOKE, "dinov2")
+    held = blocks.shelf(rows)
+    assert spark.read.parquet(*held._shelved).schema["v"].dataType.simpleString() == "array<float>"
+    want = {r.token: list(r.v) for r in rows.collect()}
+    assert {r.token: list(r.v) for r in held.collect()} == want
+    for tokens, x in blocks._stretches(held._shelved, 100):
+        assert all(want[t] == v for t, v in zip(tokens.tolist(), x.tolist()))
+
+
+LINKED = ["curation_set_unclustered"]
+
+
+@pytest.mark.parametrize("name", LINKED)
+def test_groups_write_no_pair_for_each_two_members(spark, monkeypatch, name):
+    written = []
+
+    class Counted(graph.Stage):
+        def __init__(self, frame, kind):
+            super().__init__(frame, kind)
+            if kind == "edges":
+                written.append(self.frame.count())
+
+    monkeypatch.setattr(graph, "Stage", Counted)
+    core.queries()[name](spark, SMOKE)
+    sets = core.queries()["near_dup_components"](spark, SMOKE).groupBy("root").count().collect()
+    assert written[0] == sum(r["count"] - 1 for r in sets)
+    assert written[0] < core.queries()["near_dup_pairs"](spark, SMOKE).count()
