@@ -149,7 +149,7 @@ def test_shelf_keeps_single_floats(spark):
         assert all(want[t] == v for t, v in zip(tokens.tolist(), x.tolist()))
 
 
-LINKED = ["curation_set_unclustered"]
+LINKED = ["curation_set_unclustered", "dropped_duplicates"]
 
 
 @pytest.mark.parametrize("name", LINKED)
