@@ -167,3 +167,14 @@ def test_groups_write_no_pair_for_each_two_members(spark, monkeypatch, name):
     sets = core.queries()["near_dup_components"](spark, SMOKE).groupBy("root").count().collect()
     assert written[0] == sum(r["count"] - 1 for r in sets)
     assert written[0] < core.queries()["near_dup_pairs"](spark, SMOKE).count()
+
+
+FLOATS = ["api_outliers"]
+
+
+@pytest.mark.parametrize("name", FLOATS)
+def test_shelves_are_written_in_single_floats(spark, monkeypatch, name):
+    seen = []
+    monkeypatch.setattr(blocks, "stage", lambda rows, *more: seen.append(dict(rows.dtypes)["v"]) or stage(rows, *more))
+    core.queries()[name](spark, SMOKE)
+    assert seen == ["array<float>"]
