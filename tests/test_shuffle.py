@@ -149,7 +149,7 @@ def test_shelf_keeps_single_floats(spark):
         assert all(want[t] == v for t, v in zip(tokens.tolist(), x.tolist()))
 
 
-LINKED = ["curation_set_unclustered", "dropped_duplicates", "duplicates_json", "near_dup_components", "stratified_take", "surviving_samples"]
+LINKED = ["curation_set_unclustered", "dropped_duplicates", "duplicates_json", "near_dup_components", "stratified_take", "surviving_samples", "curation_set"]
 
 
 @pytest.mark.parametrize("name", LINKED)
