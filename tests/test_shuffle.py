@@ -149,6 +149,25 @@ def test_shelf_keeps_single_floats(spark):
         assert all(want[t] == v for t, v in zip(tokens.tolist(), x.tolist()))
 
 
+def test_rounds_of_the_projection_send_no_pairs(spark, no_broadcast):
+    df = blocks.shelf(frame(spark, gaussian(600, 64)))
+
+    def run(rounds):
+        return shuffled(spark, lambda: project.neighbour_projection(df, 5, rounds).write.format("noop").mode("overwrite").save())
+
+    once = shuffled(spark, lambda: project.neighbour_graph(df, 5).write.format("noop").mode("overwrite").save())
+    assert run(8) - run(2) < once  # six rounds
+
+
+def test_projection_over_several_cells(spark, monkeypatch):
+    df = blocks.shelf(frame(spark, gaussian(300, 64, noise=0.4)))
+    want = {r.sample_token: (r.x, r.y) for r in project.neighbour_projection(df, 5, 6).collect()}
+    monkeypatch.setattr(project, "_cell_count", lambda rows: 7, raising=False)
+    got = {r.sample_token: (r.x, r.y) for r in project.neighbour_projection(df, 5, 6).collect()}
+    assert len(want) == 300 and got.keys() == want.keys()
+    assert all(abs(a - b) < 1e-6 for t in want for a, b in zip(want[t], got[t]))
+
+
 LINKED = ["curation_set_unclustered", "dropped_duplicates", "duplicates_json", "near_dup_components", "stratified_take", "surviving_samples", "curation_set"]
 
 
