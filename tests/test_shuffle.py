@@ -188,7 +188,7 @@ def test_groups_write_no_pair_for_each_two_members(spark, monkeypatch, name):
     assert written[0] < core.queries()["near_dup_pairs"](spark, SMOKE).count()
 
 
-FLOATS = ["api_outliers", "knn_distance"]
+FLOATS = ["api_outliers", "knn_distance", "outlier_gallery"]
 
 
 @pytest.mark.parametrize("name", FLOATS)
