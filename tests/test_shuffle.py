@@ -168,7 +168,7 @@ def test_projection_over_several_cells(spark, monkeypatch):
     assert all(abs(a - b) < 1e-6 for t in want for a, b in zip(want[t], got[t]))
 
 
-LINKED = ["curation_set_unclustered", "dropped_duplicates", "duplicates_json", "near_dup_components", "stratified_take", "surviving_samples", "curation_set", "boosted_outliers"]
+LINKED = ["curation_set_unclustered", "dropped_duplicates", "duplicates_json", "near_dup_components", "stratified_take", "surviving_samples", "curation_set", "boosted_outliers", "per_cluster_kept"]
 
 
 @pytest.mark.parametrize("name", LINKED)
