@@ -7,6 +7,7 @@ results are by definition; an IVF index (``operators.index``) is the way for lar
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -18,8 +19,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, FloatType
 
-from frameloom.functions.vectors import EPSILON, l2_normalize, usable
-from frameloom.session import stage
+from frameloom.functions.vectors import EPSILON, l2_normalize, norm, usable
+from frameloom.session import Stage, stage
 
 #: Rows of a stretch that a task reads, rows that are multiplied with it at once, and rows of a file.
 BLOCK = 4096
@@ -77,24 +78,39 @@ def shelf(vectors: DataFrame, name: str = "vectors") -> DataFrame:
     raw = getattr(vectors, "_raw", None)
     held = stage((vectors if raw is None else raw).select("token", "v"), name, FILE_ROWS)
     out = held if raw is None else _normalised(held)
-    out._shelved = sorted(held.inputFiles())
+    out._shelved, out._held = sorted(held.inputFiles()), held
     return out
 
 
+def _batches(uri: str, rows: int, columns: list[str]) -> Iterator[pa.RecordBatch]:
+    system, path = fs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
+    with system.open_input_file(path) as source:
+        yield from pq.ParquetFile(source).iter_batches(rows, columns=columns)
+
+
 def _stretches(files: list[str], rows: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Tokens and vectors of files, about ``rows`` at a time."""
-    held, n = [], 0
+    for tokens, x, _ in _weighted(files, rows, {}):
+        yield tokens, x
+
+
+def _weighted(files: list[str], rows: int, weights: dict[str, bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Tokens, vectors and weights of files, about ``rows`` at a time. Rows of no weight are skipped; others than those of ``weights`` have 1."""
+    held: list[pa.RecordBatch] = []
+    n: list[np.ndarray] = []
     for uri in files:
-        system, path = fs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
-        with system.open_input_file(path) as source:
-            for b in pq.ParquetFile(source).iter_batches(rows, columns=["token", "v"]):
-                held.append(b)
-                n += b.num_rows
-                if n >= rows:
-                    yield _stretch(held)
-                    held, n = [], 0
-    if n:
-        yield _stretch(held)
+        of, at = np.frombuffer(zlib.decompress(weights[uri]), np.int32) if uri in weights else np.zeros(0, np.int32), 0
+        for b in _batches(uri, rows, ["token", "v"]):
+            w = of[at : at + b.num_rows]
+            w = np.pad(w, (0, b.num_rows - len(w)), constant_values=1)
+            at += b.num_rows
+            held.append(b if w.all() else b.filter(pa.array(w > 0)))
+            n.append(w[w > 0])
+            if sum(map(len, n)) >= rows:
+                yield *_stretch(held), np.concatenate(n)
+                held, n = [], []
+    if sum(map(len, n)):
+        yield *_stretch(held), np.concatenate(n)
 
 
 def _stretch(held: list[pa.RecordBatch]) -> tuple[np.ndarray, np.ndarray]:
@@ -145,19 +161,22 @@ def links_above(vectors: DataFrame, threshold: float) -> DataFrame:
     """a, b: pairs of ``pairs_above`` that have the same components. All are compared, but a task sends what joins parts only.
 
     That is one pair for each row outside its file that is close to one inside, and fewer than the file has rows besides, so
-    frames at a standstill don't make a pair for each two of them.
+    frames at a standstill don't make a pair for each two of them. Of equal vectors the first alone is compared; each of the others is
+    one pair, with the first, however many files hold them.
     """
     vectors = shelf(vectors)
     files = vectors._shelved
+    equal, marks = _copies(vectors, threshold + 1e-9)
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weights = _weights(files, marks)
         for at in (n for b in batches for n in b.column(0).to_pylist()):
-            for tokens, x in _stretches(files[at : at + 1], FILE_ROWS):
+            for tokens, x, _ in _weighted(files[at : at + 1], FILE_ROWS, weights):
                 seen, parts = _screen(x), np.arange(len(x))
                 for i, j, _ in _close(tokens, x, tokens, x, threshold, True, seen):
                     parts, new = _joined(parts, i, j)
                     yield _ordered(tokens[i[new]], tokens[j[new]])
-                for others, y in _stretches(files[at + 1 :], BLOCK):
+                for others, y, _ in _weighted(files[at + 1 :], BLOCK, weights):
                     by = np.full(len(y), -1)  # the first row that is close to each of these
                     for i, j, _ in _close(tokens, x, others, y, threshold, False, seen):
                         rows, first = np.unique(j, return_index=True)
@@ -167,7 +186,44 @@ def links_above(vectors: DataFrame, threshold: float) -> DataFrame:
                         new = np.concatenate((first, new))
                         yield _ordered(tokens[i[new]], others[j[new]])
 
-    return _own_task(vectors.sparkSession, len(files)).mapInArrow(link, "a string, b string")
+    links = _own_task(vectors.sparkSession, len(files)).mapInArrow(link, "a string, b string")
+    return links.unionByName(equal)
+
+
+def _numbered(files: list[str], spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([(f.rpartition("/")[2], n) for n, f in enumerate(files)], "file string, cell long")
+
+
+def _copies(vectors: DataFrame, least: float = 0.0) -> tuple[DataFrame, list[str]]:
+    """a, b: each token b of a shelf whose vector equals that of a smaller token, and a, the smallest of these; and files for ``_weights``.
+
+    Equal vectors are told by 128 bits of their hashes, so vectors aren't sent. Those whose product with themselves is below ``least``,
+    as that of very short ones is, are left apart.
+    """
+    held, spark = vectors._held, vectors.sparkSession
+    length = norm(F.col("v").cast("array<double>"))
+    if held is not vectors:  # normalised when read
+        length = length / (length + EPSILON)
+    file = F.element_at(F.split("_metadata.file_path", "/"), -1).alias("file")
+    each = held.where(length * length >= least).select("token", F.xxhash64("v").alias("h"), F.xxhash64(F.lit(1), "v").alias("g"), file, F.col("_metadata.row_index").alias("row"))
+    first = each.groupBy("h", "g").agg(F.min("token").alias("a"), F.count("*").cast("int").alias("n")).where("n > 1")
+    found = each.join(first, ["h", "g"]).join(F.broadcast(_numbered(vectors._shelved, spark)), "file")
+    equal = Stage(found.select("a", F.col("token").alias("b"), "cell", "row", F.when(F.col("token") == F.col("a"), F.col("n")).otherwise(0).alias("n")), "copies").frame
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in cells(batches):
+            rows = t["row"].to_numpy()
+            weights = np.ones(rows.max() + 1, np.int32)
+            weights[rows] = t["n"].to_numpy()
+            yield pa.RecordBatch.from_arrays([pa.array([t["cell"][0].as_py()]), pa.array([zlib.compress(weights.tobytes(), 1)], pa.binary())], ["cell", "n"])
+
+    marks = Stage(equal.select("cell", "row", "n").repartition("cell").sortWithinPartitions("cell").mapInArrow(pack, "cell long, n binary"), "marks").frame
+    return equal.where("n = 0").select("a", "b"), sorted(marks.inputFiles())
+
+
+def _weights(files: list[str], marks: list[str]) -> dict[str, bytes]:
+    """Of files that hold any of several equal vectors, how many each row stands for, packed: the first of equal vectors for all, the others for none."""
+    return {files[cell]: n for f in marks for b in _batches(f, 256, ["cell", "n"]) for cell, n in zip(*(c.to_pylist() for c in b.columns))}
 
 
 def _joined(parts: np.ndarray, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -253,8 +309,7 @@ def group_sums(members: DataFrame, vectors: DataFrame) -> DataFrame:
     """
     vectors = shelf(vectors)
     files, spark = vectors._shelved, vectors.sparkSession
-    numbers = spark.createDataFrame([(f.rpartition("/")[2], n) for n, f in enumerate(files)], "file string, cell long")
-    at = vectors.select("token", F.element_at(F.split("_metadata.file_path", "/"), -1).alias("file")).join(F.broadcast(numbers), "file").select("token", "cell")
+    at = vectors.select("token", F.element_at(F.split("_metadata.file_path", "/"), -1).alias("file")).join(F.broadcast(_numbered(files, spark)), "file").select("token", "cell")
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in cells(batches):
@@ -313,16 +368,43 @@ def top_k(queries: DataFrame, corpus: DataFrame, k: int, exclude_self: bool = Fa
     return queries.select("token", "v").mapInArrow(of_rows, schema)
 
 
+def kth_nearest(vectors: DataFrame, k: int) -> DataFrame:
+    """token, sim: of each row the similarity of its k-th nearest other, as ``top_k`` has it; no row where there are k rows or fewer.
+
+    Of equal vectors the first is compared for all: it counts as often as it occurs.
+    """
+    vectors = shelf(vectors)
+    files = vectors._shelved
+    equal, marks = _copies(vectors)
+
+    def answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weights = _weights(files, marks)
+        for at in (n for b in batches for n in b.column(0).to_pylist()):
+            for tokens, x, own in _weighted(files[at : at + 1], FILE_ROWS, weights):
+                best = _Best(tokens, x, k, True)
+                for others, y, n in _weighted(files, BLOCK, weights):
+                    best.meet(others, y, n)
+                sims = np.concatenate((best.sims, np.round(np.einsum("ij,ij->i", x, x), 10)[:, None]), 1)
+                order = np.argsort(-sims, axis=1, kind="stable")
+                so_far = np.take_along_axis(np.concatenate((best.counts, own[:, None] - 1), 1), order, 1).cumsum(1)
+                at_k = order[np.arange(len(x)), (so_far >= k).argmax(1)]
+                there = so_far[:, -1] >= k
+                yield pa.RecordBatch.from_arrays([pa.array(tokens[there], pa.string()), pa.array(sims[np.arange(len(x)), at_k][there])], ["token", "sim"])
+
+    near = Stage(_own_task(vectors.sparkSession, len(files)).mapInArrow(answers, "token string, sim double"), "near").frame
+    return near.unionByName(near.join(equal, near["token"] == equal["a"]).select(F.col("b").alias("token"), "sim"))
+
+
 class _Best:
-    """The k best of queries (tokens, unit rows x) among stretches of a corpus that come one after another."""
+    """The k best of queries (tokens, unit rows x) among stretches of a corpus that come one after another, and how many rows each stands for."""
 
     def __init__(self, tokens: np.ndarray, x: np.ndarray, k: int, exclude_self: bool):
         self.tokens, self.x, self.x4, self.k, self.exclude = tokens, x, x.astype(np.float32), k, exclude_self
-        self.names, self.sims = np.full((len(x), k), "", object), np.full((len(x), k), -9.0)
+        self.names, self.sims, self.counts = np.full((len(x), k), "", object), np.full((len(x), k), -9.0), np.zeros((len(x), k), np.int64)
 
-    def meet(self, others: np.ndarray, y: np.ndarray) -> None:
+    def meet(self, others: np.ndarray, y: np.ndarray, n: np.ndarray | None = None) -> None:
         order = np.argsort(others, kind="stable")
-        others, y = others[order], y[order]
+        others, y, n = others[order], y[order], np.ones(len(y), np.int64) if n is None else n[order]
         y4 = y.astype(np.float32)
         # what ties with the last after rounding counts too
         least = (self.sims[:, -1] - _slack(y.shape[1]) - 1e-9).astype(np.float32)
@@ -347,12 +429,12 @@ class _Best:
                 i, j = np.divmod(close, len(y))
                 sim = np.round(_products(self.x[lo:hi], y, i, j), 10)
                 keep = (own[lo:hi][i] != j) & (sim >= self.sims[lo:hi, -1][i])
-            self._add(i[keep] + lo, others[j[keep]], sim[keep])
+            self._add(i[keep] + lo, others[j[keep]], sim[keep], n[j[keep]])
 
-    def _add(self, i: np.ndarray, names: np.ndarray, sims: np.ndarray) -> None:
+    def _add(self, i: np.ndarray, names: np.ndarray, sims: np.ndarray, counts: np.ndarray) -> None:
         rows, i = np.unique(i, return_inverse=True)
         i = np.concatenate((np.repeat(np.arange(len(rows)), self.k), i))
-        names, sims = np.concatenate((self.names[rows].reshape(-1), names)), np.concatenate((self.sims[rows].reshape(-1), sims))
+        names, sims, counts = (np.concatenate((held[rows].reshape(-1), new)) for held, new in ((self.names, names), (self.sims, sims), (self.counts, counts)))
         order = np.lexsort((-sims, i))
         tied = (i[order][1:] == i[order][:-1]) & (sims[order][1:] == sims[order][:-1]) & (sims[order][1:] > -9)
         if tied.any():
@@ -360,7 +442,7 @@ class _Best:
             order = by_name[np.lexsort((-sims[by_name], i[by_name]))]
         first = np.searchsorted(i[order], np.arange(len(rows)))
         kept = order[(first[:, None] + np.arange(self.k)).reshape(-1)].reshape(len(rows), self.k)
-        self.names[rows], self.sims[rows] = names[kept], sims[kept]
+        self.names[rows], self.sims[rows], self.counts[rows] = names[kept], sims[kept], counts[kept]
 
     def batches(self) -> Iterator[pa.RecordBatch]:
         for lo in range(0, len(self.x), 1024):

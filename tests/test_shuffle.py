@@ -197,3 +197,26 @@ def test_shelves_are_written_in_single_floats(spark, monkeypatch, name):
     monkeypatch.setattr(blocks, "stage", lambda rows, *more: seen.append(dict(rows.dtypes)["v"]) or stage(rows, *more))
     core.queries()[name](spark, SMOKE)
     assert seen == ["array<float>"]
+
+
+def repeated():
+    x = gaussian(120, 64, noise=0.3)
+    return np.concatenate([x[:30]] * 9 + [x[30:]])[np.random.default_rng(1).permutation(360)]
+
+
+def test_equal_vectors_are_linked_once(spark, monkeypatch):
+    monkeypatch.setattr(blocks, "FILE_ROWS", 32, raising=False)
+    monkeypatch.setattr(blocks, "BLOCK", 16)
+    x = repeated()
+    x[5] *= 1e-9 / np.linalg.norm(x[5])  # too short to be near anything, its copy as well
+    x[350] = x[5]
+    df = blocks.shelf(frame(spark, x))
+    pairs = {(r.a, r.b) for r in blocks.pairs_above(df, 0.999).collect()}
+    links = [(r.a, r.b) for r in blocks.links_above(df, 0.999).collect()]
+    assert len(df._shelved) > 8 and len(pairs) > 900
+    assert set(links) <= pairs and len(links) < 300  # before, one for each file that holds a copy
+
+    def labels(edges):
+        return {(r.token, r.root) for r in graph.components(spark.createDataFrame(list(edges), "a string, b string")).collect()}
+
+    assert labels(links) == labels(pairs)
