@@ -39,6 +39,12 @@ def find_near_duplicates(vectors: DataFrame, threshold: float = 0.97, index: Ind
     )
 
 
+def duplicate_members(vectors: DataFrame, threshold: float = 0.97) -> DataFrame:
+    """representative, members of ``find_near_duplicates`` without their similarities, so no vectors are summed or sent."""
+    roots = components(links_above(vectors, threshold))
+    return roots.groupBy(F.col("root").alias("representative")).agg(F.array_sort(F.collect_list("token")).alias("members"))
+
+
 def droppable(groups: DataFrame) -> DataFrame:
     """sample_token of each group member that is not the representative."""
     each = groups.select("representative", F.explode("members").alias("sample_token"))

@@ -56,6 +56,10 @@ def _groups(spark: SparkSession, d: str) -> DataFrame:
     return stage(curate.find_near_duplicates(blocks.shelf(_vectors(spark, d, "dinov2"), "dino"), TAU), "groups")
 
 
+def _duplicates(spark: SparkSession, d: str) -> DataFrame:
+    return curate.duplicate_members(blocks.shelf(_vectors(spark, d, "dinov2"), "dino"), TAU)
+
+
 def _joined(column: str) -> F.Column:
     return F.array_join(column, ",")
 
@@ -171,7 +175,7 @@ def near_dup_groups(spark, d):
 
 @query
 def dropped_duplicates(spark, d):
-    return curate.droppable(_groups(spark, d))
+    return curate.droppable(_duplicates(spark, d))
 
 
 @query

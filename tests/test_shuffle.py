@@ -220,3 +220,15 @@ def test_equal_vectors_are_linked_once(spark, monkeypatch):
         return {(r.token, r.root) for r in graph.components(spark.createDataFrame(list(edges), "a string, b string")).collect()}
 
     assert labels(links) == labels(pairs)
+
+
+UNSUMMED = ["dropped_duplicates"]
+
+
+@pytest.mark.parametrize("name", UNSUMMED)
+def test_query_of_members_sums_no_vectors(spark, monkeypatch, name):
+    def refuse(*_):
+        raise AssertionError("vectors are summed")
+
+    monkeypatch.setattr(curate, "group_sums", refuse)
+    core.queries()[name](spark, SMOKE).write.format("noop").mode("overwrite").save()
