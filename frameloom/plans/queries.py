@@ -185,7 +185,7 @@ def surviving_samples(spark, d):
 
 @query
 def duplicates_json(spark, d):
-    return _groups(spark, d).select(F.to_json(F.struct("representative", "members")).alias("json"))
+    return _duplicates(spark, d).select(F.to_json(F.struct("representative", "members")).alias("json"))
 
 
 @query
