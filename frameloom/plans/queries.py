@@ -394,7 +394,7 @@ def _assembly(spark, d) -> dict[str, DataFrame]:
 
 @query
 def stratified_take(spark, d):
-    return curate.stratified_take(stage(_members(spark, d), "members"), curate.droppable(_groups(spark, d)), TARGET)
+    return curate.stratified_take(stage(_members(spark, d), "members"), curate.droppable(_duplicates(spark, d)), TARGET)
 
 
 @query
