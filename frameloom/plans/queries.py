@@ -180,7 +180,7 @@ def dropped_duplicates(spark, d):
 
 @query
 def surviving_samples(spark, d):
-    return _samples(spark, d).select("sample_token").join(curate.droppable(_groups(spark, d)), "sample_token", "left_anti")
+    return _samples(spark, d).select("sample_token").join(curate.droppable(_duplicates(spark, d)), "sample_token", "left_anti")
 
 
 @query

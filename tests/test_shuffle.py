@@ -222,7 +222,7 @@ def test_equal_vectors_are_linked_once(spark, monkeypatch):
     assert labels(links) == labels(pairs)
 
 
-UNSUMMED = ["dropped_duplicates", "duplicates_json", "stratified_take"]
+UNSUMMED = ["dropped_duplicates", "duplicates_json", "stratified_take", "surviving_samples"]
 
 
 @pytest.mark.parametrize("name", UNSUMMED)
