@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from frameloom.functions.vectors import dot, l2_normalize
-from frameloom.operators.blocks import group_sums, links_above, shelf, top_k
+from frameloom.operators.blocks import group_sums, kth_nearest, links_above, shelf
 from frameloom.operators.graph import components
 from frameloom.operators.index import Index
 from frameloom.operators.order import ranked
@@ -59,8 +59,7 @@ def knn_distance(vectors: DataFrame, k: int = 10, index: Index | None = None) ->
     if index:
         found = index.search(vectors, k + 1).where("query <> token").withColumn("rank", F.row_number().over(Window.partitionBy("query").orderBy(F.desc("sim"), "token"))).where(F.col("rank") <= k)
         return found.groupBy(F.col("query").alias("sample_token")).agg((1 - F.min("sim")).alias("knn_distance"))
-    near = top_k(vectors, vectors, k, exclude_self=True).where(F.col("rank") == k)
-    return near.select(F.col("query").alias("sample_token"), (1 - F.col("sim")).alias("knn_distance"))
+    return kth_nearest(vectors, k).select(F.col("token").alias("sample_token"), (1 - F.col("sim")).alias("knn_distance"))
 
 
 def find_outliers(vectors: DataFrame, k: int = 10, top_pct: float = 0.05, index: Index | None = None) -> DataFrame:

@@ -222,6 +222,48 @@ def test_equal_vectors_are_linked_once(spark, monkeypatch):
     assert labels(links) == labels(pairs)
 
 
+class Near(blocks.Stage):
+    """Keeps the rows of the stages of answers."""
+
+    rows: list[int] = []
+
+    def __init__(self, frame, name="stage", *more, **named):
+        super().__init__(frame, name, *more, **named)
+        if name == "near":
+            Near.rows.append(self.frame.count())
+
+
+@pytest.mark.parametrize("k", [3, 8, 9, 359, 360])
+def test_neighbours_of_equal_vectors(spark, monkeypatch, k):
+    monkeypatch.setattr(blocks, "FILE_ROWS", 32, raising=False)
+    monkeypatch.setattr(blocks, "BLOCK", 16)
+    monkeypatch.setattr(blocks, "Stage", Near)
+    monkeypatch.setattr(Near, "rows", [])
+    x = repeated()
+    got = {r.sample_token: r.knn_distance for r in curate.knn_distance(frame(spark, x), k).collect()}
+    s = np.round(x @ x.T, 10)
+    np.fill_diagonal(s, -9)
+    want = {f"s{i:05d}": 1 - np.sort(s[i])[::-1][k - 1] for i in range(360)} if k < 360 else {}
+    assert got.keys() == want.keys() and all(abs(got[t] - want[t]) < 1e-9 for t in want)
+    assert Near.rows == [120 if k < 360 else 0]
+
+
+COMPARED = ["knn_distance"]
+
+
+@pytest.mark.parametrize("name", COMPARED)
+def test_query_compares_equal_vectors_once(spark, monkeypatch, tmp_path, name):
+    batch = spark.read.parquet(f"{SMOKE}/encoded_batch.parquet")
+    batch.unionByName(batch.selectExpr("sample_token || '-2' as sample_token", "dinov2", "clip_image", "backend")).write.parquet(f"{tmp_path}/encoded_batch.parquet")
+    for table in ("samples", "failure_prompts"):
+        (tmp_path / f"{table}.parquet").symlink_to(f"{SMOKE}/{table}.parquet")
+    monkeypatch.setattr(blocks, "Stage", Near)
+    monkeypatch.setattr(Near, "rows", [])
+    core.queries()[name](spark, str(tmp_path))
+    different = core._vectors(spark, SMOKE, "clip_image")._raw.select("v").distinct().count()
+    assert Near.rows == [different]
+
+
 UNSUMMED = ["dropped_duplicates", "duplicates_json", "stratified_take", "surviving_samples"]
 
 
