@@ -389,7 +389,7 @@ def neighbour_projection(spark, d):
 def _assembly(spark, d) -> dict[str, DataFrame]:
     clip = blocks.shelf(_vectors(spark, d, "clip_image"), "clip")
     members = stage(_members(spark, d, clip), "members")
-    return curate.assemble(_samples(spark, d).select("sample_token"), _groups(spark, d), stage(_outliers(spark, d, clip), "outliers"), members, TARGET)
+    return curate.assemble(_samples(spark, d).select("sample_token"), _duplicates(spark, d), stage(_outliers(spark, d, clip), "outliers"), members, TARGET)
 
 
 @query
@@ -415,7 +415,7 @@ def curation_set(spark, d):
 @query
 def curation_set_unclustered(spark, d):
     none = spark.createDataFrame([], "sample_token string, knn_distance double, rank int")
-    return curate.assemble(_samples(spark, d).select("sample_token"), _groups(spark, d), none, None, TARGET)["kept"]
+    return curate.assemble(_samples(spark, d).select("sample_token"), _duplicates(spark, d), none, None, TARGET)["kept"]
 
 
 # reports
