@@ -248,7 +248,7 @@ def test_neighbours_of_equal_vectors(spark, monkeypatch, k):
     assert Near.rows == [120 if k < 360 else 0]
 
 
-COMPARED = ["knn_distance", "curation_set", "boosted_outliers"]
+COMPARED = ["knn_distance", "curation_set", "boosted_outliers", "per_cluster_kept"]
 
 
 @pytest.mark.parametrize("name", COMPARED)
@@ -264,7 +264,7 @@ def test_query_compares_equal_vectors_once(spark, monkeypatch, tmp_path, name):
     assert Near.rows == [different]
 
 
-UNSUMMED = ["dropped_duplicates", "duplicates_json", "stratified_take", "surviving_samples", "curation_set", "boosted_outliers"]
+UNSUMMED = ["dropped_duplicates", "duplicates_json", "stratified_take", "surviving_samples", "curation_set", "boosted_outliers", "per_cluster_kept"]
 
 
 @pytest.mark.parametrize("name", UNSUMMED)
