@@ -248,7 +248,7 @@ def test_neighbours_of_equal_vectors(spark, monkeypatch, k):
     assert Near.rows == [120 if k < 360 else 0]
 
 
-COMPARED = ["knn_distance", "curation_set", "boosted_outliers", "per_cluster_kept", "api_outliers"]
+COMPARED = ["knn_distance", "curation_set", "boosted_outliers", "per_cluster_kept", "api_outliers", "outlier_gallery"]
 
 
 @pytest.mark.parametrize("name", COMPARED)
